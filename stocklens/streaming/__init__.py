@@ -1,0 +1 @@
+"""Empty on purpose: the appraisal is a batch job over closed months, with no stream operators."""
