@@ -74,15 +74,13 @@ def _exact_months(rows: DataFrame, month: str, measures: list[str]) -> DataFrame
     return rows.groupBy(*KEYS, month).agg(*[F.sum(m).cast("double").alias(m) for m in measures])
 
 
-def sales(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
+def sales(fx_line: DataFrame) -> DataFrame:
     """Monthly sales, summed as decimals so that every engine gets the same doubles."""
-    return _exact_months(sales_lines(lines(spark, sf_dir, by_part)), "BEG_MO",
-                         ["QUANTITY_SOLD", "NET_SALES_$", "GROSS_MARGIN_$", "COGS_$"])
+    return _exact_months(sales_lines(fx_line), "BEG_MO", ["QUANTITY_SOLD", "NET_SALES_$", "GROSS_MARGIN_$", "COGS_$"])
 
 
-def inventory(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
-    return _exact_months(inventory_lines(lines(spark, sf_dir, by_part)), "BOM_INV_DATE",
-                         ["QUANTITY_ON_HAND", "TOTAL_COST_EXTENDED"])
+def inventory(fx_line: DataFrame) -> DataFrame:
+    return _exact_months(inventory_lines(fx_line), "BOM_INV_DATE", ["QUANTITY_ON_HAND", "TOTAL_COST_EXTENDED"])
 
 
 def doubles(df: DataFrame) -> DataFrame:

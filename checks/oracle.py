@@ -149,7 +149,7 @@ def age_buckets(anchor="mo", default=None):
 
 
 def sql(ctes, select):
-    return "WITH " + ("RECURSIVE " if any(" UNION ALL " in c and c.startswith("rec ") for c in ctes) else "") + \
+    return "WITH " + ("RECURSIVE " if any(c.startswith("rec ") for c in ctes) else "") + \
         ",\n".join(ctes) + "\n" + select
 
 
@@ -419,9 +419,9 @@ def movement(by_part=False):
         f"""mq AS (SELECT {pick('a')}, a.mo, a.qoh, a.cost, {quantities} FROM ik a JOIN ik b ON {same('a', 'b')}
 AND {back} BETWEEN 0 AND 11 GROUP BY {pick('a')}, a.mo, a.qoh, a.cost)""",
         f"mm AS (SELECT *, {moves}, [{', '.join(f'm{i}' for i in range(11))}] AS ms FROM mq)",
-        """mz AS (SELECT *, len(list_filter(ms, x -> x = 'Up')) AS u12, len(list_filter(ms, x -> x = 'Down')) AS d12,
-len(list_filter(ms[1:5], x -> x = 'Up')) AS u6, len(list_filter(ms[1:5], x -> x = 'Down')) AS d6,
-CAST(list_position(list_transform(ms, x -> x <> 'No Inv'), TRUE) - 1 AS INTEGER) AS lm FROM mm)""",
+        """mz AS (SELECT *, len(list_filter(ms, lambda x: x = 'Up')) AS u12, len(list_filter(ms, lambda x: x = 'Down')) AS d12,
+len(list_filter(ms[1:5], lambda x: x = 'Up')) AS u6, len(list_filter(ms[1:5], lambda x: x = 'Down')) AS d6,
+CAST(list_position(list_transform(ms, lambda x: x <> 'No Inv'), TRUE) - 1 AS INTEGER) AS lm FROM mm)""",
         "mx AS (SELECT *, CAST(mo - to_months(lm) AS DATE) AS lmd FROM mz)"]
 
 
@@ -470,14 +470,14 @@ LEFT JOIN sk b ON {same('c', 'b')} AND b.mo = c.mo)""",
 FLOW_OUT = {"CURRENT_UNITS": "cu", "CURRENT_COST": "cost", "QUANTITY_SOLD": "qs", "NET_SALES_$": "net", "COGS_$": "cogs",
             "GROSS_MARGIN_$": "gm", "EOM_CHANGE": "eom", "SALES_ADJ": "sa", "REC_ADJ": "rec", "USE_SALES": "us",
             "USE_RECEIPTS": "ur", "CURRENT_CPU": "cpu", "SP_U": "spu", "GM_U": "gmu"}
-ZERO_LAYERS = "list_transform(range(25), x -> CAST(0 AS DOUBLE))"
+ZERO_LAYERS = "list_transform(range(25), lambda x: CAST(0 AS DOUBLE))"
 
 
 def ledger(by_part=False):
     """led: one row per reported series and open step; u and asq are lists of 25."""
     older = "coalesce(list_sum(r.u[(j + 1):25]), 0)"
     upto = "list_sum(r.u[j:25])"
-    sold = f"""list_transform(range(1, 26), j -> CASE WHEN abs(f.us) > {upto} THEN r.u[j]
+    sold = f"""list_transform(range(1, 26), lambda j: CASE WHEN abs(f.us) > {upto} THEN r.u[j]
 WHEN j = 25 THEN f.us ELSE greatest(f.us - {older}, 0) END)"""
     return (FXP if by_part else FX) + FLOWS + [
         f"""rep AS (SELECT DISTINCT {K} FROM (SELECT {K.replace('division', "coalesce(division, 'NEED CAT') AS division")} FROM i
@@ -486,7 +486,7 @@ WHERE (deal_id, trim_sku) IN (SELECT (deal_id, trim_sku) FROM ik) AND deal_id IN
         f"""rec AS (SELECT {K}, -1 AS step, {ZERO_LAYERS} AS u, CAST(NULL AS DOUBLE[]) AS asq, FALSE AS open, FALSE AS held FROM rep
 UNION ALL
 SELECT {K}, step, CASE WHEN held THEN list_prepend(ur - (us - list_sum(asq)),
-list_transform(range(1, 25), j -> u[j] - asq[j])) WHEN open THEN {ZERO_LAYERS} ELSE u END, asq, open, held
+list_transform(range(1, 25), lambda j: u[j] - asq[j])) WHEN open THEN {ZERO_LAYERS} ELSE u END, asq, open, held
 FROM (SELECT {pick('r')}, r.step + 1 AS step, r.u, f.us, f.ur, {sold} AS asq, c.step IS NOT NULL AS open, f.us IS NOT NULL AS held
 FROM rec r LEFT JOIN cal c ON c.deal_id = r.deal_id AND c.step = r.step + 1
 LEFT JOIN flx f ON {same('r', 'f')} AND f.step = r.step + 1 WHERE r.step < 23))""",

@@ -21,7 +21,7 @@ from stocklens.functions.semantics import DEAL, clean_numeric, date_key
 from stocklens.operators import cycles, dates, demand, dims, facts, fifo, movement, quintile, sellthru
 from stocklens.plans.star import run_deals
 from stocklens.sources.readers import read_output
-from stocklens.sources.staging import shared_folder
+from stocklens.sources.staging import shared_folder, stage
 from stocklens.sources.writers import write_output
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,14 +56,25 @@ def query(name: str, *args):
     return add
 
 
+def monthly(spark: SparkSession, d: str, by_part: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Monthly (inventory, sales)."""
+    fx_line = fx.lines(spark, d, by_part)
+    return fx.inventory(fx_line), fx.sales(fx_line)
+
+
 def months(spark: SparkSession, d: str, by_part: bool = False) -> tuple[DataFrame, DataFrame]:
     """Monthly (inventory, sales) of series whose keys are all known."""
-    return fx.inventory(spark, d, by_part).dropna(subset=KEYS), fx.sales(spark, d, by_part).dropna(subset=KEYS)
+    return tuple(df.dropna(subset=KEYS) for df in monthly(spark, d, by_part))
 
 
 def base(spark: SparkSession, d: str, by_part: bool = False) -> SimpleNamespace:
-    """Monthly inputs with staging, dimension and base facts on top, all lazy."""
-    inv, sale = fx.inventory(spark, d, by_part), fx.sales(spark, d, by_part)
+    """Monthly inputs with staging, dimension and base facts on top.
+
+    Both monthly tables feed several of these, so they are staged as in a full run: the order
+    lines are scanned once per side.
+    """
+    inv, sale = monthly(spark, d, by_part)
+    inv, sale = stage(inv, "inventory-months"), stage(sale, "sales-months")
     sale_dates, inv_dates = dates.bucket_staging(sale, inv, RANGES)
     skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
     return SimpleNamespace(
@@ -75,7 +86,8 @@ def base(spark: SparkSession, d: str, by_part: bool = False) -> SimpleNamespace:
 
 def line_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     """Unsummed (inventory, sales) lines with SKU and category."""
-    return (fx.doubles(fx.inventory_lines(fx.lines(spark, d))), fx.doubles(fx.sales_lines(fx.lines(spark, d))))
+    fx_line = fx.lines(spark, d)
+    return fx.doubles(fx.inventory_lines(fx_line)), fx.doubles(fx.sales_lines(fx_line))
 
 
 # --- typing and layout -----------------------------------------------------------------------
@@ -96,17 +108,17 @@ def _raw_headers(df: DataFrame, month: str) -> DataFrame:
 
 @query("canonicalise_sales")
 def _(spark, d):
-    return sc.canonicalise(_raw_headers(fx.sales(spark, d), "BEG_MO"), "sale")
+    return sc.canonicalise(_raw_headers(fx.sales(fx.lines(spark, d)), "BEG_MO"), "sale")
 
 
 @query("canonicalise_inventory")
 def _(spark, d):
-    return sc.canonicalise(_raw_headers(fx.inventory(spark, d), "BOM_INV_DATE"), "inv")
+    return sc.canonicalise(_raw_headers(fx.inventory(fx.lines(spark, d)), "BOM_INV_DATE"), "inv")
 
 
 @query("to_frames")
 def _(spark, d):
-    return sc.to_frames(fx.inventory(spark, d))
+    return sc.to_frames(fx.inventory(fx.lines(spark, d)))
 
 
 @query("upper_strings")
@@ -124,17 +136,17 @@ def _(spark, d):
 
 @query("fill_gross_margin")
 def _(spark, d):
-    return sc.fill_margin(fx.sales(spark, d).drop("GROSS_MARGIN_$"))
+    return sc.fill_margin(fx.sales(fx.lines(spark, d)).drop("GROSS_MARGIN_$"))
 
 
 @query("fill_cogs")
 def _(spark, d):
-    return sc.fill_margin(fx.sales(spark, d).drop("COGS_$"))
+    return sc.fill_margin(fx.sales(fx.lines(spark, d)).drop("COGS_$"))
 
 
 @query("fill_margin_both")
 def _(spark, d):
-    return sc.fill_margin(fx.sales(spark, d).drop("COGS_$", "GROSS_MARGIN_$"))
+    return sc.fill_margin(fx.sales(fx.lines(spark, d)).drop("COGS_$", "GROSS_MARGIN_$"))
 
 
 @query("date_key")
@@ -147,19 +159,19 @@ def _(spark, d):
 
 @query("activity_dates_inventory")
 def _(spark, d):
-    return dates.activity_dates(fx.inventory(spark, d), KEYS, "BOM_INV_DATE", "TOTAL_COST_EXTENDED",
+    return dates.activity_dates(fx.inventory(fx.lines(spark, d)), KEYS, "BOM_INV_DATE", "TOTAL_COST_EXTENDED",
                                 *dates.RECEIPT_DATES)
 
 
 @query("activity_dates_sales")
 def _(spark, d):
-    return dates.activity_dates(fx.sales(spark, d), KEYS, "BEG_MO", "QUANTITY_SOLD", *dates.SALE_DATES)
+    return dates.activity_dates(fx.sales(fx.lines(spark, d)), KEYS, "BEG_MO", "QUANTITY_SOLD", *dates.SALE_DATES)
 
 
 def _exchanged(spark, d):
-    inv = dates.activity_dates(fx.inventory(spark, d), KEYS, "BOM_INV_DATE", "TOTAL_COST_EXTENDED",
-                               *dates.RECEIPT_DATES)
-    sale = dates.activity_dates(fx.sales(spark, d), KEYS, "BEG_MO", "QUANTITY_SOLD", *dates.SALE_DATES)
+    inv, sale = monthly(spark, d)
+    inv = dates.activity_dates(inv, KEYS, "BOM_INV_DATE", "TOTAL_COST_EXTENDED", *dates.RECEIPT_DATES)
+    sale = dates.activity_dates(sale, KEYS, "BEG_MO", "QUANTITY_SOLD", *dates.SALE_DATES)
     return dates.exchange_dates(sale, inv, KEYS)
 
 
@@ -197,17 +209,17 @@ def _(spark, d):
 
 @query("temp_salesbucket")
 def _(spark, d):
-    return dates.bucket_staging(fx.sales(spark, d), fx.inventory(spark, d), RANGES)[0]
+    return dates.bucket_staging(*reversed(monthly(spark, d)), RANGES)[0]
 
 
 @query("temp_invbucket")
 def _(spark, d):
-    return dates.bucket_staging(fx.sales(spark, d), fx.inventory(spark, d), RANGES)[1]
+    return dates.bucket_staging(*reversed(monthly(spark, d)), RANGES)[1]
 
 
 @query("conform_temp_invbucket")
 def _(spark, d):
-    staging = dates.bucket_staging(fx.sales(spark, d), fx.inventory(spark, d), RANGES)[1]
+    staging = dates.bucket_staging(*reversed(monthly(spark, d)), RANGES)[1]
     return sc.conform(staging, [*KEYS, "BOM_INV_DATE", "INTRODUCTION_DATE", "INTRODUCTION_BUCKET", "NOT_THERE"])
 
 
@@ -319,7 +331,7 @@ def _(spark, d):
 # --- quintile, movement ----------------------------------------------------------------------
 
 def _quintile(spark, d, n, by_part, scalable):
-    inv, sale = fx.inventory(spark, d, by_part), fx.sales(spark, d, by_part)
+    inv, sale = monthly(spark, d, by_part)
     return quintile.sales_quintile(inv, sale, None, n, scalable)
 
 
@@ -391,7 +403,7 @@ query("fact_sales_cycle_by_part", cycles.sales_cycle, True)(_cycle)
 
 
 def _leads(spark, d, require):
-    return sellthru.lead_sales(fx.inventory(spark, d), fx.sales(spark, d), KEYS, require_base_sale=require)
+    return sellthru.lead_sales(*monthly(spark, d), KEYS, require_base_sale=require)
 
 
 query("lead_sales", True)(_leads)

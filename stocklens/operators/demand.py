@@ -151,18 +151,16 @@ def demand_aging(df: DataFrame) -> DataFrame:
 
 
 def stock_out_run_off(df: DataFrame, weeks: int = WEEKS, rate: str = PLAIN_RATE) -> DataFrame:
-    """Weekly sales until the stock is gone; weeks after that are NULL.
-
-    While stock lasts each week sells w, so week i sells min(w, q - w(i-1)): no chain is needed.
-    """
+    """Weekly sales until the stock is gone; weeks after that are NULL."""
     unit, cost = "STOCK_OUT_SALES_UNIT", "STOCK_OUT_SALES_COST"
     df = df.withColumn(f"{unit}_SALES_PER_WEEK", F.col(rate) / 30 * 7)
     w, q = F.col(f"{unit}_SALES_PER_WEEK"), F.col("ADJ_QTY_DEMAND")
-    week = {f"{unit}_1_WEEK": both_least(w, q)}
+    df = df.withColumn(f"{unit}_1_WEEK", both_least(w, q))
+    gone = F.col(f"{unit}_1_WEEK")
     for i in range(2, weeks + 1):
-        left = q - w * (i - 1)
-        week[f"{unit}_{i}_WEEK"] = F.when((w > 0) & (left > 0), F.least(w, left))
-    df = df.withColumns(week)
+        left = q - gone
+        df = df.withColumn(f"{unit}_{i}_WEEK", F.when((left > 0) & (w > 0), F.least(w, left)))
+        gone = gone + F.col(f"{unit}_{i}_WEEK")
     amounts = {f"{cost}_COGS_PER_WEEK": known(F.col("CPU") * w)}
     for i in range(1, weeks + 1):
         amounts[f"{cost}_{i}_WEEK_AMOUNT"] = known(F.col("CPU") * F.col(f"{unit}_{i}_WEEK"))
