@@ -508,12 +508,12 @@ def roll(kind):
     return {**out, f"{kind}_OVER_720": fin(layer(24))}
 
 
-def fifo_table(by_part=False):
+def fifo_table():
     out = {**FLOW_OUT, **LAYER_OUT, **SOLD_OUT, "TOTAL_RECEIPTS": "us - list_sum(asq)", "STEP": "step"}
     for j, b in enumerate(LAYERS):
         out |= {f"COST_{b}": fin(f"(u[{j + 1}] * cpu0)"), f"A_{b}_S$A": fin(f"(asq[{j + 1}] * spu0)"),
                 f"A_{b}GM$A": fin(f"(asq[{j + 1}] * gmu0)")}
-    return sql(ledger(by_part), f"""SELECT {keys_out()}, {days(BOM_INV_DATE="bom")}, {txt(DATE_KEY=key_date("bom"))},
+    return sql(ledger(), f"""SELECT {keys_out()}, {days(BOM_INV_DATE="bom")}, {txt(DATE_KEY=key_date("bom"))},
 {nums({**out, **roll("UNITS"), **roll("COST")})} FROM led""")
 
 
@@ -523,7 +523,9 @@ FROM flx""")
 add("fifo_ledger", ledger(), f"""SELECT {keys_out()}, {nums({"STEP": "step", "USE_SALES": "us", "USE_RECEIPTS": "ur",
     "TOTAL_RECEIPTS": "us - list_sum(asq)", **LAYER_OUT, **SOLD_OUT})} FROM led""")
 ORACLE["fifo"] = fifo_table()
-ORACLE["fifo_by_part"] = fifo_table(True)
+add("fifo_by_part", ledger(True), f"""SELECT {keys_out()}, {txt(DATE_KEY=key_date("bom"))}, {nums({
+    "STEP": "step", "USE_SALES": "us", "USE_RECEIPTS": "ur", "TOTAL_RECEIPTS": "us - list_sum(asq)", "UNITS_0_30": "u[1]",
+    "UNITS_30_60": "u[2]", "UNITS_60_90": "u[3]", **roll("UNITS"), **roll("COST")})} FROM led""")
 add("fifo_m23", ledger(), f"""SELECT {keys_out()}, {txt(DATE_KEY=key_date("bom"))}, {nums({**roll("UNITS"), **roll("COST")})}
 FROM led WHERE step = 23""")
 

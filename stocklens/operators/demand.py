@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from stocklens.functions.grain import (INVENTORY_MEASURES, SALES_MEASURES, SIDE, around, lifetime,
                                        side, stack)
 from stocklens.functions.semantics import (DAYS_PER_MONTH, DEAL, both_least, clean_numeric, date_key, known,
-                                           null_double, pdiv, present)
+                                           pdiv, present, product)
 from stocklens.operators.dates import BUCKET_COLUMNS, STAGING_DATES
 from stocklens.operators.facts import month_grain
 
@@ -130,40 +130,39 @@ def demand_metrics(df: DataFrame, n: int, annualized: bool = False) -> DataFrame
 def demand_aging(df: DataFrame) -> DataFrame:
     """Spread stock over future months at the demand rate: units and cost per band.
 
-    Bands fill in order; each takes at most rate x months of what earlier bands left.
+    Bands fill in order, each with at most rate x months of what is left, so a band that starts
+    W months ahead holds min(rate x months, stock - rate x W), and nothing once that is negative.
+    Negative stock falls into the first band whole.
     """
-    q, rate = F.col("ADJ_QTY_DEMAND"), F.col(RATE)
-    taken = F.lit(0.0)
+    bands, ahead, stock = {}, 0, "ADJ_QTY_DEMAND"
     for band, months in BANDS.items():
-        name = f"DEMAND_UNITS_{band}"
-        fill = both_least(rate * months, known(q - taken))
-        df = df.withColumn(name, F.coalesce(F.when(rate > 0, fill), F.lit(0.0)))
-        taken = F.col(name) if band == "0_30" else taken + F.col(name)
-    no_sales = F.col("DEMAND_UNITS_NO_SALES")
-    df = df.withColumn("DEMAND_UNITS_720", known(q - (taken + no_sales)))
-    parts = [*(f"DEMAND_UNITS_{b}" for b in BANDS), "DEMAND_UNITS_720", "DEMAND_UNITS_NO_SALES"]
-    total = F.lit(0.0)
-    for p in parts:
-        total = total + F.coalesce(p, F.lit(0.0))
-    df = df.withColumn("DEMAND_UNITS_TOTAL", total)
+        fill = (f"greatest(0D, least({RATE} * {months}, {stock} - {RATE} * {ahead}))" if ahead
+                else f"least({RATE} * {months}, {stock})")
+        bands[f"DEMAND_UNITS_{band}"] = F.expr(f"if({RATE} > 0 and {stock} is not null, nanvl({fill}, 0D), 0D)")
+        ahead += months
+    df = df.withColumns(bands)
+    spread = " + ".join(bands)
+    q = F.col(stock)
+    df = df.withColumn("DEMAND_UNITS_720", known(q - F.expr(f"({spread} + DEMAND_UNITS_NO_SALES)")))
+    df = df.withColumn("DEMAND_UNITS_TOTAL", F.expr(
+        f"{spread} + coalesce(DEMAND_UNITS_720, 0D) + coalesce(DEMAND_UNITS_NO_SALES, 0D)"))
     df = df.withColumn("DEMAND_UNITS_CHECK", known(F.col("DEMAND_UNITS_TOTAL") - q))
-    return df.withColumns({c: known(F.col("CPU") * F.col(u)) for u, c in zip(UNITS, COSTS)})
+    return df.withColumns({c: product("CPU", u) for u, c in zip(UNITS, COSTS)})
 
 
 def stock_out_run_off(df: DataFrame, weeks: int = WEEKS, rate: str = PLAIN_RATE) -> DataFrame:
     """Weekly sales until the stock is gone; weeks after that are NULL."""
     unit, cost = "STOCK_OUT_SALES_UNIT", "STOCK_OUT_SALES_COST"
     df = df.withColumn(f"{unit}_SALES_PER_WEEK", F.col(rate) / 30 * 7)
-    w, q = F.col(f"{unit}_SALES_PER_WEEK"), F.col("ADJ_QTY_DEMAND")
-    df = df.withColumn(f"{unit}_1_WEEK", both_least(w, q))
-    gone = F.col(f"{unit}_1_WEEK")
+    week, w, q = f"{unit}_{{}}_WEEK", f"{unit}_SALES_PER_WEEK", "ADJ_QTY_DEMAND"
+    gone = week.format(1)
+    df = df.withColumn(gone, both_least(F.col(w), F.col(q)))
     for i in range(2, weeks + 1):
-        left = q - gone
-        df = df.withColumn(f"{unit}_{i}_WEEK", F.when((left > 0) & (w > 0), F.least(w, left)))
-        gone = gone + F.col(f"{unit}_{i}_WEEK")
-    amounts = {f"{cost}_COGS_PER_WEEK": known(F.col("CPU") * w)}
-    for i in range(1, weeks + 1):
-        amounts[f"{cost}_{i}_WEEK_AMOUNT"] = known(F.col("CPU") * F.col(f"{unit}_{i}_WEEK"))
+        left = f"({q} - ({gone}))"
+        df = df.withColumn(week.format(i), F.expr(f"if({left} > 0 and {w} > 0, least({w}, {left}), null)"))
+        gone += f" + {week.format(i)}"
+    amounts = {f"{cost}_COGS_PER_WEEK": product("CPU", w)}
+    amounts |= {f"{cost}_{i}_WEEK_AMOUNT": product("CPU", week.format(i)) for i in range(1, weeks + 1)}
     return df.withColumns(amounts)
 
 

@@ -7,12 +7,12 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stocklens.functions.grain import SIDE, around, stack, whole
-from stocklens.functions.semantics import DEAL, date_key, finite, known, month_index, pdiv
+from stocklens.functions.semantics import DEAL, date_key, finite_sql, month_index, pdiv, product
 from stocklens.operators.facts import sku_ids
 
 # Steps, layers of 30 days, and the roll-up bands as (first layer, past last layer).
@@ -176,29 +176,24 @@ def fifo_ledger(flows: DataFrame, sku_keys: DataFrame, calendar: DataFrame, keys
     total = F.aggregate("_ASQ", F.lit(0.0), lambda acc, x: acc + x)
     rows = rows.withColumn("TOTAL_RECEIPTS", F.col("USE_SALES") - total)
 
-    def layer(column: str, i: int) -> Column:
-        return F.element_at(column, i + 1)
-
-    out = {f"UNITS_{b}": layer("_UNITS", i) for i, b in enumerate(LAYERS)}
-    out |= {f"A_{b}_ASQ": layer("_ASQ", i) for i, b in enumerate(LAYERS)}
+    out = {f"UNITS_{b}": F.expr(f"_UNITS[{i}]") for i, b in enumerate(LAYERS)}
+    out |= {f"A_{b}_ASQ": F.expr(f"_ASQ[{i}]") for i, b in enumerate(LAYERS)}
     rows = rows.withColumns(out).drop("_UNITS", "_ASQ")
     values = {f"COST_{b}": (f"UNITS_{b}", "CURRENT_CPU") for b in LAYERS}
     values |= {f"A_{b}_S$A": (f"A_{b}_ASQ", "SP_U") for b in LAYERS}
     values |= {f"A_{b}GM$A": (f"A_{b}_ASQ", "GM_U") for b in LAYERS}
-    return rows.withColumns({name: known(F.col(a) * F.col(b)) for name, (a, b) in values.items()})
+    return rows.withColumns({name: product(a, b) for name, (a, b) in values.items()})
 
 
 def fifo_rollup(ledger: DataFrame) -> DataFrame:
     """Quarter and half-year bands on top of the layers; infinities become NULL first."""
     numbers = [f.name for f in ledger.schema.fields if isinstance(f.dataType, T.DoubleType)]
-    df = ledger.withColumns({c: finite(F.col(c)) for c in numbers})
+    df = ledger.withColumns({c: F.expr(finite_sql(c)) for c in numbers})
     bands = {}
     for kind in ("UNITS", "COST"):
         for band, (first, past) in ROLL_UPS.items():
-            total = F.lit(0.0)
-            for b in LAYERS[first:past]:
-                total = total + F.coalesce(f"{kind}_{b}", F.lit(0.0))
-            bands[f"{kind}_{band}"] = total
+            layers = [f"coalesce({kind}_{b}, 0D)" for b in LAYERS[first:past]]
+            bands[f"{kind}_{band}"] = F.expr(" + ".join(layers))
         bands[f"{kind}_OVER_720"] = F.col(f"{kind}_720_750")
     return df.withColumns({**bands, "DATE_KEY": date_key(F.col("BOM_INV_DATE"))})
 
