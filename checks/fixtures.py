@@ -10,6 +10,7 @@ from stocklens.operators.dates import BucketRange
 
 KEYS = [DEAL, *SERIES_COLUMNS]
 LAST_MONTH = "2001-07-01"
+PAST_LAST_MONTH = "2001-08-01"
 
 # Age ranges; the last one overlaps its neighbour on purpose.
 RANGES = [BucketRange(*r) for r in (
@@ -41,33 +42,38 @@ def lines(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
         F.lit("FG").alias("INVENTORY_TYPE"),
         (F.col("l_partkey").cast("string") if by_part else F.col("p_brand")).alias("TRIM_SKU"),
         F.col("p_brand").alias("_BRAND"), F.col("p_type").alias("CATEGORY_1"),
-        F.trunc("l_shipdate", "MM").alias("_SHIP_MO"), F.trunc("o_orderdate", "MM").alias("_ORDER_MO"),
-        F.when(returned, -1).otherwise(1).cast("decimal(2,0)").alias("_SGN"),
-        F.when(gone, 0).otherwise(1).cast("decimal(2,0)").alias("_HELD"),
+        F.col("l_shipdate").alias("_SHIPPED"), F.col("o_orderdate").alias("_ORDERED"),
+        returned.alias("_RETURNED"), gone.alias("_GONE"),
         money(qty).alias("_QTY"), money(price * (1 - F.col("l_discount"))).alias("_NET"),
         money(qty * retail * 0.6).alias("_COGS"), money(qty * retail * 0.7).alias("_COST"))
 
 
 def sales_lines(fx_line: DataFrame) -> DataFrame:
     """Sale lines; Brand#1 sells nothing in AFRICA, so some series are inventory only."""
-    kept = fx_line.where((F.col("_SHIP_MO") <= F.lit(LAST_MONTH).cast("date"))
+    kept = fx_line.where((F.col("_SHIPPED") < F.lit(PAST_LAST_MONTH).cast("timestamp"))
                          & ~((F.col("_BRAND") == "Brand#1") & (F.col("COUNTRY") == "AFRICA")))
-    sgn = F.col("_SGN")
+
+    def signed(x: Column) -> Column:
+        return F.when(F.col("_RETURNED"), -x).otherwise(x)
+
     return kept.select(*KEYS, F.concat("TRIM_SKU", F.lit(" ")).alias("SKU"), "CATEGORY_1",
-                       F.col("_SHIP_MO").alias("BEG_MO"), (sgn * F.col("_QTY")).alias("QUANTITY_SOLD"),
-                       (sgn * F.col("_NET")).alias("NET_SALES_$"),
-                       (sgn * (F.col("_NET") - F.col("_COGS"))).alias("GROSS_MARGIN_$"),
-                       (sgn * F.col("_COGS")).alias("COGS_$"))
+                       F.trunc("_SHIPPED", "MM").alias("BEG_MO"), signed(F.col("_QTY")).alias("QUANTITY_SOLD"),
+                       signed(F.col("_NET")).alias("NET_SALES_$"),
+                       signed(F.col("_NET") - F.col("_COGS")).alias("GROSS_MARGIN_$"),
+                       signed(F.col("_COGS")).alias("COGS_$"))
 
 
 def inventory_lines(fx_line: DataFrame) -> DataFrame:
     """Stock lines; Brand#2 holds nothing in ASIA, so some series are sales only."""
-    kept = fx_line.where((F.col("_ORDER_MO") <= F.lit(LAST_MONTH).cast("date"))
+    kept = fx_line.where((F.col("_ORDERED") < F.lit(PAST_LAST_MONTH).cast("timestamp"))
                          & ~((F.col("_BRAND") == "Brand#2") & (F.col("COUNTRY") == "ASIA")))
+
+    def held(x: Column) -> Column:
+        return F.when(F.col("_GONE"), F.lit(0).cast("decimal(18,4)")).otherwise(x)
+
     return kept.select(*KEYS, F.concat("TRIM_SKU", F.lit(" ")).alias("SKU"), "CATEGORY_1",
-                       F.col("_ORDER_MO").alias("BOM_INV_DATE"),
-                       (F.col("_HELD") * F.col("_QTY")).alias("QUANTITY_ON_HAND"),
-                       (F.col("_HELD") * F.col("_COST")).alias("TOTAL_COST_EXTENDED"))
+                       F.trunc("_ORDERED", "MM").alias("BOM_INV_DATE"), held(F.col("_QTY")).alias("QUANTITY_ON_HAND"),
+                       held(F.col("_COST")).alias("TOTAL_COST_EXTENDED"))
 
 
 def _exact_months(rows: DataFrame, month: str, measures: list[str]) -> DataFrame:

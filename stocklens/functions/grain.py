@@ -35,6 +35,17 @@ def monthly(df: DataFrame, keys: Sequence[str], month_col: str, measures: Sequen
     return df.groupBy(*group).agg(*[sum_or_zero(m).alias(m) for m in present(df, measures)])
 
 
+def condense(df: DataFrame, measures: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
+    """Sum the measures over rows that agree in all other columns (or in ``columns``).
+
+    One hash aggregate with map-side combine. Everything later reads the result, so raw rows are
+    scanned once, whatever number of tables is derived from them.
+    """
+    measures = present(df, measures)
+    rest = [c for c in (columns if columns is not None else df.columns) if c not in measures]
+    return df.groupBy(*present(df, rest)).agg(*[sum_or_zero(m).alias(m) for m in measures])
+
+
 def monthly_inventory(inv: DataFrame, keys: Sequence[str] | None = None,
                       keep_null_keys: bool = False) -> DataFrame:
     return monthly(inv, keys or series_keys(inv), "BOM_INV_DATE", INVENTORY_MEASURES, keep_null_keys)

@@ -13,6 +13,7 @@ from stocklens.functions.semantics import (DAYS_PER_MONTH, DEAL, both_least, cle
                                            pdiv, present, product)
 from stocklens.operators.dates import BUCKET_COLUMNS, STAGING_DATES
 from stocklens.operators.facts import month_grain
+from stocklens.sources.staging import small_side
 
 # Horizons in months and how output tables name them; ageing bands and their length
 # in months; weeks of run-off.
@@ -82,7 +83,9 @@ def month_availability(inv_m: DataFrame, sale_m: DataFrame, keys: Sequence[str],
     st = stack(keys, inv=(inv_m, "BOM_INV_DATE"), sale=(sale_m.select(*keys, "BEG_MO"), "BEG_MO"))
     rows = side(st.withColumn("_FIRST_SALE", F.min("BEG_MO").over(lifetime(keys))), "inv",
                 [*inv_m.columns, "_FIRST_SALE"])
-    starts = rows.where(F.col("_FIRST_SALE").isNotNull()).select(DEAL, F.col("_FIRST_SALE").alias("_M")).distinct()
+    starts = small_side(
+        rows.where(F.col("_FIRST_SALE").isNotNull()).select(DEAL, F.col("_FIRST_SALE").alias("_M")).distinct(),
+        "first-sale-months")
     end, begin = starts.withColumn("_END", F.lit(True)), starts.withColumn("_BEGIN", F.lit(True))
     flagged = (rows.withColumn("_M", F.col("BOM_INV_DATE")).join(end, [DEAL, "_M"], "left")
                .withColumn("_M", F.add_months("BOM_INV_DATE", -(n - 1))).join(begin, [DEAL, "_M"], "left"))

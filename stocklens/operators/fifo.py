@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from stocklens.functions.grain import SIDE, around, stack, whole
 from stocklens.functions.semantics import DEAL, date_key, finite_sql, month_index, pdiv, product
 from stocklens.operators.facts import sku_ids
+from stocklens.sources.staging import small_side
 
 # Steps, layers of 30 days, and the roll-up bands as (first layer, past last layer).
 STEPS = 24
@@ -37,9 +38,9 @@ def fifo_calendar(inv_m: DataFrame) -> DataFrame:
     latest = F.max(month_index(F.col("BOM_INV_DATE"))).over(whole([DEAL]))
     months = months.withColumn("STEP", month_index(F.col("BOM_INV_DATE")) - latest + STEPS - 1)
     recent = F.sum(F.when(F.col("STEP") >= STEPS - MIN_MONTHS, 1).otherwise(0)).over(whole([DEAL]))
-    return (months.withColumn("_RECENT", recent)
-            .where((F.col("_RECENT") == MIN_MONTHS) & (F.col("STEP") >= -1))
-            .select(DEAL, "BOM_INV_DATE", "STEP"))
+    return small_side(months.withColumn("_RECENT", recent)
+                      .where((F.col("_RECENT") == MIN_MONTHS) & (F.col("STEP") >= -1))
+                      .select(DEAL, "BOM_INV_DATE", "STEP"), "fifo-calendar")
 
 
 def fifo_eligible(inv_m: DataFrame) -> DataFrame:
@@ -47,13 +48,14 @@ def fifo_eligible(inv_m: DataFrame) -> DataFrame:
     return fifo_calendar(inv_m).select(DEAL).distinct()
 
 
-def fifo_flows(inv_m: DataFrame, sale_m: DataFrame, keys: Sequence[str]) -> DataFrame:
+def fifo_flows(inv_m: DataFrame, sale_m: DataFrame, keys: Sequence[str],
+               calendar: DataFrame | None = None) -> DataFrame:
     """Units sold and received per series and step, from stock at the month and the month before.
 
     Sales in months without an inventory row are lost. The calendar joins on deal and month, which
     spreads one large deal over its months.
     """
-    calendar = fifo_calendar(inv_m)
+    calendar = fifo_calendar(inv_m) if calendar is None else calendar
     inv = inv_m.join(calendar, [DEAL, "BOM_INV_DATE"])
     sale = sale_m.join(calendar.select(DEAL, F.col("BOM_INV_DATE").alias("BEG_MO")), [DEAL, "BEG_MO"], "left_semi")
     now, before = around(keys, 0, 0), around(keys, -1, -1)
@@ -153,8 +155,10 @@ def fifo_ledger(flows: DataFrame, sku_keys: DataFrame, calendar: DataFrame, keys
     24 flows, so tasks stream over series and never hold a group.
     """
     packed = flows.groupBy(*keys).agg(F.collect_list(F.struct(F.col("STEP"), *FLOW_COLUMNS)).alias("_FLOWS"))
-    steps = (calendar.where(F.col("STEP") >= 0).groupBy(DEAL)
-             .agg(F.sort_array(F.collect_set("STEP")).alias("_CALENDAR"), F.max("BOM_INV_DATE").alias("_LATEST")))
+    steps = small_side(
+        calendar.where(F.col("STEP") >= 0).groupBy(DEAL)
+        .agg(F.sort_array(F.collect_set("STEP")).alias("_CALENDAR"), F.max("BOM_INV_DATE").alias("_LATEST")),
+        "fifo-steps")
     base = sku_keys.join(packed, list(keys), "left").join(steps, DEAL)
     no_flows = F.array().cast(packed.schema["_FLOWS"].dataType)
     base = base.withColumn("_FLOWS", F.coalesce("_FLOWS", no_flows))
@@ -206,9 +210,9 @@ def reported_skus(inv_m: DataFrame, dim_sku: DataFrame, keys: Sequence[str]) ->
 
 def fifo(inv_m: DataFrame, sale_m: DataFrame, dim_sku: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The FIFO table, one STEP per month of history (0 oldest, 23 latest)."""
-    ledger = fifo_ledger(fifo_flows(inv_m, sale_m, keys), reported_skus(inv_m, dim_sku, keys),
-                         fifo_calendar(inv_m), keys)
-    return fifo_rollup(ledger)
+    calendar = fifo_calendar(inv_m)
+    flows = fifo_flows(inv_m, sale_m, keys, calendar)
+    return fifo_rollup(fifo_ledger(flows, reported_skus(inv_m, dim_sku, keys), calendar, keys))
 
 
 def fifo_step(table: DataFrame, step: int) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from stocklens.functions.grain import SALES_MEASURES, monthly_inventory, monthly_sales, sum_or_zero
 from stocklens.functions.semantics import DEAL, SALES_NO_INV, date_key, finite, pdiv, series_keys
 from stocklens.operators.facts import sku_ids
-from stocklens.sources.staging import stage
+from stocklens.sources.staging import small_side, stage
 
 # Upper bounds of the five quintiles on the cumulative share.
 QUINTILE_BOUNDS = {0.2: "1.0", 0.4: "2.0", 0.6: "3.0", 0.8: "4.0", 1.0: "5.0"}
@@ -59,10 +59,11 @@ def sales_quintile(inv: DataFrame, sale: DataFrame, dim_sku: DataFrame | None =
     keys = series_keys(inv, sale)
     latest = sale.groupBy(DEAL).agg(F.max("BEG_MO").alias("_LATEST"))
     months = latest.select(DEAL, "_LATEST", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_BACK"))
-    months = months.select(DEAL, "_LATEST", F.add_months("_LATEST", -F.col("_BACK")).alias("BEG_MO"))
+    months = small_side(months.select(DEAL, "_LATEST", F.add_months("_LATEST", -F.col("_BACK")).alias("BEG_MO")),
+                        "quintile-months")
     sold = (monthly_sales(sale, keys).join(months, [DEAL, "BEG_MO"]).groupBy(*keys)
             .agg(*[sum_or_zero(m).alias(m) for m in SALES_MEASURES], F.max("_LATEST").alias("_LATEST")))
-    now = latest.select(DEAL, F.col("_LATEST").alias("BOM_INV_DATE"))
+    now = months.where(F.col("BEG_MO") == F.col("_LATEST")).select(DEAL, F.col("_LATEST").alias("BOM_INV_DATE"))
     stock = monthly_inventory(inv, keys).join(now, [DEAL, "BOM_INV_DATE"], "left_semi").drop("BOM_INV_DATE")
     rows = sold.join(stock, keys, "left")
 

@@ -12,6 +12,7 @@ from stocklens.functions.grain import INVENTORY_MEASURES, SIDE, around, lifetime
 from stocklens.functions.semantics import DEAL, date_key, pdiv, present
 from stocklens.operators.dates import BUCKET_COLUMNS
 from stocklens.operators.facts import month_grain
+from stocklens.sources.staging import small_side
 
 LEADS = (1, 2, 3)
 # Measure -> output prefix, and the cost check band.
@@ -27,7 +28,9 @@ def lead_sales(inv_m: DataFrame, sale_m: DataFrame, keys: Sequence[str], leads:
     own month gets no leads unless ``require_base_sale`` is off. Missing keys match each other.
     Bucket columns and the id of ``fact_inv`` ride in the same stack instead of a join.
     """
-    stocked = inv_m.select(DEAL, F.col("BOM_INV_DATE").alias("BEG_MO"), F.lit(True).alias("_STOCKED")).distinct()
+    stocked = small_side(
+        inv_m.select(DEAL, F.col("BOM_INV_DATE").alias("BEG_MO"), F.lit(True).alias("_STOCKED")).distinct(),
+        "stocked-months")
     sale = sale_m.select(*keys, "BEG_MO", *LEAD_COLUMNS).join(stocked, [DEAL, "BEG_MO"], "left")
     sides = {"inv": (inv_m, "BOM_INV_DATE"), "sale": (sale, "BEG_MO")}
     carried = []

@@ -7,19 +7,20 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from stocklens.functions.grain import monthly_inventory, monthly_sales
+from stocklens.functions.grain import (INVENTORY_MEASURES, SALES_MEASURES, condense, monthly_inventory,
+                                       monthly_sales)
 from stocklens.functions.schema import fill_margin, to_frames
 from stocklens.functions.semantics import DEAL, series_keys
 from stocklens.operators.cycles import margin_cycle, sales_cycle
 from stocklens.operators.dates import BucketRange, bucket_staging
-from stocklens.operators.demand import demand_facts, demand_windows
+from stocklens.operators.demand import HORIZONS, demand_facts, demand_windows
 from stocklens.operators.dims import dim_category, dim_sku, id_clashes
 from stocklens.operators.facts import fact_inventory, fact_sales
 from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
 from stocklens.operators.quintile import sales_quintile
 from stocklens.operators.sellthru import lead_sales, sell_through
-from stocklens.sources.staging import stage
+from stocklens.sources.staging import small_side, stage
 from stocklens.sources.writers import write_output
 
 Cut = Callable[[DataFrame, str], DataFrame]
@@ -27,7 +28,8 @@ Cut = Callable[[DataFrame, str], DataFrame]
 
 def both_sided_deals(sale: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Drop deals that lack sales or lack inventory."""
-    held, sold = (df.select(DEAL).distinct() for df in (inv, sale))
+    held = small_side(inv.select(DEAL).distinct(), "deals-held")
+    sold = small_side(sale.select(DEAL).distinct(), "deals-sold")
     return sale.join(held, DEAL, "left_semi"), inv.join(sold, DEAL, "left_semi")
 
 
@@ -36,11 +38,13 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
               cut: Cut = stage) -> dict[str, DataFrame]:
     """All output tables by name, under canonical headers.
 
-    ``cut`` stores the tables that many outputs read (dimension, base facts, monthly sums, trailing
-    windows): raw rows are scanned for those only, and outputs start from the small monthly grain.
-    Pass ``lambda df, name: df`` to keep one lazy plan.
+    Raw rows are scanned once per side, into condensed tables that hold every column a later step
+    needs. ``cut`` stores those and the other tables that many outputs read (dimensions, base
+    facts, monthly sums, trailing windows); pass ``lambda df, name: df`` to leave them lazy.
     """
-    sale, inv = both_sided_deals(fill_margin(sale), inv)
+    sale = cut(condense(fill_margin(sale), SALES_MEASURES), "sales-condensed")
+    inv = cut(condense(inv, INVENTORY_MEASURES), "inventory-condensed")
+    sale, inv = both_sided_deals(sale, inv)
     keys = series_keys(inv)
     sale_staging, inv_staging = bucket_staging(sale, inv, ranges)
     sale_staging, inv_staging = cut(sale_staging, "sales-staging"), cut(inv_staging, "inventory-staging")
@@ -56,9 +60,8 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     tables = {"TEMP_INVBUCKET": inv_staging, "TEMP_SALESBUCKET": sale_staging, "DIM_CATEGORY": categories,
               "DIM_SKU": skus, "FACT_INVENTORY": inv_fact, "FACT_SALES": sale_fact}
     tables |= demand_facts(inv_fact, sale_known, keys, windows)
-    names = {2: "TWO", 3: "THREE", 6: "SIX", 12: "TWELVE", 24: "TWENTYFOUR"}
     for n in quintile_months:
-        tables[f"FACT_{names[n]}_MONTH_QUINTILE"] = sales_quintile(inv_m, sale_m, skus, n, insert_date=insert_date)
+        tables[f"FACT_{HORIZONS[n]}_MONTH_QUINTILE"] = sales_quintile(inv_m, sale_m, skus, n, insert_date=insert_date)
     tables["FACT_INV_MVMT"] = inventory_movement(inv_fact, ranges, insert_date=insert_date)
     tables["FIFO"] = fifo(inv_known, sale_known, skus, keys)
     tables["FACT_GROSS_MARGIN_CYCLE"] = margin_cycle(sale_m, inv_m, sale_fact, ranges, insert_date)

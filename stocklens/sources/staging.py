@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+# Rows of a few ids, dates and flags each: some tens of MB at most.
+BROADCAST_ROWS = 1_000_000
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,3 +32,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/stocklens/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """Store a per-deal or per-deal-and-month table, and broadcast it if its row count allows.
+
+    Left alone, the planner shuffles the large side of such a join before it learns that this one
+    is small. Above ``max_rows`` the join shuffles both sides, and adaptive skew handling splits a
+    large deal.
+    """
+    stored = stage(df, name)
+    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
