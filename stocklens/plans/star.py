@@ -9,12 +9,12 @@ from pyspark.sql import DataFrame
 
 from stocklens.functions.grain import (INVENTORY_MEASURES, SALES_MEASURES, condense, monthly_inventory,
                                        monthly_sales)
-from stocklens.functions.schema import fill_margin, to_frames
-from stocklens.functions.semantics import DEAL, series_keys
+from stocklens.functions.schema import conform, fill_margin
+from stocklens.functions.semantics import DEAL, present, series_keys
 from stocklens.operators.cycles import margin_cycle, sales_cycle
 from stocklens.operators.dates import BucketRange, bucket_staging
 from stocklens.operators.demand import HORIZONS, demand_facts, demand_windows
-from stocklens.operators.dims import dim_category, dim_sku, id_clashes
+from stocklens.operators.dims import SKU_KEYS, dim_category, dim_sku, id_clashes
 from stocklens.operators.facts import fact_inventory, fact_sales
 from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
@@ -72,9 +72,9 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
-    """Write every table under frame headers; refuses SKU ids that two natural keys share."""
-    keys = [c for c in series_keys(tables["DIM_SKU"])] + ["SKU"]
-    if id_clashes(tables["DIM_SKU"], keys, "SKU_SEQ_ID").limit(1).count():
+    """Write every table in output form; refuses SKU ids that two natural keys share."""
+    skus = tables["DIM_SKU"]
+    if id_clashes(skus, present(skus, SKU_KEYS), "SKU_SEQ_ID").limit(1).count():
         raise ValueError("two SKU keys of one deal share a SKU_SEQ_ID")
-    return [write_output(to_frames(df), root, name, [DEAL, "STEP"] if name == "FIFO" else [DEAL])
+    return [write_output(conform(df, df.columns), root, name, [DEAL, "STEP"] if name == "FIFO" else [DEAL])
             for name, df in tables.items()]
