@@ -50,7 +50,7 @@ def lines(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
 
 def sales_lines(fx_line: DataFrame) -> DataFrame:
     """Sale lines; Brand#1 sells nothing in AFRICA, so some series are inventory only."""
-    kept = fx_line.where((F.col("_SHIPPED") < F.lit(PAST_LAST_MONTH).cast("timestamp"))
+    kept = fx_line.where((F.col("_SHIPPED") < F.lit(PAST_LAST_MONTH))
                          & ~((F.col("_BRAND") == "Brand#1") & (F.col("COUNTRY") == "AFRICA")))
 
     def signed(x: Column) -> Column:
@@ -65,7 +65,7 @@ def sales_lines(fx_line: DataFrame) -> DataFrame:
 
 def inventory_lines(fx_line: DataFrame) -> DataFrame:
     """Stock lines; Brand#2 holds nothing in ASIA, so some series are sales only."""
-    kept = fx_line.where((F.col("_ORDERED") < F.lit(PAST_LAST_MONTH).cast("timestamp"))
+    kept = fx_line.where((F.col("_ORDERED") < F.lit(PAST_LAST_MONTH))
                          & ~((F.col("_BRAND") == "Brand#2") & (F.col("COUNTRY") == "ASIA")))
 
     def held(x: Column) -> Column:

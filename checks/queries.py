@@ -101,11 +101,17 @@ def line_inputs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
     return fx.doubles(fx.inventory_lines(fx_line)), fx.doubles(fx.sales_lines(fx_line))
 
 
+_CONDENSED: dict[tuple[str, str], tuple[DataFrame, DataFrame]] = {}
+
+
 def condensed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    """Raw input condensed and stored, the first step of a full run."""
-    inv, sale = line_inputs(spark, d)
-    return (stage(condense(inv, INVENTORY_MEASURES), "inventory-condensed"),
-            stage(condense(sale, SALES_MEASURES), "sales-condensed"))
+    """Raw (inventory, sales) condensed and stored, the first step of a full run."""
+    key = (spark.sparkContext.applicationId, d)
+    if key not in _CONDENSED:
+        inv, sale = line_inputs(spark, d)
+        _CONDENSED[key] = (stage(condense(inv, INVENTORY_MEASURES), "inventory-condensed"),
+                           stage(condense(sale, SALES_MEASURES), "sales-condensed"))
+    return _CONDENSED[key]
 
 
 # --- typing and layout -----------------------------------------------------------------------
@@ -245,26 +251,26 @@ def _(spark, d):
 
 @query("dim_category")
 def _(spark, d):
-    inv, sale = line_inputs(spark, d)
+    inv, sale = condensed(spark, d)
     return dims.dim_category(sale, inv)
 
 
 @query("dim_category_new_rows")
 def _(spark, d):
-    inv, sale = line_inputs(spark, d)
+    inv, sale = condensed(spark, d)
     stored = dims.dim_category(inv.select(*KEYS), inv)
     return dims.dim_category(sale, inv, existing=stored)
 
 
 @query("dim_sku")
 def _(spark, d):
-    inv, sale = line_inputs(spark, d)
+    inv, sale = condensed(spark, d)
     return dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
 
 
 @query("surrogate_key")
 def _(spark, d):
-    inv, sale = line_inputs(spark, d)
+    inv, sale = condensed(spark, d)
     skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
     return skus.groupBy(DEAL).agg(F.count("*").alias("KEYS"), F.countDistinct("SKU_SEQ_ID").alias("IDS"))
 
@@ -273,14 +279,14 @@ def _(spark, d):
 def _(spark, d):
     inv, sale = condensed(spark, d)
     skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
-    return facts.fact_inventory(inv, dates.bucket_staging(sale, inv, RANGES)[1], skus, RANGES)
+    return facts.fact_inventory(inv, dates.bucket_staging(sale, inv, RANGES)[1], skus, RANGES, condensed=True)
 
 
 @query("fact_sales")
 def _(spark, d):
     inv, sale = condensed(spark, d)
     skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
-    return facts.fact_sales(sale, dates.bucket_staging(sale, inv, RANGES)[0], skus, RANGES)
+    return facts.fact_sales(sale, dates.bucket_staging(sale, inv, RANGES)[0], skus, RANGES, condensed=True)
 
 
 @query("fact_inventory_written")

@@ -60,11 +60,11 @@ def first_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
                priority: Column | None = None) -> DataFrame:
     """One whole row of ``columns`` per key: lowest priority first, then smallest values.
 
-    The distinct pass is a hash aggregate that shrinks a hot key to its distinct rows before the
-    ordered pick, which has to sort.
+    The pick is combined map-side, so a hot key sends one row per map task. It sorts its input
+    locally (text has no fixed-width buffer), so give it condensed rows rather than raw ones.
     """
     rank = priority if priority is not None else F.lit(0)
-    slim = df.select(*keys, rank.alias("_RANK"), *columns).distinct()
+    slim = df.select(*keys, rank.alias("_RANK"), *columns)
     ordered = [F.col("_RANK")]
     for c in columns:
         ordered += [F.col(c).isNull().alias(f"_{c}_MISSING"), F.col(c)]

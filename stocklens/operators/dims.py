@@ -63,7 +63,7 @@ def dim_sku(dim_cat: DataFrame, sale: DataFrame, inv: DataFrame,
     An attribute both sides have keeps its name; when only one side has it, that side's value.
     """
     keys = [c for c in SKU_KEYS if c in dim_cat.columns and (c in sale.columns or c in inv.columns)]
-    base = dim_cat.select(*keys, "CATEGORY_SEQ_ID").dropDuplicates(keys)
+    base = dim_cat.select(*keys, "CATEGORY_SEQ_ID")
 
     def picked(df: DataFrame, suffix: str) -> tuple[DataFrame, list[str]]:
         own, on = present(df, attributes), present(df, keys)

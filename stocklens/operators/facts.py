@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.functions.grain import INVENTORY_MEASURES, SALES_MEASURES, first_rows, sum_or_zero
+from stocklens.functions.grain import INVENTORY_MEASURES, SALES_MEASURES, condense, first_rows, sum_or_zero
 from stocklens.functions.schema import fill_margin
 from stocklens.functions.semantics import date_key, pdiv, present, series_keys
 from stocklens.operators.dates import RECEIPT_DATES, SALE_DATES, BucketRange, age_columns
@@ -18,15 +18,15 @@ GRAIN_DATES = ["EXPIRATION_DATE", "ORDER_DATE", "SHIP_DATE"]
 
 
 def sum_with_attributes(df: DataFrame, group: Sequence[str], measures: Sequence[str],
-                        attributes: Sequence[str]) -> DataFrame:
+                        attributes: Sequence[str], condensed: bool = False) -> DataFrame:
     """Sum measures and pick one attribute row per group in one scan.
 
-    Grouping by the attributes first is a hash aggregate that combines map-side; only its small
-    result meets the ordered pick, so a hot group is never sorted raw.
+    Raw rows are condensed by the attributes first, a hash aggregate that combines map-side: only
+    its small result meets the ordered pick, so a hot group is never sorted raw.
     """
     if not attributes:
         return df.groupBy(*group).agg(*[sum_or_zero(m).alias(m) for m in measures])
-    slim = df.groupBy(*group, *attributes).agg(*[sum_or_zero(m).alias(m) for m in measures])
+    slim = df if condensed else condense(df, measures, [*group, *attributes])
     ordered = [x for c in attributes for x in (F.col(c).isNull().alias(f"_{c}_MISSING"), F.col(c))]
     rows = slim.groupBy(*group).agg(*[sum_or_zero(m).alias(m) for m in measures],
                                     F.min(F.struct(*ordered)).alias("_FIRST"))
@@ -40,10 +40,11 @@ def sku_ids(dim_sku: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 def build_fact(df: DataFrame, dates: DataFrame, dim_sku: DataFrame, keys: Sequence[str],
                measures: Sequence[str], kind: str, ranges: Sequence[BucketRange],
-               attributes: Sequence[str] | None = None,
+               attributes: Sequence[str] | None = None, condensed: bool = False,
                insert_date: date | None = None) -> DataFrame:
     """Fact at keys x month (x order, ship and expiry date when present).
 
+    ``condensed`` says that ``df`` comes from ``condense`` and need not be condensed again.
     ``dates`` is the staging table of the same side. Its dates are constant per series, so they
     join on the keys alone and both joins share one exchange.
     """
@@ -53,7 +54,7 @@ def build_fact(df: DataFrame, dates: DataFrame, dim_sku: DataFrame, keys: Sequen
     if attributes is None:
         taken = {*group, *measures, "GROSS_MARGIN_$", "COGS_$", "NET_SALES_$"}
         attributes = [c for c in df.columns if c not in taken]
-    fact = sum_with_attributes(df.dropna(subset=group), group, measures, present(df, attributes))
+    fact = sum_with_attributes(df.dropna(subset=group), group, measures, present(df, attributes), condensed)
 
     series_dates = dates.select(*keys, *SALE_DATES, *RECEIPT_DATES).distinct()
     fact = (fact.join(series_dates, list(keys), "left")

@@ -46,15 +46,17 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     inv = cut(condense(inv, INVENTORY_MEASURES), "inventory-condensed")
     sale, inv = both_sided_deals(sale, inv)
     keys = series_keys(inv)
-    sale_staging, inv_staging = bucket_staging(sale, inv, ranges)
-    sale_staging, inv_staging = cut(sale_staging, "sales-staging"), cut(inv_staging, "inventory-staging")
-    categories = cut(dim_category(sale, inv), "dim-category")
-    skus = cut(dim_sku(categories, sale, inv), "dim-sku")
-    inv_fact = cut(fact_inventory(inv, inv_staging, skus, ranges, insert_date=insert_date), "fact-inventory")
-    sale_fact = cut(fact_sales(sale, sale_staging, skus, ranges, insert_date=insert_date), "fact-sales")
     inv_m = cut(monthly_inventory(inv, keys, keep_null_keys=True), "inventory-months")
     sale_m = cut(monthly_sales(sale, keys, keep_null_keys=True), "sales-months")
     inv_known, sale_known = inv_m.dropna(subset=keys), sale_m.dropna(subset=keys)
+    sale_staging, inv_staging = bucket_staging(sale_known, inv_known, ranges)
+    sale_staging, inv_staging = cut(sale_staging, "sales-staging"), cut(inv_staging, "inventory-staging")
+    categories = cut(dim_category(sale, inv), "dim-category")
+    skus = cut(dim_sku(categories, sale, inv), "dim-sku")
+    inv_fact = cut(fact_inventory(inv, inv_staging, skus, ranges, condensed=True, insert_date=insert_date),
+                   "fact-inventory")
+    sale_fact = cut(fact_sales(sale, sale_staging, skus, ranges, condensed=True, insert_date=insert_date),
+                    "fact-sales")
     windows = cut(demand_windows(inv_fact, sale_known, keys), "demand-windows")
 
     tables = {"TEMP_INVBUCKET": inv_staging, "TEMP_SALESBUCKET": sale_staging, "DIM_CATEGORY": categories,
