@@ -3,7 +3,7 @@ from datetime import date
 
 import pytest
 
-from conftest import KEYS, inventory, key, sales
+from conftest import inventory, key, sales
 from stocklens.operators.dates import BucketRange
 from stocklens.plans.star import both_sided_deals, run_deals, write_tables
 from stocklens.sources import readers
