@@ -130,6 +130,20 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         now.select(F.col("b"), F.col("b")).distinct())
 
 
+def pieces(batch, size: int = 1 << 20):
+    """(first column, texts of the second) of an Arrow batch, in runs of about ``size`` bytes of text."""
+    ids, texts, held = [], [], 0
+    for i, text in zip(batch.column(0), batch.column(1)):
+        ids.append(i.as_py())
+        texts.append(text.as_py())
+        held += len(texts[-1] or b"") + 64
+        if held > size:
+            yield ids, texts
+            ids, texts, held = [], [], 0
+    if ids:
+        yield ids, texts
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Finaliser that spreads 64-bit keys (splitmix64)."""
     x = x + np.uint64(0x9E3779B97F4A7C15)

@@ -29,13 +29,12 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import components, mix64, staged, table, utf8, words
+from stocklens.llm.common import components, mix64, pieces, staged, table, utf8, words
 
 BANDS, ROWS, BITS, SEED = 24, 5, 2, 20240607
 K = BANDS * ROWS
 PER_LONG = 30
 MARGIN = 0.17
-PIECE = 1 << 20
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -88,20 +87,6 @@ def _constants_cached():
     return _CACHE[0]
 
 
-def pieces(batch: pa.RecordBatch):
-    """(ids, texts, set keys) of a batch in runs of about a megabyte of text."""
-    ids, texts, size = [], [], 0
-    for row in zip(*(batch.column(i).to_pylist() for i in range(batch.num_columns))):
-        ids.append(row[0])
-        texts.append(row[1])
-        size += len(row[1] or b"") + 64
-        if size > PIECE:
-            yield ids, texts
-            ids, texts, size = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 SIGNATURES = "doc_id long, n_shingles long, set_key binary, signature array<long>, bands array<long>"
 
 
