@@ -125,9 +125,9 @@ def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Block]:
 
 def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                   block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Per document row: doc_id, n_words, spans (word positions hit: start, end), item_ids."""
+    """Per document row: doc_id, n_words, spans (word positions hit: start, end), item_ids, text_hash."""
     spark = documents.sparkSession
-    docs = documents.select("doc_id", utf8(F.col("text")).alias("text"), F.xxhash64("text").alias("_text"))
+    docs = documents.select("doc_id", utf8(F.col("text")).alias("text"), F.xxhash64("text").alias("text_hash"))
     parts = []
     for block in blocks(benchmark, window, block_bytes):
         sent = spark.sparkContext.broadcast(block)
@@ -161,12 +161,12 @@ def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WIND
                     items.append(i)
                 yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(spans, span),
                                                   pa.array(items, pa.list_(pa.int64())), batch.column(2)],
-                                                 names=["doc_id", "n_words", "spans", "item_ids", "_text"])
+                                                 names=["doc_id", "n_words", "spans", "item_ids", "text_hash"])
 
         parts.append(docs.mapInArrow(hits, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, "
-                                           "spans array<struct<start:long,end:long>>, item_ids array<long>, _text long"))
+                                           "spans array<struct<start:long,end:long>>, item_ids array<long>, text_hash long"))
     if len(parts) == 1:
-        return parts[0].drop("_text")
+        return parts[0]
     return _merged(parts)
 
 
@@ -175,7 +175,7 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
     out = parts[0]
     for p in parts[1:]:
         out = out.unionAll(p)
-    found = out.groupBy("doc_id", "_text", "n_words").agg(F.flatten(F.collect_list("spans")).alias("s"),
+    found = out.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("spans")).alias("s"),
                                                  F.flatten(F.collect_list("item_ids")).alias("i"),
                                                  F.count(F.lit(1)).alias("rows"))
     # Union of sorted spans: fold them, widening the last one while they touch.
@@ -186,17 +186,24 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
             F.element_at(acc, -1)["start"].alias("start"),
             F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))))
     copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int")))
-    return found.select("doc_id", "n_words", joined.alias("spans"), F.array_distinct("i").alias("item_ids"),
+    return found.select("doc_id", "n_words", joined.alias("spans"), F.array_distinct("i").alias("item_ids"), "text_hash",
                         copies.alias("_copy")).drop("_copy")
 
 
-def verdicts(found: DataFrame) -> DataFrame:
+def verdicts(found: DataFrame, *more: str) -> DataFrame:
     """Contamination rule: at least one word in twenty lies in a window of some item."""
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
     names = F.array_sort(F.transform("item_ids", lambda i: i.cast("string")))
     return found.select("doc_id", "n_words", n_hit.alias("n_hit"), F.size("item_ids").cast("long").alias("n_items"),
                         F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
-                        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"))
+                        ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"), *more)
+
+
+def without_contaminated(documents: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``documents`` that the contamination rule leaves."""
+    found = contamination(documents, benchmark, **options)
+    bad = verdicts(found, "text_hash").where("contaminated").select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
+    return documents.join(bad, documents["doc_id"].eqNullSafe(bad["_id"]) & (F.xxhash64(documents["text"]) == bad["_hash"]), "left_anti")
 
 
 def query(spark, sf_dir: str) -> DataFrame:

@@ -153,11 +153,12 @@ def mixed_texts(documents: DataFrame, **options) -> DataFrame:
 
     A whole pass keeps the text as it is; a further run keeps its words and the blanks among them.
     """
-    taken = mix(documents, **options).where("taken > 0")
-    # Repeated rows share id and hash: their takes are summed up first, and each copy is one row here.
-    counted = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "size", "passes", "runs", F.monotonically_increasing_id().alias("_row"))
-    distinct = documents.withColumn("_text_hash", F.xxhash64("text")).dropDuplicates(["doc_id", "_text_hash"])
-    both = distinct.join(counted, (F.col("doc_id") == F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
+    taken = staged(mix(documents, **options).where("taken > 0"), "taken")
+    counted = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "size", "passes", "runs")
+    distinct = documents.withColumn("_text_hash", F.xxhash64("text"))
+    if not taken.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
+        distinct = distinct.dropDuplicates(["doc_id", "_text_hash"])  # each copy has its own takes
+    both = distinct.join(counted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
     whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.col("passes").cast("int"))
     rows = both.withColumn("_run", F.explode(F.concat(whole, "runs")))
     piece = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))

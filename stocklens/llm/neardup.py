@@ -216,6 +216,19 @@ def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle:
                       F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
 
 
+def without_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle: int = 5) -> DataFrame:
+    """The rows of ``documents`` that are kept: one of each group, and one row of each repeated id."""
+    found = staged(near_duplicates(documents, threshold_percent, shingle), "near-duplicates")
+    gone = found.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
+    rows = documents.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
+    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
+    if again.isEmpty():
+        return rows
+    again = staged(again, "repeated")
+    return rows.join(again, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(
+        rows.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), threshold_percent=85, shingle=3)
 

@@ -311,6 +311,25 @@ def score(documents: DataFrame, net: Network | None, threshold: float = THRESHOL
         rows, "doc_id long, score double, predicted int")
 
 
+def without_toxic(documents: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``documents``, whole, whose text scores below the threshold."""
+    sent = documents.sparkSession.sparkContext.broadcast(net)
+
+    def rows(batches):
+        model = sent.value
+        for batch in batches:
+            text = batch.column(batch.num_columns - 1).cast(pa.binary())
+            whole = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
+            if model is None:
+                yield whole
+                continue
+            plain = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), text], names=["row", "text"])
+            p = np.concatenate([model(texts) for _, texts in pieces(plain, RUN_BYTES)] or [np.zeros(0)])
+            yield whole.filter(pa.array(p < threshold))
+
+    return documents.select("*", F.col("text").alias("_scored")).mapInArrow(rows, documents.schema)
+
+
 def query(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     net = fit(docs.where(~held_out(F.col("doc_id"), 5, 0)), table(spark, sf_dir, "labels"))
