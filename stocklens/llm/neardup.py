@@ -9,8 +9,8 @@
    bucket, chosen by aggregates that are combined map-side. A candidate's similarity is estimated by bit
    counts, corrected for chance agreement of b bits, and let through if it may reach the threshold.
 4. Those pairs are confirmed on the full sets. Then only buckets that still hold several components matter:
-   they meet more hubs, and what is left is compared across components, all members, estimate first.
-   Pairs inside a component can't change it, so no link between components is lost.
+   they meet more hubs, and what is left is compared across components by an exact prefix filter over
+   their sets. Pairs inside a component can't change it, so no link between components is lost.
 5. Components come from star contraction on the confirmed links (``common.components``).
 
 Nulls and ties: null, empty and blank texts have an empty set and are linked with nothing. Rows with
@@ -155,6 +155,37 @@ def hub_pairs(rows: DataFrame, hubs: int, first: int = 0) -> DataFrame:
     return met.select(F.least("id", "hub").alias("a"), F.greatest("id", "hub").alias("b")).distinct()
 
 
+def prefix_pairs(rows: DataFrame, sets: DataFrame, threshold_percent: int) -> DataFrame:
+    """(a, b) with a < b of ``rows`` (id, comp) in different components that may reach the threshold.
+
+    Exact prefix filter: sets of sizes n and m that reach it share at least ceil(t * max(n, m)) shingles, so
+    they share one among the n - ceil(t n) + 1 rarest of the one and the like of the other, and from the
+    first shared one on enough must be left on both sides (positional bound). A heavily edited copy has so
+    many shingles of its own that this rules out all others, however large its group; shingles whose
+    holders are all in one component are dropped before the join.
+    """
+    own = staged(rows.join(sets.select(F.col("id").alias("_id"), "shingles"), F.col("id") == F.col("_id")).select(
+        "id", "comp", "shingles"), "open-sets")
+    each = own.select("id", F.explode("shingles").alias("shingle"))
+    often = each.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).select(F.col("shingle").alias("_shingle"), "often")
+    ranked = each.join(often, F.col("shingle") == F.col("_shingle")).groupBy("id").agg(
+        F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("_all"))
+    n = F.size("_all")
+    need = F.ceil(n * F.lit(threshold_percent) / 100).cast("int")
+    prefix = ranked.select(F.col("id").alias("_id"), n.alias("n"), F.posexplode(F.slice("_all", F.lit(1), n - need + 1)).alias("at", "_p"))
+    prefix = prefix.where("_p.often > 1").join(own.select("id", "comp"), F.col("id") == F.col("_id")).select(
+        "id", "comp", "n", "at", F.col("_p.shingle").alias("shingle"))
+    prefix = staged(prefix, "prefixes")
+    between = prefix.groupBy("shingle").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select(
+        F.col("shingle").alias("_shingle"))
+    prefix = prefix.join(between, F.col("shingle") == F.col("_shingle"), "left_semi")
+    other = prefix.select(*[F.col(c).alias(f"_{c}") for c in prefix.columns])
+    # At a pair's first shared shingle nothing before it is shared, so the rest of the shorter side must suffice.
+    reach = F.least(F.col("n") - F.col("at"), F.col("_n") - F.col("_at")) * (100 + threshold_percent) >= threshold_percent * (F.col("n") + F.col("_n"))
+    return prefix.join(other, (F.col("shingle") == F.col("_shingle")) & (F.col("id") < F.col("_id")) & (F.col("comp") != F.col("_comp")) & reach
+                       ).select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct()
+
+
 def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle: int = 5) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id (smallest id it is linked to), kept."""
     docs = documents.select("doc_id", "text")
@@ -199,12 +230,8 @@ def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle:
     pairs = hub_pairs(rows, 8, 2).join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where("_ca != _cb").select("a", "b")
     tested2, links2 = confirmed(pairs.join(tested, ["a", "b"], "left_anti"), "second")
     links, tested = links.unionAll(links2), tested.unionAll(tested2)
-    rows = split_buckets(links, "second").join(sign.select(F.col("id").alias("_id"), "signature"), F.col("id") == F.col("_id")).select(
-        "band", "id", "comp", "signature")
-    one = rows.select(F.col("band").alias("_band"), F.col("id").alias("_id"), F.col("comp").alias("_comp"), F.col("signature").alias("_signature"))
-    across = rows.join(one, (F.col("band") == F.col("_band")) & (F.col("id") < F.col("_id")) & (F.col("comp") != F.col("_comp"))
-                       & (estimate(F.col("signature"), F.col("_signature")) >= threshold_percent / 100 - MARGIN))
-    across = across.select(F.col("id").alias("a"), F.col("_id").alias("b")).distinct()
+    rows = split_buckets(links, "second").select("id", "comp").distinct()
+    across = prefix_pairs(rows, sets, threshold_percent)
     _, links3 = confirmed(across.join(tested, ["a", "b"], "left_anti"), "third")
     joined = components(links.unionAll(links3), "all")
     of_class = classes.join(joined, F.col("id") == F.col("node"), "left").select(
