@@ -8,12 +8,14 @@ bottom-up, and a prediction mixes the estimates along the path with the weights
 longer context was never met, the path ends. Probabilities of all texts thus sum to one.
 
 Work is laid out by distinct things, never by token:
-1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words
-   (as 64-bit keys) and its distinct byte contexts with their training counts, so a frequent word is one row per chunk.
-2. Words are summed by key. Contexts are summed and dealt by their last two bytes, which hold whole subtrees;
+1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words and
+   the distinct contexts of its word starts with their training counts, so a frequent word is one row per chunk.
+2. Words are summed into a vocabulary in ranges of neighbouring words, and a range gives the distinct contexts
+   inside its words. All contexts are summed and dealt by their last two bytes, which hold whole subtrees;
    what reaches the driver is the summary of contexts of one byte, at most 256 x 255 rows.
-3. Each chunk's words and contexts get their counts and log-probabilities by joins on the key, and
-   return to the chunk, where texts are scored. All tables grow with the corpus; nothing unbounded is broadcast.
+3. Each range gets its contexts' log-probabilities back and sums them per word. Each chunk's words and word
+   starts get theirs by joins on the key and return to the chunk, where texts are scored. All tables grow
+   with the corpus; nothing unbounded is broadcast.
 
 Nulls: a null text is empty and is just the end mark. Repeated rows count and are scored each. Without training
 texts every decision has probability one half.
@@ -27,19 +29,21 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.llm.common import held_out, staged, table, utf8, words
 
-DEPTH, CHUNK_CHARS = 7, 8_000_000
+DEPTH, CHUNK_CHARS, PART_WORDS = 7, 12_000_000, 100_000
 END = b"\n"
 LOG10 = math.log(10)
 
 
 def word_keys(names) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in names), np.uint64, len(names)).view(np.int64)
+    """Spark's xxhash64 of each word."""
+    return np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in names), np.uint64, len(names)).view(np.int64)
 
 
 def coded(w: bytes) -> bytes:
@@ -98,31 +102,43 @@ def mixed(own: np.ndarray, log_beta: np.ndarray, deeper: np.ndarray) -> np.ndarr
 
 
 class Levels:
-    """For one bit place: counts, weights and predictions of given contexts at depths 2 to DEPTH."""
+    """Counts, weights and predictions of given contexts (key, training count) at depths 2 to DEPTH.
 
-    def __init__(self, key: np.ndarray, n: np.ndarray, bit: int):
-        byte, ctx = key & 255, (key >> 8) & ((1 << 56) - 1)  # the key fills 64 bits
-        self.node = (1 << bit) | (byte >> (8 - bit))
-        self.one = ((byte >> (7 - bit)) & 1).astype(bool)
-        child_sum, child_parent, self.p = None, None, None
+    For each depth the distinct (context, byte) are sorted once; a decision's nodes are runs of them.
+    """
+
+    def __init__(self, key: np.ndarray, n: np.ndarray):
+        self.byte, ctx = key & 255, (key >> 8) & ((1 << 56) - 1)  # the key fills 64 bits
+        self.context, self.depths = ctx & 0xFFFF, []
         for depth in range(DEPTH, 1, -1):
-            own = ((ctx & ((1 << (8 * depth)) - 1)) << 8) | self.node  # a node has eight bits
-            names, at = np.unique(own, return_inverse=True)
-            ones = np.bincount(at, n * self.one, len(names))
-            zeros = np.bincount(at, n * ~self.one, len(names))
+            own = (ctx & ((1 << (8 * depth)) - 1)) if depth < 7 else ctx
+            # Sort by context and byte; the context is renumbered so that both fit one number.
+            _, number = np.unique(own, return_inverse=True)
+            names, first, at = np.unique(number << 8 | self.byte, return_index=True, return_inverse=True)
+            self.depths.append((names, first, at, np.bincount(at, n, len(names))))
+
+    def bit(self, bit: int) -> None:
+        """Set node, one, p (prediction from depth 2 down), seen and the depth-2 nodes for this decision."""
+        self.node = (1 << bit) | (self.byte >> (8 - bit))
+        self.one = ((self.byte >> (7 - bit)) & 1).astype(bool)
+        child = None
+        for names, first, at, count in self.depths:
+            begin = np.append(True, np.diff(names >> (8 - bit)) != 0)[:len(names)]
+            runs = np.where(begin)[0]
+            node_of = (np.cumsum(begin) - 1)[at]
+            ones = np.add.reduceat(count * self.one[first], runs) if len(runs) else np.zeros(0)
+            zeros = (np.add.reduceat(count, runs) if len(runs) else np.zeros(0)) - ones
             log_own = log_kt(zeros, ones)
-            kt = ((np.where(self.one, ones[at], zeros[at]) + 0.5) / (zeros[at] + ones[at] + 1))
-            seen = (zeros + ones > 0)[at]
-            if depth == DEPTH:
-                log_w, self.p = log_own, kt
+            kt = (np.where(self.one, ones[node_of], zeros[node_of]) + 0.5) / (zeros + ones + 1)[node_of]
+            if child is None:
+                log_w, p = log_own, kt
             else:
-                # Children are the nodes one deeper; each is counted once, at its first row.
-                below = np.bincount(at[child_first], child_w, len(names))
+                below = np.bincount(node_of[child[0]], child[1], len(runs))
                 log_w = np.logaddexp(log_own, below) - math.log(2)
-                self.p = np.where(child_seen, mixed(kt, (log_own - below)[at], self.p), kt)
-            child_first, child_w, child_seen = np.unique(at, return_index=True)[1], log_w, seen
-        self.context, self.first = ctx & 0xFFFF, child_first
-        self.zeros, self.ones, self.log_w, self.seen = zeros, ones, log_w, seen
+                p = np.where(child[2], mixed(kt, (log_own - below)[node_of], p), kt)
+            child = (first[runs], log_w, (zeros + ones > 0)[node_of])
+        self.first, self.log_w, self.seen = child
+        self.p, self.zeros, self.ones = p, zeros, ones
 
 
 SUMMARY = "byte int, bit int, node int, zeros double, ones double, below double"
@@ -130,9 +146,9 @@ SUMMARY = "byte int, bit int, node int, zeros double, ones double, below double"
 
 def summaries(batches):
     """Of whole subtrees: what the contexts of one byte need to know of those of two."""
-    key, n = _whole(batches)
+    x = Levels(*_whole(batches))
     for bit in range(8):
-        x = Levels(key, n, bit)
+        x.bit(bit)
         frame = pd.DataFrame({"byte": x.context[x.first] & 255, "node": x.node[x.first], "zeros": x.zeros, "ones": x.ones, "below": x.log_w})
         total = frame.groupby(["byte", "node"], as_index=False).sum()
         total.insert(1, "bit", bit)
@@ -186,22 +202,46 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[byte
 
 
 def contents(chunk: pa.Table) -> pa.Table:
-    """Distinct words (kind 0) and contexts (kind 1) of a chunk with their training counts."""
+    """Distinct words of a chunk, and keys of the contexts of its word starts, with their training counts."""
     text, codes, names, starts = tokens(chunk.column("text").to_pylist())
     learn = np.array(chunk.column("learn").to_pylist(), bool)[text].astype(float)
     n = np.bincount(codes, learn, len(names))
-    places, first = inner(names)
     pair, one, two = heads(codes, starts, names)
     met = np.bincount(pair, learn, len(one))
-    key = np.concatenate([places, one, two[two >= 0]])
-    times = np.concatenate([np.repeat(n, np.diff(np.append(first, len(places)))), met, met[two >= 0]])
-    found, at = np.unique(key, return_inverse=True)
-    counts = np.bincount(at, times, len(found)).astype(np.int64)
-    n = n.astype(np.int64)
-    own = word_keys(names)
-    return pa.table({"chunk": pa.array(np.full(len(own) + len(found), chunk.column("chunk")[0].as_py(), np.int32)),
-                     "kind": pa.array(np.repeat(np.array([0, 1], np.int32), [len(own), len(found)])),
-                     "key": pa.array(np.concatenate([own, found])), "n": pa.array(np.concatenate([n, counts]))})
+    found, at = np.unique(np.concatenate([one, two[two >= 0]]), return_inverse=True)
+    counts = np.bincount(at, np.concatenate([met, met[two >= 0]]), len(found))
+    order = sorted(range(len(names)), key=names.__getitem__)
+    return pa.table({"chunk": pa.array(np.full(len(names) + len(found), chunk.column("chunk")[0].as_py(), np.int32)),
+                     "word": pa.array([names[i] for i in order] + [None] * len(found), pa.binary()),
+                     "key": pa.array([None] * len(names) + found.tolist(), pa.int64()),
+                     "n": pa.array(np.concatenate([n[order], counts]).astype(np.int64))})
+
+
+def part_contexts(part: pa.Table) -> pa.Table:
+    """Distinct contexts inside the words of a range, with their training counts."""
+    names = part.column("word").to_pylist()
+    places, first = inner(names)
+    found, at = np.unique(places, return_inverse=True)
+    n = np.repeat(part.column("value").to_numpy(), np.diff(np.append(first, len(places))))
+    return pa.table({"part": pa.array(np.full(len(found), part.column("part")[0].as_py(), np.int32)), "key": pa.array(found),
+                     "n": pa.array(np.bincount(at, n, len(found)).astype(np.int64))})
+
+
+def part_words(part: pa.Table, values: pa.Table) -> pa.Table:
+    """Key, count and log10 probability, from the third byte on, of each word of a range."""
+    names = part.column("word").to_pylist()
+    places, first = inner(names)
+    total = np.append(0.0, np.cumsum(finder(values)(places)))
+    return pa.table({"key": pa.array(word_keys(names)), "c": part.column("value"),
+                     "value": pa.array(total[np.append(first[1:], len(places))] - total[first] if len(names) else total[:0])})
+
+
+def finder(values: pa.Table, column: str = "value"):
+    """Look up a column by key; every key asked for is there."""
+    key, value = values.column("key").to_numpy(), values.column(column).to_numpy()
+    order = np.argsort(key)
+    key, value = key[order], value[order]
+    return lambda wanted: value[np.searchsorted(key, wanted)] if len(key) else np.zeros(len(wanted))
 
 
 SCORES = ("doc_id long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
@@ -214,12 +254,15 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     """
     spark = documents.sparkSession
     docs = chunked(documents, learn, chunk_chars)
-    found = staged(docs.groupBy("chunk").applyInArrow(contents, "chunk int, kind int, key long, n long"), "chunk-contents")
+    found = staged(docs.groupBy("chunk").applyInArrow(contents, "chunk int, word binary, key long, n long"), "chunk-contents")
     _let_go(spark)
-    vocabulary = staged(found.where("kind = 0").groupBy("key").agg(F.sum("n").cast("double").alias("value")), "vocabulary")
-    n_train, v = vocabulary.where("value > 0").agg(F.sum("value"), F.count(F.lit(1))).first()
+    summed_words = staged(found.where("word is not null").groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
+    n_train, v, size = summed_words.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long")), F.count(F.lit(1))).first()
     n_train, v = n_train or 0.0, v or 0
-    contexts = found.where("kind = 1").groupBy("key").agg(F.sum("n").alias("n"))
+    vocabulary = staged(summed_words.repartitionByRange(max(1, math.ceil(size / PART_WORDS)), "word").withColumn(
+        "part", F.spark_partition_id().cast("int")), "vocabulary")
+    inside = staged(vocabulary.groupBy("part").applyInArrow(part_contexts, "part int, key long, n long"), "part-contexts")
+    contexts = found.where("word is null").select("key", "n").unionAll(inside.select("key", "n")).groupBy("key").agg(F.sum("n").alias("n"))
     # A subtree's contexts share their last two bytes, which stand right above the coded byte.
     dealt = staged(contexts, "contexts").repartition(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
     rows = dealt.mapInArrow(summaries, SUMMARY).groupBy("byte", "bit", "node").agg(
@@ -228,30 +271,26 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
 
     def log_probabilities(batches):
         key, n = _whole(batches)
-        total = np.zeros(len(key))
+        x, total = Levels(key, n), np.zeros(len(key))
         for bit in range(8):
-            if len(key):
-                total += np.log10(top.value.finish(Levels(key, n, bit)))
+            x.bit(bit)
+            total += np.log10(top.value.finish(x))
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(total)], names=["key", "value"])
 
     model = staged(dealt.mapInArrow(log_probabilities, "key long, value double"), "model")
-    looked = [found.where(f"kind = {k}").select("chunk", "kind", "key").join(side, "key").select("chunk", "kind", "key", "value")
-              for k, side in ((0, vocabulary), (1, model))]
+    back = inside.select("part", "key").join(model, "key").groupBy("part")
+    spelled = staged(vocabulary.groupBy("part").cogroup(back).applyInArrow(part_words, "key long, c double, value double"), "spelled")
+    _let_go(spark)
+    of_words = found.where("word is not null").select("chunk", F.xxhash64("word").alias("key")).join(spelled, "key").select("chunk", "key", "c", "value")
+    of_starts = found.where("word is null").select("chunk", "key").join(model, "key").select("chunk", "key", F.lit(None).cast("double").alias("c"), "value")
     whole = math.log10(n_train + v + 1)
 
     def scored(chunk: pa.Table, values: pa.Table) -> pa.Table:
         text, codes, names, starts = tokens(chunk.column("text").to_pylist())
-        kind, key, value = (values.column(c).to_numpy() for c in ("kind", "key", "value"))
-
-        def finder(k: int):
-            at = np.where(kind == k)[0]
-            order = at[np.argsort(key[at])]
-            return lambda wanted: value[order[np.searchsorted(key[order], wanted)]]
-
-        c, log_of = finder(0)(word_keys(names)), finder(1)
-        places, first = inner(names)
-        ahead = np.append(0.0, np.cumsum(log_of(places)))
-        last = np.append(first[1:], len(places))
+        is_word = pc.is_valid(values.column("c"))
+        per_word, per_start = values.filter(is_word), values.filter(pc.invert(is_word))
+        own = word_keys(names)
+        c, spelling, log_of = finder(per_word, "c")(own), finder(per_word)(own), finder(per_start)
         pair, one, two = heads(codes, starts, names)
         begin = log_of(one)
         begin[two >= 0] += log_of(two[two >= 0])
@@ -262,13 +301,13 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
             return np.bincount(text, per_word[codes], rows)
 
         n = np.bincount(text, minlength=rows)
-        score = summed(ahead[last] - ahead[first]) + np.bincount(text, begin[pair], rows)
+        score = summed(spelling) + np.bincount(text, begin[pair], rows)
         return pa.table({"doc_id": chunk.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
                          "n_known": pa.array(summed((c > 0).astype(float)).astype(np.int64)),
                          "base_score": pa.array(summed(np.log10(c + 1)) - n * whole), "score": pa.array(score),
                          "bits_per_byte": pa.array(-score * LOG10 / math.log(2) / summed(n_bytes))})
 
-    both = docs.groupBy("chunk").cogroup(looked[0].unionAll(looked[1]).groupBy("chunk"))
+    both = docs.groupBy("chunk").cogroup(of_words.unionAll(of_starts).groupBy("chunk"))
     return both.applyInArrow(scored, SCORES).withColumn("train_tokens", F.lit(int(n_train)).cast("long"))
 
 

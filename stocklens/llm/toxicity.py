@@ -86,7 +86,7 @@ class Run:
         place = start[:, None] + np.arange(WINDOW)
         self.mask = place < self.counts[self.text][:, None]
         padded = np.append(codes, len(names)) if len(codes) else np.array([len(names)])
-        self.words = padded[np.where(self.mask, begin[self.text][:, None] + place, len(padded) - 1)]  # the last number is no word
+        self.words = padded[np.where(self.mask, begin[self.text][:, None] + place, len(padded) - 1)].astype(np.int32)  # the last number is no word
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -180,20 +180,24 @@ class Network:
 
     def start_from_odds(self, run: Run, y: np.ndarray) -> None:
         """Set the first embedding column to each feature's log odds of standing in a positive text."""
-        text = np.repeat(np.arange(len(run.counts)), run.counts)
-        pairs = np.unique(text * (len(run.own) + 1) + run.flat)
-        text, words = pairs // (len(run.own) + 1), pairs % (len(run.own) + 1)
-        n = np.array([(y == 0).sum(), (y == 1).sum()], float)
-
-        def odds(owner: np.ndarray, bucket: np.ndarray, size: int) -> np.ndarray:
-            both = np.unique(owner * size + bucket)
-            hit = [np.bincount(both[y[both // size] == c] % size, minlength=size) for c in (0, 1)]
-            return (np.log((hit[1] + 0.5) / (n[1] + 1)) - np.log((hit[0] + 0.5) / (n[0] + 1))) * (hit[0] + hit[1] >= 5)
-
-        self.p["word"][:, 0] = np.clip(odds(text, run.own[words], WORD_BUCKETS) / 4, -1, 2)
-        sizes = np.diff(run.first)[words]
-        at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(run.first[words], sizes)
-        self.p["gram"][:, 0] = np.clip(odds(np.repeat(text, sizes), run.grams[at], GRAM_BUCKETS) / 2, -1, 3)
+        last = np.cumsum(run.counts)
+        hits = {"word": np.zeros((2, WORD_BUCKETS)), "gram": np.zeros((2, GRAM_BUCKETS))}
+        for i in range(0, len(y), 200):  # a few texts at a time, since their n-grams are many
+            owner = np.repeat(np.arange(i, min(i + 200, len(y))), run.counts[i:i + 200])
+            pairs = np.unique(owner * (len(run.own) + 1) + run.flat[last[i] - run.counts[i]:last[min(i + 200, len(y)) - 1]])
+            owner, words = pairs // (len(run.own) + 1), pairs % (len(run.own) + 1)
+            sizes = np.diff(run.first)[words]
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(run.first[words], sizes)
+            for name, of, bucket in (("word", owner, run.own[words]), ("gram", np.repeat(owner, sizes), run.grams[at])):
+                size = hits[name].shape[1]
+                both = np.unique(of * size + bucket)
+                for c in (0, 1):
+                    hits[name][c] += np.bincount(both[y[both // size] == c] % size, minlength=size)
+        n = [(y == c).sum() + 1 for c in (0, 1)]
+        for name, scale, most in (("word", 4, 2), ("gram", 2, 3)):
+            low, high = hits[name]
+            odds = (np.log((high + 0.5) / n[1]) - np.log((low + 0.5) / n[0])) * (low + high >= 5)
+            self.p[name][:, 0] = np.clip(odds / scale, -1, most)
         start = np.zeros(2 * DIM, np.float32)
         start[0], start[DIM] = 1, 1
         self.guide = start
@@ -203,8 +207,8 @@ class Network:
         x, out = self.inputs(run), np.empty(len(run.text), np.float32)
         full = run.mask.all(axis=1)
         for rows in (np.where(full)[0], np.where(~full)[0]):  # whole windows need no mask
-            for i in range(0, len(rows), 8192):
-                at = rows[i:i + 8192]
+            for i in range(0, len(rows), 4096):
+                at = rows[i:i + 4096]
                 out[at] = self.forward(x, run.words[at], run.mask[at])
         first = np.searchsorted(run.text, np.arange(len(run.counts)))
         return np.maximum.reduceat(out, first), out
@@ -291,8 +295,8 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample: t
     rows = texts.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "y", "text")
     order = [F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "y", "text"]
     chosen = [rows.where(F.col("y") == c).orderBy(*order).limit(sample[c]) for c in (0, 1)]
-    got = chosen[0].unionAll(chosen[1]).toPandas().sort_values(["doc_id", "y"], kind="stable")
-    return train([bytes(t) if t is not None else None for t in got.text], got.y.to_numpy(np.int64)) if len(got) else None
+    got = chosen[0].unionAll(chosen[1]).toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    return train(got.column("text").to_pylist(), got.column("y").to_numpy().astype(np.int64)) if len(got) else None
 
 
 def score(documents: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
