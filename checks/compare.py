@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -16,10 +17,11 @@ TABLES = ("region nation customer supplier part orders lineitem events documents
 
 
 def session(cores: str = "8") -> SparkSession:
+    shared = os.environ.get("STOCKLENS_SHARED") or tempfile.mkdtemp(prefix="stocklens-")  # local runs only
     return (SparkSession.builder.master(f"local[{cores}]").appName("stocklens")
             .config("spark.sql.shuffle.partitions", cores).config("spark.ui.enabled", "false")
             .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
-            .config("spark.ui.showConsoleProgress", "false").getOrCreate())
+            .config("spark.ui.showConsoleProgress", "false").config("spark.checkpoint.dir", shared).getOrCreate())
 
 
 def duck(sf_dir: str) -> duckdb.DuckDBPyConnection:

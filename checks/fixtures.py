@@ -9,8 +9,6 @@ from stocklens.functions.semantics import DEAL, SERIES_COLUMNS
 from stocklens.operators.dates import BucketRange
 
 KEYS = [DEAL, *SERIES_COLUMNS]
-LAST_MONTH = "2001-07-01"
-PAST_LAST_MONTH = "2001-08-01"
 
 # Age ranges; the last one overlaps its neighbour on purpose.
 RANGES = [BucketRange(*r) for r in (
@@ -42,16 +40,22 @@ def lines(spark: SparkSession, sf_dir: str, by_part: bool = False) -> DataFrame:
         F.lit("FG").alias("INVENTORY_TYPE"),
         (F.col("l_partkey").cast("string") if by_part else F.col("p_brand")).alias("TRIM_SKU"),
         F.col("p_brand").alias("_BRAND"), F.col("p_type").alias("CATEGORY_1"),
-        F.col("l_shipdate").alias("_SHIPPED"), F.col("o_orderdate").alias("_ORDERED"),
+        F.col("l_shipdate").alias("_SHIPPED"),
+        F.when(F.col("l_linenumber") % 2 == 0, F.col("o_orderdate")).otherwise(F.col("l_shipdate")).alias("_STOCKED"),
         returned.alias("_RETURNED"), gone.alias("_GONE"),
         money(qty).alias("_QTY"), money(price * (1 - F.col("l_discount"))).alias("_NET"),
         money(qty * retail * 0.6).alias("_COGS"), money(qty * retail * 0.7).alias("_COST"))
 
 
+def _renamed(fx_line: DataFrame, brand: str, country: str, suffix: str) -> DataFrame:
+    """Copies of some lines under a series of their own."""
+    rows = fx_line.where((F.col("_BRAND") == brand) & (F.col("COUNTRY") == country))
+    return rows.withColumn("TRIM_SKU", F.concat("TRIM_SKU", F.lit(suffix)))
+
+
 def sales_lines(fx_line: DataFrame) -> DataFrame:
-    """Sale lines; Brand#1 sells nothing in AFRICA, so some series are inventory only."""
-    kept = fx_line.where((F.col("_SHIPPED") < F.lit(PAST_LAST_MONTH))
-                         & ~((F.col("_BRAND") == "Brand#1") & (F.col("COUNTRY") == "AFRICA")))
+    """All lines as sales, and Brand#1's in AFRICA once more as series that are sales only."""
+    kept = fx_line.unionByName(_renamed(fx_line, "Brand#1", "AFRICA", "-S"))
 
     def signed(x: Column) -> Column:
         return F.when(F.col("_RETURNED"), -x).otherwise(x)
@@ -64,15 +68,14 @@ def sales_lines(fx_line: DataFrame) -> DataFrame:
 
 
 def inventory_lines(fx_line: DataFrame) -> DataFrame:
-    """Stock lines; Brand#2 holds nothing in ASIA, so some series are sales only."""
-    kept = fx_line.where((F.col("_ORDERED") < F.lit(PAST_LAST_MONTH))
-                         & ~((F.col("_BRAND") == "Brand#2") & (F.col("COUNTRY") == "ASIA")))
+    """All lines as stock, and Brand#2's in ASIA once more as series that are inventory only."""
+    kept = fx_line.unionByName(_renamed(fx_line, "Brand#2", "ASIA", "-I"))
 
     def held(x: Column) -> Column:
         return F.when(F.col("_GONE"), F.lit(0).cast("decimal(18,4)")).otherwise(x)
 
     return kept.select(*KEYS, F.concat("TRIM_SKU", F.lit(" ")).alias("SKU"), "CATEGORY_1",
-                       F.trunc("_ORDERED", "MM").alias("BOM_INV_DATE"), held(F.col("_QTY")).alias("QUANTITY_ON_HAND"),
+                       F.trunc("_STOCKED", "MM").alias("BOM_INV_DATE"), held(F.col("_QTY")).alias("QUANTITY_ON_HAND"),
                        held(F.col("_COST")).alias("TOTAL_COST_EXTENDED"))
 
 

@@ -6,7 +6,7 @@ or a recursive query wherever it can, so that a shared mistake is unlikely.
 
 from __future__ import annotations
 
-from checks.fixtures import LAST_MONTH, RANGES
+from checks.fixtures import RANGES
 
 ORACLE: dict[str, str] = {}
 
@@ -100,7 +100,7 @@ def inputs(by_part=False):
 SELECT CAST(CASE WHEN r_regionkey <= 2 THEN 1001 ELSE 1002 END AS BIGINT) AS deal_id,
   r_name AS country, n_name AS location, CASE WHEN p_brand = 'Brand#25' THEN NULL ELSE 'DIV1' END AS division,
   'FG' AS inventory_type, {sku} AS trim_sku, p_brand AS brand, p_type AS category_1,
-  CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_mo, CAST(date_trunc('month', o_orderdate) AS DATE) AS order_mo,
+  CAST(date_trunc('month', l_shipdate) AS DATE) AS ship_mo, CAST(date_trunc('month', CASE WHEN l_linenumber % 2 = 0 THEN o_orderdate ELSE l_shipdate END) AS DATE) AS order_mo,
   CAST(CASE WHEN l_returnflag = 'R' AND l_linenumber = 1 THEN -1 ELSE 1 END AS DECIMAL(2,0)) AS sgn,
   CAST(CASE WHEN l_linestatus = 'F' AND l_linenumber = 7 THEN 0 ELSE 1 END AS DECIMAL(2,0)) AS held,
   CAST(l_quantity AS DECIMAL(18,4)) AS qty, CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18,4)) AS net,
@@ -109,10 +109,10 @@ SELECT CAST(CASE WHEN r_regionkey <= 2 THEN 1001 ELSE 1002 END AS BIGINT) AS dea
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
 JOIN region ON n_regionkey = r_regionkey)""",
-            f"""sl AS (SELECT * FROM fx_line WHERE ship_mo <= DATE '{LAST_MONTH}'
-AND NOT (brand = 'Brand#1' AND country = 'AFRICA'))""",
-            f"""il AS (SELECT * FROM fx_line WHERE order_mo <= DATE '{LAST_MONTH}'
-AND NOT (brand = 'Brand#2' AND country = 'ASIA'))""",
+            """sl AS (SELECT * FROM fx_line UNION ALL
+SELECT * REPLACE (trim_sku || '-S' AS trim_sku) FROM fx_line WHERE brand = 'Brand#1' AND country = 'AFRICA')""",
+            """il AS (SELECT * FROM fx_line UNION ALL
+SELECT * REPLACE (trim_sku || '-I' AS trim_sku) FROM fx_line WHERE brand = 'Brand#2' AND country = 'ASIA')""",
             f"""s AS (SELECT {K}, ship_mo AS mo, CAST(SUM(sgn * qty) AS DOUBLE) AS q, CAST(SUM(sgn * net) AS DOUBLE) AS net,
 CAST(SUM(sgn * (net - cogs)) AS DOUBLE) AS gm, CAST(SUM(sgn * cogs) AS DOUBLE) AS cogs FROM sl GROUP BY {K}, ship_mo)""",
             f"""i AS (SELECT {K}, order_mo AS mo, CAST(SUM(held * qty) AS DOUBLE) AS qoh,

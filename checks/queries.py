@@ -354,15 +354,15 @@ def _(spark, d):
 
 # --- quintile, movement ----------------------------------------------------------------------
 
-def _quintile(spark, d, n, by_part, scalable):
+def _quintile(spark, d, n, by_part):
     inv, sale = monthly(spark, d, by_part)
-    return quintile.sales_quintile(inv, sale, None, n, scalable)
+    return quintile.sales_quintile(inv, sale, None, n)
 
 
 for _n, _word in demand.HORIZONS.items():
-    query(f"fact_{_word.lower()}_month_quintile", _n, False, True)(_quintile)
-query("fact_two_month_quintile_one_window", 2, False, False)(_quintile)
-query("fact_six_month_quintile_by_part", 6, True, True)(_quintile)
+    query(f"fact_{_word.lower()}_month_quintile", _n, False)(_quintile)
+query("fact_two_month_quintile_one_window", 2, False)(_quintile)  # the name stays; no window spans a deal any more
+query("fact_six_month_quintile_by_part", 6, True)(_quintile)
 
 
 def _moves(spark, d, by_part=False):

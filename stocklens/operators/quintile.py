@@ -8,7 +8,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.functions.grain import SALES_MEASURES, monthly_inventory, monthly_sales, sum_or_zero
+from stocklens.functions.grain import SALES_MEASURES, monthly_inventory, sum_or_zero
 from stocklens.functions.semantics import DEAL, SALES_NO_INV, date_key, finite, pdiv, series_keys
 from stocklens.operators.facts import sku_ids
 from stocklens.sources.staging import small_side, stage
@@ -18,22 +18,15 @@ QUINTILE_BOUNDS = {0.2: "1.0", 0.4: "2.0", 0.6: "3.0", 0.8: "4.0", 1.0: "5.0"}
 EXACT = "decimal(28,6)"
 
 
-def running_totals(df: DataFrame, group: str, order: Sequence[Column], sums: Mapping[str, Column],
-                   scalable: bool = True) -> DataFrame:
+def running_totals(df: DataFrame, group: str, order: Sequence[Column], sums: Mapping[str, Column]) -> DataFrame:
     """Add ``<name>_RUN`` (total up to the row) and ``<name>_ALL`` (total of the group).
 
-    Totals are decimal, so they do not depend on partitioning. The scalable form never holds a
-    group in one task: range-partition on the full order, total each chunk, add the totals of
+    Totals are decimal, so they do not depend on partitioning. No group is held in
+    one task: range-partition on the full order, total each chunk, add the totals of
     earlier chunks to a running sum within the chunk. The chunked rows are staged because both
     passes must see the same chunk bounds.
     """
     df = df.withColumns({f"_{n}": F.coalesce(x.cast(EXACT), F.lit(0).cast(EXACT)) for n, x in sums.items()})
-    if not scalable:
-        run = Window.partitionBy(group).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        out = {f"{n}_RUN": F.sum(f"_{n}").over(run) for n in sums}
-        out |= {f"{n}_ALL": F.sum(f"_{n}").over(Window.partitionBy(group)) for n in sums}
-        return df.withColumns(out).drop(*[f"_{n}" for n in sums])
-
     chunked = df.repartitionByRange(group, *order).withColumn("_CHUNK", F.spark_partition_id())
     chunked = stage(chunked, "running-totals")
     totals = chunked.groupBy(group, "_CHUNK").agg(*[F.sum(f"_{n}").alias(f"_{n}_CHUNK") for n in sums])
@@ -54,23 +47,24 @@ def running_totals(df: DataFrame, group: str, order: Sequence[Column], sums: Map
 
 
 def sales_quintile(inv: DataFrame, sale: DataFrame, dim_sku: DataFrame | None = None, n: int = 2,
-                   scalable: bool = True, insert_date: date | None = None) -> DataFrame:
+                   insert_date: date | None = None) -> DataFrame:
     """FACT_<n>_MONTH_QUINTILE: series ranked by sales of the latest ``n`` months of their deal."""
     keys = series_keys(inv, sale)
     latest = sale.groupBy(DEAL).agg(F.max("BEG_MO").alias("_LATEST"))
     months = latest.select(DEAL, "_LATEST", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("_BACK"))
     months = small_side(months.select(DEAL, "_LATEST", F.add_months("_LATEST", -F.col("_BACK")).alias("BEG_MO")),
                         "quintile-months")
-    sold = (monthly_sales(sale, keys).join(months, [DEAL, "BEG_MO"]).groupBy(*keys)
+    # The month join comes first, so that only the latest months are aggregated, and once.
+    sold = (sale.dropna(subset=[*keys, "BEG_MO"]).join(months, [DEAL, "BEG_MO"]).groupBy(*keys)
             .agg(*[sum_or_zero(m).alias(m) for m in SALES_MEASURES], F.max("_LATEST").alias("_LATEST")))
     now = months.where(F.col("BEG_MO") == F.col("_LATEST")).select(DEAL, F.col("_LATEST").alias("BOM_INV_DATE"))
-    stock = monthly_inventory(inv, keys).join(now, [DEAL, "BOM_INV_DATE"], "left_semi").drop("BOM_INV_DATE")
+    stock = monthly_inventory(inv.join(now, [DEAL, "BOM_INV_DATE"], "left_semi"), keys).drop("BOM_INV_DATE")
     rows = sold.join(stock, keys, "left")
 
     cost, net = F.col("TOTAL_COST_EXTENDED"), F.col("NET_SALES_$")
     has_inv = F.coalesce(cost != 0, F.lit(False))
     order = [net.desc(), *[F.col(k).asc() for k in keys if k != DEAL]]
-    rows = running_totals(rows, DEAL, order, {"_SOLD": F.when(has_inv, net), "_COST": cost}, scalable)
+    rows = running_totals(rows, DEAL, order, {"_SOLD": F.when(has_inv, net), "_COST": cost})
 
     def share(part: Column, name: str) -> Column:
         return pdiv(part.cast("double"), F.col(f"{name}_ALL").cast("double"))

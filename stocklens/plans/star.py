@@ -6,6 +6,7 @@ from collections.abc import Callable, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stocklens.functions.grain import (INVENTORY_MEASURES, SALES_MEASURES, condense, monthly_inventory,
                                        monthly_sales)
@@ -70,7 +71,8 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     tables["FACT_SALES_CYCLE"] = sales_cycle(sale_m, inv_m, sale_fact, ranges, insert_date)
     leads = lead_sales(inv_m, sale_m, keys, fact_inv=inv_fact)
     tables["FACT_SELL_THRU"] = sell_through(leads, keys, insert_date=insert_date)
-    return tables
+    return {name: df if "INSERT_DATE" in df.columns else df.withColumn("INSERT_DATE", F.lit(insert_date).cast("date"))
+            for name, df in tables.items()}
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
@@ -78,5 +80,5 @@ def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
     skus = tables["DIM_SKU"]
     if id_clashes(skus, present(skus, SKU_KEYS), "SKU_SEQ_ID").limit(1).count():
         raise ValueError("two SKU keys of one deal share a SKU_SEQ_ID")
-    return [write_output(conform(df, df.columns), root, name, [DEAL, "STEP"] if name == "FIFO" else [DEAL])
-            for name, df in tables.items()]
+    deals = [r[0] for r in skus.select(DEAL).distinct().collect()]  # one row per deal
+    return [write_output(conform(df, df.columns), root, name, deals) for name, df in tables.items()]

@@ -2,24 +2,40 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# Rows of a few ids, dates and flags each: some tens of MB at most.
-BROADCAST_ROWS = 1_000_000
+# A broadcast table in memory takes several times its Parquet size.
+GROWTH = 4
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder of ``spark.checkpoint.dir``; a local run without one gets a new temporary folder."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        return folder.rstrip("/")
-    if spark.sparkContext.master.startswith("local"):
-        return tempfile.mkdtemp(prefix="stocklens-")
-    raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+    """Folder of ``spark.checkpoint.dir``, which all executors share; the warehouse where that is unset."""
+    folder = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+              or spark.conf.get("spark.sql.warehouse.dir"))
+    return folder.rstrip("/")
+
+
+def run_folder(spark: SparkSession) -> str:
+    """Where this application stages its tables."""
+    return f"{shared_folder(spark)}/stocklens/{spark.sparkContext.applicationId}"
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    hadoop, store = _hadoop_path(spark, path)
+    store.delete(hadoop, True)
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged; call it when its outputs are written."""
+    delete(spark, run_folder(spark))
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -29,17 +45,26 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     of recomputing the whole lineage.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stocklens/{name}-{uuid.uuid4().hex}"
+    path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def small_side(df: DataFrame, name: str, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Store a per-deal or per-deal-and-month table, and broadcast it if its row count allows.
+def small_side(df: DataFrame, name: str, max_bytes: int | None = None) -> DataFrame:
+    """Store a per-deal or per-deal-and-month table, and broadcast it if its size allows.
 
     Left alone, the planner shuffles the large side of such a join before it learns that this one
-    is small. Above ``max_rows`` the join shuffles both sides, and adaptive skew handling splits a
-    large deal.
+    is small. The size is that of the written files, so it costs no further job; the bound is
+    ``spark.sql.autoBroadcastJoinThreshold``. Above it the join shuffles both sides, and adaptive
+    skew handling splits a large deal.
     """
+    spark = df.sparkSession
     stored = stage(df, name)
-    return F.broadcast(stored) if stored.limit(max_rows + 1).count() <= max_rows else stored
+    if max_bytes is None:
+        max_bytes = int(spark._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
+    files = stored.inputFiles()
+    size = 0
+    if files:
+        hadoop, store = _hadoop_path(spark, files[0])
+        size = store.getContentSummary(hadoop.getParent()).getLength()
+    return F.broadcast(stored) if size * GROWTH <= max_bytes else stored

@@ -2,6 +2,9 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
+from checks import fixtures as fx
 from checks.compare import difference, duck
 from checks.oracle import ORACLE
 from checks.queries import QUERIES
@@ -17,6 +20,14 @@ def con():
     return duck(SF)
 
 
+def test_inputs_hold_every_line_on_both_sides(spark):
+    lines = fx.lines(spark, SF)
+    n = spark.read.parquet(f"{SF}/lineitem.parquet").count()
+    added = {b: lines.where((F.col("_BRAND") == b) & (F.col("COUNTRY") == c)).count() for b, c in (("Brand#1", "AFRICA"), ("Brand#2", "ASIA"))}
+    assert fx.sales_lines(lines).count() == n + added["Brand#1"]
+    assert fx.inventory_lines(lines).count() == n + added["Brand#2"]
+
+
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 

@@ -60,8 +60,11 @@ def test_writing_again_changes_nothing_and_other_deals_stay(spark, tables):
     write_tables(slim, root)
     assert {n: _rows(readers.read_output(spark, root, n)) for n in slim} == before
     assert "MAJOR_FRAME" in readers.read_output(spark, root, "FACT_SALES").columns
-    write_output(tables["FACT_SALES"].where("DEAL_ID = 1").limit(0), root, "FACT_SALES")
-    assert _rows(readers.read_output(spark, root, "FACT_SALES")) == before["FACT_SALES"]
+    assert dict(readers.read_output(spark, root, "FACT_SALES").dtypes)["DEAL_ID"] == "bigint"
+    write_output(tables["FIFO"].where("STEP <> 1"), root, "FIFO", [1, 2])  # a later run without one month
+    assert readers.read_output(spark, root, "FIFO").where("STEP = 1").isEmpty()
+    write_output(tables["FACT_SALES"].where("DEAL_ID = 2"), root, "FACT_SALES", [1, 2])  # deal 1 yields nothing now
+    assert readers.read_output(spark, root, "FACT_SALES", 1).isEmpty()
     two = readers.read_output(spark, root, "FACT_SALES", 2)
     assert "PartitionFilters: [isnotnull(DEAL_ID" in two._jdf.queryExecution().toString()
 
@@ -82,4 +85,4 @@ def test_broadcast_only_below_the_bound(spark):
     def plan(limit):
         small = small_side(spark.range(50), "probe", limit)
         return spark.range(100).join(small, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "strategy=broadcast" in plan(50) and "strategy=broadcast" not in plan(49)
+    assert "strategy=broadcast" in plan(1_000_000) and "strategy=broadcast" not in plan(100)
