@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import held_out, staged, table, utf8, words
+from stocklens.llm.common import drop_staged, held_out, staged, table, utf8, words
 
 DEPTH, CHUNK_CHARS, PART_WORDS = 7, 12_000_000, 100_000
 END = b"\n"
@@ -261,10 +261,14 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     n_train, v = n_train or 0.0, v or 0
     vocabulary = staged(summed_words.repartitionByRange(max(1, math.ceil(size / PART_WORDS)), "word").withColumn(
         "part", F.spark_partition_id().cast("int")), "vocabulary")
+    drop_staged(summed_words)
+    _let_go(spark)
     inside = staged(vocabulary.groupBy("part").applyInArrow(part_contexts, "part int, key long, n long"), "part-contexts")
     contexts = found.where("word is null").select("key", "n").unionAll(inside.select("key", "n")).groupBy("key").agg(F.sum("n").alias("n"))
     # A subtree's contexts share their last two bytes, which stand right above the coded byte.
-    dealt = staged(contexts, "contexts").repartition(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
+    contexts = staged(contexts, "contexts")
+    _let_go(spark)
+    dealt = contexts.repartition(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
     rows = dealt.mapInArrow(summaries, SUMMARY).groupBy("byte", "bit", "node").agg(
         F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
     top = spark.sparkContext.broadcast(Top(rows.collect()))
@@ -278,11 +282,19 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
         yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(total)], names=["key", "value"])
 
     model = staged(dealt.mapInArrow(log_probabilities, "key long, value double"), "model")
+    drop_staged(contexts)
+    _let_go(spark)
     back = inside.select("part", "key").join(model, "key").groupBy("part")
     spelled = staged(vocabulary.groupBy("part").cogroup(back).applyInArrow(part_words, "key long, c double, value double"), "spelled")
+    drop_staged(inside)
+    drop_staged(vocabulary)
     _let_go(spark)
     of_words = found.where("word is not null").select("chunk", F.xxhash64("word").alias("key")).join(spelled, "key").select("chunk", "key", "c", "value")
     of_starts = found.where("word is null").select("chunk", "key").join(model, "key").select("chunk", "key", F.lit(None).cast("double").alias("c"), "value")
+    looked_up = staged(of_words.unionAll(of_starts), "looked-up")
+    for done in (found, spelled, model):
+        drop_staged(done)
+    _let_go(spark)
     whole = math.log10(n_train + v + 1)
 
     def scored(chunk: pa.Table, values: pa.Table) -> pa.Table:
@@ -307,7 +319,7 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
                          "base_score": pa.array(summed(np.log10(c + 1)) - n * whole), "score": pa.array(score),
                          "bits_per_byte": pa.array(-score * LOG10 / math.log(2) / summed(n_bytes))})
 
-    both = docs.groupBy("chunk").cogroup(of_words.unionAll(of_starts).groupBy("chunk"))
+    both = docs.groupBy("chunk").cogroup(looked_up.groupBy("chunk"))
     return both.applyInArrow(scored, SCORES).withColumn("train_tokens", F.lit(int(n_train)).cast("long"))
 
 
