@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import drop_staged, held_out, staged, table, utf8, words
 
-DEPTH, CHUNK_CHARS, PART_WORDS = 7, 12_000_000, 100_000
+DEPTH, CHUNK_CHARS, PART_WORDS = 6, 16_000_000, 100_000
 END = b"\n"
 LOG10 = math.log(10)
 
