@@ -236,7 +236,7 @@ def train(texts: list[bytes | None], y: np.ndarray, rounds: int = 4, epochs: int
         negative = np.where(y[run.text] == 0)[0]
         picked = np.concatenate([best, rng.choice(negative, min(len(negative), len(best)), replace=False)])
         target = y[run.text[picked]].astype(np.float32)
-        for _ in range(epochs):
+        for _ in range(max(epochs, 12_000 // len(picked))):  # a small sample needs as many steps
             order = rng.permutation(len(picked))
             for i in range(0, len(order), 256):
                 step += 1
