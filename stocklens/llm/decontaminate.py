@@ -178,16 +178,27 @@ def _merged(parts: list[DataFrame]) -> DataFrame:
     found = out.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("spans")).alias("s"),
                                                  F.flatten(F.collect_list("item_ids")).alias("i"),
                                                  F.count(F.lit(1)).alias("rows"))
-    # Union of sorted spans: fold them, widening the last one while they touch.
-    ordered = F.array_sort(F.array_distinct("s"))
-    joined = F.aggregate(ordered, F.expr("cast(array() as array<struct<start:bigint,end:bigint>>)"), lambda acc, x: F.when(
-        (F.size(acc) > 0) & (F.element_at(acc, -1)["end"] >= x["start"]),
-        F.concat(F.slice(acc, 1, F.size(acc) - 1), F.array(F.struct(
-            F.element_at(acc, -1)["start"].alias("start"),
-            F.greatest(F.element_at(acc, -1)["end"], x["end"]).alias("end"))))).otherwise(F.concat(acc, F.array(x))))
-    copies = F.explode(F.sequence(F.lit(1), (F.col("rows") / len(parts)).cast("int")))
-    return found.select("doc_id", "n_words", joined.alias("spans"), F.array_distinct("i").alias("item_ids"), "text_hash",
-                        copies.alias("_copy")).drop("_copy")
+    n_parts = len(parts)
+
+    def joined(batches):
+        for batch in batches:
+            out = {n: [] for n in ("doc_id", "n_words", "spans", "item_ids", "text_hash")}
+            for r in batch.to_pylist():
+                spans: list[dict] = []
+                for x in sorted(r["s"], key=lambda x: (x["start"], x["end"])):
+                    if spans and spans[-1]["end"] >= x["start"]:
+                        spans[-1]["end"] = max(spans[-1]["end"], x["end"])
+                    else:
+                        spans.append(dict(x))
+                for _ in range(max(1, r["rows"] // n_parts)):  # repeated rows
+                    for name, v in zip(out, (r["doc_id"], r["n_words"], spans, sorted(set(r["i"])), r["text_hash"])):
+                        out[name].append(v)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out["doc_id"], batch.schema.field("doc_id").type), pa.array(out["n_words"], pa.int64()),
+                 pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
+                 pa.array(out["item_ids"], pa.list_(pa.int64())), pa.array(out["text_hash"], pa.int64())], names=list(out))
+
+    return found.mapInArrow(joined, parts[0].schema)
 
 
 def verdicts(found: DataFrame, *more: str) -> DataFrame:
