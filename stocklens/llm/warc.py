@@ -152,11 +152,15 @@ def read_archives(spark, path: str) -> DataFrame:
 
 
 def captures(records: DataFrame) -> DataFrame:
-    """One nested row per capture: capture_id, request, response (or revisit) and metadata."""
+    """One nested row per capture: capture_id, request, response (or revisit) and metadata.
+
+    ``records`` may come without ``payload``; the response then lacks it too, and no payload is shuffled.
+    """
     answers = F.col("type").isin("response", "revisit")
     rows = records.withColumn("capture_id", F.when(answers, F.col("record_id")).otherwise(F.col("concurrent_to")))
     request = F.struct("record_id", "uri", "date", "http")
-    answer = F.struct("record_id", "type", "uri", "date", "http", "payload", "payload_bytes", "digest", "refers_to", "refers_to_page")
+    payload = [c for c in ("payload",) if c in records.columns]
+    answer = F.struct("record_id", "type", "uri", "date", "http", *payload, "payload_bytes", "digest", "refers_to", "refers_to_page")
     note = F.struct("record_id", "page_id")
     return rows.groupBy("capture_id").agg(
         F.first(F.when(F.col("type") == "request", request), ignorenulls=True).alias("request"),
@@ -167,7 +171,8 @@ def captures(records: DataFrame) -> DataFrame:
 def query(spark, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    return captures(read_archives(spark, path)).select(
+    # Lengths and digests were taken of whole payloads as they were read, so the payloads stay where they are.
+    return captures(read_archives(spark, path).drop("payload")).select(
         "metadata.page_id", "response.payload_bytes", F.col("response.digest").alias("payload_digest"),
         F.col("response.type").alias("record_type"), F.col("response.refers_to_page").alias("refers_to"))
 
