@@ -3,7 +3,7 @@
 Writing is plain DataFrame work. A page gives three records: a request, a response (or a revisit of an
 equal payload) and a metadata record; request and metadata name the response in WARC-Concurrent-To.
 Every record ends in a blank line, which is the line separator of Spark's text writer, so each
-output file is an uncompressed WARC file, written through Spark to any store.
+output file is a WARC file, compressed by gzip as archives usually are, written through Spark to any store.
 
 Of pages with equal payloads of at least ``revisit_bytes`` bytes the one with the largest page_id is a
 response; the others revisit it. The equal payloads meet in a left join on the digest, which adaptive
@@ -21,6 +21,7 @@ capture with null members.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 
 import pyarrow as pa
@@ -89,7 +90,12 @@ def archive_rows(pages: DataFrame, revisit_bytes: int = REVISIT_BYTES) -> DataFr
 
 def write_archives(pages: DataFrame, path: str, revisit_bytes: int = REVISIT_BYTES, file_records: int = FILE_RECORDS) -> None:
     (archive_rows(pages, revisit_bytes).write.option("lineSep", CRLF + CRLF)
-     .option("maxRecordsPerFile", file_records).text(path))
+     .option("maxRecordsPerFile", file_records).option("compression", "gzip").text(path))
+
+
+def plain(data: bytes) -> bytes:
+    """An archive's bytes without gzip, whether it is one member, a member per record or not compressed."""
+    return gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data
 
 
 def parse(data: bytes):
@@ -123,7 +129,7 @@ def read_archives(spark, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out = {n: [] for n in names}
-                for head, block in parse(content.as_buffer().to_pybytes()):
+                for head, block in parse(plain(content.as_buffer().to_pybytes())):
                     kind, http, payload, size, digest, page = head["warc-type"], None, None, None, None, None
                     if kind in ("response", "revisit"):
                         top, _, body = block.partition(b"\r\n\r\n")

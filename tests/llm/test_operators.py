@@ -1,5 +1,6 @@
 """Each operator on awkward rows against a plain computation of the same."""
 
+import gzip
 import hashlib
 import random
 import re
@@ -105,7 +106,10 @@ def test_warc_round_trip(spark):
              (10, "http://c.example/\r\nX: 1", "short"), (1, "http://a.example/x y", long)]
     path = new_folder(spark, "test-warc")
     warc.write_archives(spark.createDataFrame(pages, "page_id long, url string, html string"), path, file_records=4)
+    assert warc.plain(gzip.compress(b"WARC/1.1 a") + gzip.compress(b"b")) == b"WARC/1.1 ab" and warc.plain(b"WARC/1.1 a") == b"WARC/1.1 a"
     got = {r["metadata"]["page_id"]: r for r in rows(warc.captures(warc.read_archives(spark, path)))}
+    slim = {r["capture_id"]: r["response"] for r in rows(warc.captures(warc.read_archives(spark, path).drop("payload")))}
+    assert slim == {r["capture_id"]: {k: v for k, v in r["response"].items() if k != "payload"} for r in got.values()}
     assert set(got) == {p[0] for p in pages}
     for page_id, _, html in pages:
         answer, data = got[page_id]["response"], (html or "").encode()
