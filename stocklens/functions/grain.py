@@ -17,6 +17,8 @@ from stocklens.functions.semantics import known, month_index, present, series_ke
 
 INVENTORY_MEASURES = ["QUANTITY_ON_HAND", "TOTAL_COST_EXTENDED"]
 SALES_MEASURES = ["QUANTITY_SOLD", "NET_SALES_$", "GROSS_MARGIN_$", "COGS_$"]
+# Numbers that facts take from the picked row rather than sum.
+PICKED_NUMBERS = ["ORIGINAL_RETAIL_PRICE_EXTENDED"]
 
 IX = "_MONTH_IX"
 SIDE = "_SIDE"
@@ -38,12 +40,15 @@ def monthly(df: DataFrame, keys: Sequence[str], month_col: str, measures: Sequen
 def condense(df: DataFrame, measures: Sequence[str], columns: Sequence[str] | None = None) -> DataFrame:
     """Sum the measures over rows that agree in all other columns (or in ``columns``).
 
-    One hash aggregate with map-side combine. Everything later reads the result, so raw rows are
+    Numbers among the rest never group: the smallest is kept, which is the one a pick of the
+    smallest row would take. Columns outside ``columns`` are pruned from the scan. One hash aggregate with map-side combine. Everything later reads the result, so raw rows are
     scanned once, whatever number of tables is derived from them.
     """
     measures = present(df, measures)
-    rest = [c for c in (columns if columns is not None else df.columns) if c not in measures]
-    return df.groupBy(*present(df, rest)).agg(*[sum_or_zero(m).alias(m) for m in measures])
+    wanted = present(df, columns if columns is not None else df.columns)
+    picked = [c for c in wanted if c in PICKED_NUMBERS]
+    rest = [c for c in wanted if c not in {*measures, *picked}]
+    return df.groupBy(*rest).agg(*[sum_or_zero(m).alias(m) for m in measures], *[F.min(c).alias(c) for c in picked])
 
 
 def monthly_inventory(inv: DataFrame, keys: Sequence[str] | None = None,

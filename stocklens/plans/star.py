@@ -8,15 +8,15 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.functions.grain import (INVENTORY_MEASURES, SALES_MEASURES, condense, monthly_inventory,
-                                       monthly_sales)
+from stocklens.functions.grain import (INVENTORY_MEASURES, PICKED_NUMBERS, SALES_MEASURES, condense,
+                                       monthly_inventory, monthly_sales)
 from stocklens.functions.schema import conform, fill_margin
-from stocklens.functions.semantics import DEAL, present, series_keys
+from stocklens.functions.semantics import DEAL, SERIES_COLUMNS, present, series_keys
 from stocklens.operators.cycles import margin_cycle, sales_cycle
 from stocklens.operators.dates import BucketRange, bucket_staging
 from stocklens.operators.demand import HORIZONS, demand_facts, demand_windows
-from stocklens.operators.dims import SKU_KEYS, dim_category, dim_sku, id_clashes
-from stocklens.operators.facts import fact_inventory, fact_sales
+from stocklens.operators.dims import SKU_ATTRIBUTES, SKU_KEYS, dim_category, dim_sku, id_clashes
+from stocklens.operators.facts import GRAIN_DATES, fact_inventory, fact_sales
 from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
 from stocklens.operators.quintile import sales_quintile
@@ -26,6 +26,11 @@ from stocklens.sources.writers import write_output
 
 Cut = Callable[[DataFrame, str], DataFrame]
 
+# All that outputs use of a raw row besides its measures. Anything else, such as an invoice
+# number, would make each row its own group.
+MONTHS = ["BOM_INV_DATE", "EOM_INV_DATE", "BEG_MO", "EOM_DATE"]
+USED_COLUMNS = [DEAL, *SERIES_COLUMNS, "SKU", *MONTHS, "INVENTORY_DATE", *GRAIN_DATES, *SKU_ATTRIBUTES, *PICKED_NUMBERS]
+
 
 def both_sided_deals(sale: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Drop deals that lack sales or lack inventory."""
@@ -39,12 +44,12 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
               cut: Cut = stage) -> dict[str, DataFrame]:
     """All output tables by name, under canonical headers.
 
-    Raw rows are scanned once per side, into condensed tables that hold every column a later step
-    needs. ``cut`` stores those and the other tables that many outputs read (dimensions, base
+    Raw rows are scanned once per side, into condensed tables that hold every column an output
+    uses (``USED_COLUMNS``); others are left out. ``cut`` stores those and the other tables that many outputs read (dimensions, base
     facts, monthly sums, trailing windows); pass ``lambda df, name: df`` to leave them lazy.
     """
-    sale = cut(condense(fill_margin(sale), SALES_MEASURES), "sales-condensed")
-    inv = cut(condense(inv, INVENTORY_MEASURES), "inventory-condensed")
+    sale = cut(condense(fill_margin(sale), SALES_MEASURES, USED_COLUMNS), "sales-condensed")
+    inv = cut(condense(inv, INVENTORY_MEASURES, USED_COLUMNS), "inventory-condensed")
     sale, inv = both_sided_deals(sale, inv)
     keys = series_keys(inv)
     inv_m = cut(monthly_inventory(inv, keys, keep_null_keys=True), "inventory-months")

@@ -3,9 +3,12 @@ from datetime import date
 
 import pytest
 
+from pyspark.sql import functions as F
+
 from conftest import inventory, key, sales
+from stocklens.functions.grain import INVENTORY_MEASURES, condense
 from stocklens.operators.dates import BucketRange
-from stocklens.plans.star import both_sided_deals, run_deals, write_tables
+from stocklens.plans.star import USED_COLUMNS, both_sided_deals, run_deals, write_tables
 from stocklens.sources import readers
 from stocklens.sources.staging import shared_folder, small_side
 from stocklens.sources.writers import write_output
@@ -52,6 +55,17 @@ def test_one_run_equals_the_union_of_single_runs(inputs, tables):
         assert _rows(tables[name]) == _rows(single[0][name].unionByName(single[1][name])), name
 
 
+def test_unused_columns_and_prices_never_group(inputs):
+    _, inv = inputs
+    raw = inv.unionByName(inv)
+    noisy = raw.withColumns({"INVOICE_NUMBER": F.monotonically_increasing_id(), "ORIGINAL_RETAIL_PRICE_EXTENDED": F.rand(3)})
+    slim = condense(noisy, INVENTORY_MEASURES, USED_COLUMNS)
+    assert slim.count() == condense(raw, INVENTORY_MEASURES, USED_COLUMNS).count() == inv.count()
+    assert "INVOICE_NUMBER" not in slim.columns
+    assert slim.agg(F.max("ORIGINAL_RETAIL_PRICE_EXTENDED")).first()[0] < 1
+    assert _rows(slim.drop("ORIGINAL_RETAIL_PRICE_EXTENDED")) == _rows(condense(raw, INVENTORY_MEASURES, USED_COLUMNS))
+
+
 def test_writing_again_changes_nothing_and_other_deals_stay(spark, tables):
     root = f"{shared_folder(spark)}/out-{uuid.uuid4().hex}"
     slim = {n: tables[n] for n in ("DIM_SKU", "FACT_SALES", "FIFO")}
