@@ -104,30 +104,28 @@ def numbered(df: DataFrame, order: list[Column], name: str, group: list[str] | N
 def components(edges: DataFrame, name: str) -> DataFrame:
     """(node, component) for the nodes of ``edges`` (a, b): the smallest node each can reach.
 
-    Large-star and small-star steps in turn (Kiveris et al. 2014): each is a group-by on nodes,
-    edges never grow beyond their first number, and the rounds are logarithmic in practice. A star
-    step needs the smallest neighbour of a node, which is combined map-side, and a join back to it.
+    Large-star and small-star steps in turn (Kiveris et al. 2014) until every node has one target that has none
+    itself. Each edge becomes one edge, so their number never grows, and the rounds are logarithmic in
+    practice. A star step needs the smallest neighbour of a node, which is combined map-side, and a join back
+    to it, which can be split. Repeated edges do no harm, so no step makes them distinct.
     """
-    now = staged(edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-                 .distinct(), f"{name}-edges")
-    before = None
+    now, mine = edges.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")), None
     while True:
-        both = now.select("a", "b").unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        targets = now.select(F.col("a").alias("node"), F.col("b").alias("to")).unionAll(
+            now.select(F.col("b"), F.lit(None).cast("long"))).groupBy("node").agg(
+            F.min("to").alias("to"), F.max("to").alias("_hi"), F.count_if(F.col("to").isNull()).alias("_met"))
+        if targets.where("to is not null and (to < _hi or _met > 0)").isEmpty():
+            return targets.select("node", F.coalesce("to", "node").alias("component"))
+        both = now.unionAll(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
         large = both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        large = large.where("a != b").distinct()
         low = large.groupBy("a").agg(F.min("b").alias("m"))
-        linked = large.join(low, "a")
-        small = linked.select(F.when(F.col("b") != F.col("m"), F.col("b")).otherwise(F.col("a")).alias("a"),
-                              F.col("m").alias("b")).where("a != b").distinct()
-        last, now = now, staged(small, f"{name}-edges")
-        state = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        drop_staged(last)
-        if state == before:
-            break
-        before = state
-    return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(
-        now.select(F.col("b"), F.col("b")).distinct())
+        small = large.join(low, "a").select(F.when(F.col("b") != F.col("m"), F.col("b")).otherwise(F.col("a")).alias("a"),
+                                            F.col("m").alias("b"))
+        last, now = mine, staged(small, f"{name}-edges")
+        if last is not None:
+            drop_staged(last)
+        mine = now
 
 
 def pieces(batch, size: int = 1 << 20):

@@ -9,7 +9,7 @@
    bucket, chosen by aggregates that are combined map-side. A candidate's similarity is estimated by bit
    counts, corrected for chance agreement of b bits, and let through if it may reach the threshold.
 4. Those pairs are confirmed on the full sets. Then only buckets that still hold several components matter:
-   they meet more hubs, and what is left is compared across components by an exact prefix filter over
+   they are compared across components by an exact prefix filter over
    their sets. Pairs inside a component can't change it, so no link between components is lost.
 5. Components come from star contraction on the confirmed links (``common.components``).
 
@@ -35,6 +35,7 @@ BANDS, ROWS, BITS, SEED = 24, 5, 2, 20240607
 K = BANDS * ROWS
 PER_LONG = 30
 MARGIN = 0.17
+HUBS = 4
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -140,13 +141,12 @@ def estimate(a: Column, b: Column) -> Column:
     return (agree - chance) / (1 - chance)
 
 
-def hub_pairs(rows: DataFrame, hubs: int, first: int = 0) -> DataFrame:
+def hub_pairs(rows: DataFrame, hubs: int) -> DataFrame:
     """(a, b) with a < b: each member of a bucket with a few hubs that its bucket agrees on.
 
     A hub is the member nearest to a fixed number by exclusive or, so it comes out of a plain minimum.
     """
-    marks = np.random.default_rng(SEED + 1).integers(0, 2**62, 64).tolist()[first:first + hubs]
-    marks[0] = 0 if first == 0 else marks[0]
+    marks = [0, *np.random.default_rng(SEED + 1).integers(0, 2**62, 64).tolist()[1:hubs]]
     best = rows.groupBy("band").agg(F.min("id").alias("_lo"), F.max("id").alias("_hi"), *[
         F.min(F.col("id").bitwiseXOR(F.lit(m))).alias(f"_h{i}") for i, m in enumerate(marks)])
     best = best.where("_lo < _hi").select(F.col("band").alias("_band"), F.array_distinct(F.array(*[
@@ -203,37 +203,24 @@ def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle:
         known, (F.col("id") == F.col("_id")) & (F.col("set_key") == F.col("_key")), "left_semi").select("id", "shingles"), "sets")
     sign = classes.select("id", "signature")
 
-    def confirmed(pairs: DataFrame, round_name: str) -> tuple[DataFrame, DataFrame]:
-        """(tested pairs, links): the pairs that may reach the threshold, and those whose sets do."""
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """Links: the pairs whose signatures may reach the threshold and whose sets do."""
         left, right = (sign.select(F.col("id").alias(f"_{s}"), F.col("signature").alias(f"_s{s}")) for s in "ab")
         likely = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
             estimate(F.col("_sa"), F.col("_sb")) >= threshold_percent / 100 - MARGIN).select("a", "b")
-        likely = staged(likely, f"{round_name}-likely")
         left, right = (sets.select(F.col("id").alias(f"_{s}"), F.col("shingles").alias(f"_s{s}")) for s in "ab")
         common = F.size(F.array_intersect("_sa", "_sb"))
-        links = likely.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
-            100 * common >= threshold_percent * (F.size("_sa") + F.size("_sb") - common)).select("a", "b")
-        return likely, staged(links, f"{round_name}-links")
-
-    def split_buckets(links: DataFrame, name: str) -> DataFrame:
-        """Rows of buckets that hold several components: band, id, comp."""
-        comp = components(links, name).withColumnRenamed("component", "comp")
-        rows = live.join(comp, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("comp", "id").alias("comp"))
-        open_ = rows.groupBy("band").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select(
-            F.col("band").alias("_band"))
-        return staged(rows.join(open_, F.col("band") == F.col("_band"), "left_semi"), f"{name}-open")
-
-    tested, links = confirmed(hub_pairs(live, 2), "first")
-    rows = split_buckets(links, "first")
-    comp = rows.select("id", "comp").distinct()
-    left, right = (comp.select(F.col("id").alias(f"_{s}"), F.col("comp").alias(f"_c{s}")) for s in "ab")
-    pairs = hub_pairs(rows, 8, 2).join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where("_ca != _cb").select("a", "b")
-    tested2, links2 = confirmed(pairs.join(tested, ["a", "b"], "left_anti"), "second")
-    links, tested = links.unionAll(links2), tested.unionAll(tested2)
-    rows = split_buckets(links, "second").select("id", "comp").distinct()
-    across = prefix_pairs(rows, sets, threshold_percent)
-    _, links3 = confirmed(across.join(tested, ["a", "b"], "left_anti"), "third")
-    joined = components(links.unionAll(links3), "all")
+        return staged(likely.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
+            100 * common >= threshold_percent * (F.size("_sa") + F.size("_sb") - common)).select("a", "b"), name)
+
+    first = components(confirmed(hub_pairs(live, HUBS), "hub-links"), "first")
+    rows = live.join(first, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
+    open_ = rows.groupBy("band").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select(
+        F.col("band").alias("_band"))
+    rows = rows.join(open_, F.col("band") == F.col("_band"), "left_semi").select("id", "comp").distinct()
+    links = confirmed(prefix_pairs(rows, sets, threshold_percent), "last-links")
+    # Every node keeps one edge to its component; the last links join components.
+    joined = components(first.where("node != component").select(F.col("node").alias("a"), F.col("component").alias("b")).unionAll(links), "all")
     of_class = classes.join(joined, F.col("id") == F.col("node"), "left").select(
         F.col("set_key").alias("_key"), F.coalesce("component", "id").alias("_component"))
     of_class = of_class.groupBy("_key").agg(F.min("_component").alias("_component"))
