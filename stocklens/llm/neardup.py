@@ -35,7 +35,7 @@ BANDS, ROWS, BITS, SEED = 24, 5, 2, 20240607
 K = BANDS * ROWS
 PER_LONG = 30
 MARGIN = 0.17
-HUBS = 4
+HUBS = 2
 
 
 def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
