@@ -82,17 +82,29 @@ def heads(codes: np.ndarray, starts: np.ndarray, names) -> tuple[np.ndarray, np.
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
-    """Stirling series, moved up by eight; accurate to about 1e-12 for x >= 0.5."""
-    shift = np.log(x)
+    """Stirling series, moved up by eight; for x >= 0.5, and the better the larger."""
+    shift = x.copy()
     for i in range(1, 8):
-        shift += np.log(x + i)
+        shift *= x + i
     y = x + 8
-    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - shift
+    return (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y ** 3) + 1 / (1260 * y ** 5) - np.log(shift)
+
+
+#: Log gamma of small counts, plus a half and plus one; most contexts are rare.
+SMALL = 4096
+_AT = {plus: np.array([math.lgamma(n + plus) for n in range(SMALL)]) for plus in (0.5, 1.0)}
+
+
+def _log_gamma_of(n: np.ndarray, plus: float) -> np.ndarray:
+    out = _AT[plus][np.minimum(n, SMALL - 1).astype(np.int64)]
+    large = n >= SMALL
+    out[large] = log_gamma(n[large] + plus)
+    return out
 
 
 def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Log of the Krichevsky-Trofimov probability of that many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - log_gamma(zeros + ones + 1.0) - math.log(math.pi)
+    return _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - _log_gamma_of(zeros + ones, 1.0) - math.log(math.pi)
 
 
 def mixed(own: np.ndarray, log_beta: np.ndarray, deeper: np.ndarray) -> np.ndarray:
