@@ -1,21 +1,20 @@
 """Language-model scores by context-tree weighting over bytes.
 
 A text is its lower-cased words, each ended by a blank, and then one end mark. Each byte is eight binary
-decisions, predicted from up to ``DEPTH`` bytes before it in its word (the blank ahead included); the first
-two bytes of a word see two or three last bytes of the word before as well. Every context depth holds, for each decision, Krichevsky-Trofimov counts from the training texts. A node's
+decisions, predicted from up to ``DEPTH`` bytes before it in the running text, across words; an end mark and
+then zeros stand ahead of a text. Every context depth holds, for each decision, Krichevsky-Trofimov counts from the training texts. A node's
 weighted probability is half its own estimate plus half the product over its longer contexts,
 bottom-up, and a prediction mixes the estimates along the path with the weights that follow; where a
 longer context was never met, the path ends. Probabilities of all texts thus sum to one.
 
 Work is laid out by distinct things, never by token:
 1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words and
-   the distinct contexts of its word starts with their training counts, so a frequent word is one row per chunk.
-2. Words are summed into a vocabulary in ranges of neighbouring words, and a range gives the distinct contexts
-   inside its words. All contexts are summed and dealt by their last two bytes, which hold whole subtrees;
-   what reaches the driver is the summary of contexts of one byte, at most 256 x 255 rows.
-3. Each range gets its contexts' log-probabilities back and sums them per word. Each chunk's words and word
-   starts get theirs by joins on the key and return to the chunk, where texts are scored. All tables grow
-   with the corpus; nothing unbounded is broadcast.
+   its distinct contexts with the byte that follows, with their training counts, so what is frequent is one row per chunk.
+2. Words are summed into a vocabulary, and contexts by key. The sums are dealt by the contexts' last two bytes,
+   which hold whole subtrees; what reaches the driver is the summary of contexts of one byte, at most 256 x 255 rows.
+3. Each subtree gives its contexts' log-probabilities. Each chunk's words and contexts get theirs by joins on
+   the key and return to the chunk, where texts are scored. All tables grow with the corpus; nothing unbounded
+   is broadcast.
 
 Nulls: a null text is empty and is just the end mark. Repeated rows count and are scored each. Without training
 texts every decision has probability one half.
@@ -36,8 +35,10 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import drop_staged, held_out, staged, table, utf8, words
 
-DEPTH, CHUNK_CHARS, PART_WORDS = 6, 16_000_000, 100_000
+DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 16_000_000, 1 << 21
 END = b"\n"
+#: What stands ahead of a text.
+START = bytes(DEPTH - 1) + END
 LOG10 = math.log(10)
 
 
@@ -46,39 +47,43 @@ def word_keys(names) -> np.ndarray:
     return np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in names), np.uint64, len(names)).view(np.int64)
 
 
-def coded(w: bytes) -> bytes:
-    return w if w == END else w + b" "
+def coded(text: bytes | None) -> bytes:
+    return b"".join(w + b" " for w in words(text)) + END
 
 
-def inner(names) -> tuple[np.ndarray, np.ndarray]:
-    """(context and byte of the words' places from the third on, as one number; first such place of each word)."""
-    size = np.fromiter((len(coded(w)) for w in names), np.int64, len(names))
-    raw = np.frombuffer(b"".join(map(coded, names)), np.uint8).astype(np.int64)
-    inside = np.arange(len(raw)) - np.repeat(np.cumsum(size) - size, size)
-    key = raw.copy()
-    for d in range(1, DEPTH + 1):
-        before = np.zeros(len(raw), np.int64)
-        before[d:] = raw[:-d] if d < len(raw) else 0
-        before = np.where(inside >= d, before, np.where(inside == d - 1, 32, 0))  # a blank stands ahead of a word
-        key |= before << (8 * d)
-    kept = np.maximum(size - 2, 0)
-    return key[inside >= 2], np.cumsum(kept) - kept
+def running(texts: list[bytes | None], size: int = RUN_BYTES):
+    """(number of its text, context and byte as one number) of every byte, in runs of about ``size`` bytes.
 
-
-def heads(codes: np.ndarray, starts: np.ndarray, names) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pair of each token, and per pair the contexts with first and second byte; -1 for no second byte).
-
-    The first two bytes of a word also see the last bytes of the word before, or that the text starts.
+    The key fills 64 bits: the byte, and above it the ``DEPTH`` bytes before it, the nearest lowest.
     """
-    tail = np.array([int.from_bytes(w[-3:], "big") for w in names], np.int64)
-    first = np.array([coded(w)[0] for w in names], np.int64)
-    second = np.array([coded(w)[1] if w != END else 256 for w in names], np.int64)
-    before = np.where(starts, -1, tail[np.append(0, codes[:-1])])
-    pair, found = pd.factorize((before + 1) << 17 | (first << 9 | second)[codes])
-    before, one, two = (found >> 17) - 1, found >> 9 & 255, found & 511
-    ahead = np.where(before < 0, 10, before << 8 | 32)
-    key1 = (one | ahead << 8 & 0xFFFFFF00) << 8 | two
-    return pair, ahead << 8 | one, np.where(two < 256, key1, -1)
+    def run() -> tuple[np.ndarray, np.ndarray]:
+        raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
+        key = raw.copy()
+        for d in range(1, DEPTH + 1):
+            key[d:] |= raw[:-d] << (8 * d)
+        length = np.fromiter(map(len, parts), np.int64, len(parts))
+        inside = np.arange(len(raw)) - np.repeat(np.cumsum(length) - length, length)
+        return np.repeat(np.array(numbers, np.int64), length)[inside >= DEPTH], key[inside >= DEPTH]
+
+    numbers, parts, held = [], [], 0
+    for i, text in enumerate(texts):
+        whole = START + coded(text)
+        for at in range(0, len(whole) - DEPTH, size):  # a part repeats the bytes that its first ones see
+            numbers.append(i), parts.append(whole[at:at + size + DEPTH])
+            held += len(parts[-1])
+            if held >= size:
+                yield run()
+                numbers, parts, held = [], [], 0
+    if parts:
+        yield run()
+
+
+def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the sum of n of each."""
+    order = np.argsort(key)
+    key = key[order]
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
+    return key[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -203,49 +208,27 @@ def chunked(documents: DataFrame, learn: Column, chunk_chars: int) -> DataFrame:
     return docs.select("doc_id", utf8(F.col("text")).alias("text"), "learn", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"))
 
 
-def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes], np.ndarray]:
-    """(text of each token, its word's number, the distinct words, tokens that start a text); each text ends in the end mark."""
+def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """(text of each token, its word's number, the distinct words); each text ends in the end mark."""
     lists = [words(t) + [END] for t in texts]
     codes, names = pd.factorize(np.array([w for ws in lists for w in ws], dtype=object))
     size = np.fromiter(map(len, lists), np.int64, len(lists))
-    starts = np.zeros(len(codes), bool)
-    starts[np.cumsum(size) - size] = True
-    return np.repeat(np.arange(len(lists)), size), codes, list(names), starts
+    return np.repeat(np.arange(len(lists)), size), codes, list(names)
 
 
 def contents(chunk: pa.Table) -> pa.Table:
-    """Distinct words of a chunk, and keys of the contexts of its word starts, with their training counts."""
-    text, codes, names, starts = tokens(chunk.column("text").to_pylist())
-    learn = np.array(chunk.column("learn").to_pylist(), bool)[text].astype(float)
-    n = np.bincount(codes, learn, len(names))
-    pair, one, two = heads(codes, starts, names)
-    met = np.bincount(pair, learn, len(one))
-    found, at = np.unique(np.concatenate([one, two[two >= 0]]), return_inverse=True)
-    counts = np.bincount(at, np.concatenate([met, met[two >= 0]]), len(found))
+    """Distinct words of a chunk, and the keys of its distinct contexts, with their training counts."""
+    texts, learn = chunk.column("text").to_pylist(), np.array(chunk.column("learn").to_pylist(), bool).astype(np.int64)
+    text, codes, names = tokens(texts)
+    n = np.bincount(codes, learn[text], len(names)).astype(np.int64)
+    del text, codes
+    runs = [summed(key, learn[text]) for text, key in running(texts)]
+    found, counts = summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
     order = sorted(range(len(names)), key=names.__getitem__)
     return pa.table({"chunk": pa.array(np.full(len(names) + len(found), chunk.column("chunk")[0].as_py(), np.int32)),
-                     "word": pa.array([names[i] for i in order] + [None] * len(found), pa.binary()),
-                     "key": pa.array([None] * len(names) + found.tolist(), pa.int64()),
-                     "n": pa.array(np.concatenate([n[order], counts]).astype(np.int64))})
-
-
-def part_contexts(part: pa.Table) -> pa.Table:
-    """Distinct contexts inside the words of a range, with their training counts."""
-    names = part.column("word").to_pylist()
-    places, first = inner(names)
-    found, at = np.unique(places, return_inverse=True)
-    n = np.repeat(part.column("value").to_numpy(), np.diff(np.append(first, len(places))))
-    return pa.table({"part": pa.array(np.full(len(found), part.column("part")[0].as_py(), np.int32)), "key": pa.array(found),
-                     "n": pa.array(np.bincount(at, n, len(found)).astype(np.int64))})
-
-
-def part_words(part: pa.Table, values: pa.Table) -> pa.Table:
-    """Key, count and log10 probability, from the third byte on, of each word of a range."""
-    names = part.column("word").to_pylist()
-    places, first = inner(names)
-    total = np.append(0.0, np.cumsum(finder(values)(places)))
-    return pa.table({"key": pa.array(word_keys(names)), "c": part.column("value"),
-                     "value": pa.array(total[np.append(first[1:], len(places))] - total[first] if len(names) else total[:0])})
+                     "word": pa.chunked_array([pa.array([names[i] for i in order], pa.binary()), pa.nulls(len(found), pa.binary())]),
+                     "key": pa.chunked_array([pa.nulls(len(names), pa.int64()), pa.array(found)]),
+                     "n": pa.array(np.concatenate([n[order], counts]))})
 
 
 def finder(values: pa.Table, column: str = "value"):
@@ -269,14 +252,9 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     found = staged(docs.groupBy("chunk").applyInArrow(contents, "chunk int, word binary, key long, n long"), "chunk-contents")
     _let_go(spark)
     summed_words = staged(found.where("word is not null").groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
-    n_train, v, size = summed_words.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long")), F.count(F.lit(1))).first()
+    n_train, v = summed_words.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long"))).first()
     n_train, v = n_train or 0.0, v or 0
-    vocabulary = staged(summed_words.repartitionByRange(max(1, math.ceil(size / PART_WORDS)), "word").withColumn(
-        "part", F.spark_partition_id().cast("int")), "vocabulary")
-    drop_staged(summed_words)
-    _let_go(spark)
-    inside = staged(vocabulary.groupBy("part").applyInArrow(part_contexts, "part int, key long, n long"), "part-contexts")
-    contexts = found.where("word is null").select("key", "n").unionAll(inside.select("key", "n")).groupBy("key").agg(F.sum("n").alias("n"))
+    contexts = found.where("word is null").groupBy("key").agg(F.sum("n").alias("n"))
     # A subtree's contexts share their last two bytes, which stand right above the coded byte.
     contexts = staged(contexts, "contexts")
     _let_go(spark)
@@ -296,40 +274,34 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     model = staged(dealt.mapInArrow(log_probabilities, "key long, value double"), "model")
     drop_staged(contexts)
     _let_go(spark)
-    back = inside.select("part", "key").join(model, "key").groupBy("part")
-    spelled = staged(vocabulary.groupBy("part").cogroup(back).applyInArrow(part_words, "key long, c double, value double"), "spelled")
-    drop_staged(inside)
-    drop_staged(vocabulary)
-    _let_go(spark)
-    of_words = found.where("word is not null").select("chunk", F.xxhash64("word").alias("key")).join(spelled, "key").select("chunk", "key", "c", "value")
-    of_starts = found.where("word is null").select("chunk", "key").join(model, "key").select("chunk", "key", F.lit(None).cast("double").alias("c"), "value")
-    looked_up = staged(of_words.unionAll(of_starts), "looked-up")
-    for done in (found, spelled, model):
+    of_word = summed_words.select(F.col("word").alias("_word"), F.col("value").alias("c"))
+    of_words = found.where("word is not null").join(of_word, F.col("word") == F.col("_word")).select(
+        "chunk", F.xxhash64("word").alias("key"), "c", F.lit(None).cast("double").alias("value"))
+    of_contexts = found.where("word is null").select("chunk", "key").join(model, "key").select("chunk", "key", F.lit(None).cast("double").alias("c"), "value")
+    looked_up = staged(of_words.unionAll(of_contexts), "looked-up")
+    for done in (found, summed_words, model):
         drop_staged(done)
     _let_go(spark)
     whole = math.log10(n_train + v + 1)
 
     def scored(chunk: pa.Table, values: pa.Table) -> pa.Table:
-        text, codes, names, starts = tokens(chunk.column("text").to_pylist())
+        texts, rows = chunk.column("text").to_pylist(), chunk.num_rows
+        text, codes, names = tokens(texts)
         is_word = pc.is_valid(values.column("c"))
-        per_word, per_start = values.filter(is_word), values.filter(pc.invert(is_word))
-        own = word_keys(names)
-        c, spelling, log_of = finder(per_word, "c")(own), finder(per_word)(own), finder(per_start)
-        pair, one, two = heads(codes, starts, names)
-        begin = log_of(one)
-        begin[two >= 0] += log_of(two[two >= 0])
-        n_bytes = np.fromiter((len(coded(w)) for w in names), float, len(names))
-        rows = chunk.num_rows
-
-        def summed(per_word: np.ndarray) -> np.ndarray:
-            return np.bincount(text, per_word[codes], rows)
-
+        c, log_of = finder(values.filter(is_word), "c")(word_keys(names)), finder(values.filter(pc.invert(is_word)))
         n = np.bincount(text, minlength=rows)
-        score = summed(spelling) + np.bincount(text, begin[pair], rows)
+        known, base = (np.bincount(text, x[codes], rows) for x in ((c > 0).astype(float), np.log10(c + 1)))
+        del text, codes
+        score, n_bytes = np.zeros(rows), np.zeros(rows)
+        for text, key in running(texts):
+            order = np.argsort(key)  # neighbours are then looked up in turn
+            text = text[order]
+            score += np.bincount(text, log_of(key[order]), rows)
+            n_bytes += np.bincount(text, minlength=rows)
         return pa.table({"doc_id": chunk.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
-                         "n_known": pa.array(summed((c > 0).astype(float)).astype(np.int64)),
-                         "base_score": pa.array(summed(np.log10(c + 1)) - n * whole), "score": pa.array(score),
-                         "bits_per_byte": pa.array(-score * LOG10 / math.log(2) / summed(n_bytes))})
+                         "n_known": pa.array(known.astype(np.int64)),
+                         "base_score": pa.array(base - n * whole), "score": pa.array(score),
+                         "bits_per_byte": pa.array(-score * LOG10 / math.log(2) / n_bytes)})
 
     both = docs.groupBy("chunk").cogroup(looked_up.groupBy("chunk"))
     return both.applyInArrow(scored, SCORES).withColumn("train_tokens", F.lit(int(n_train)).cast("long"))

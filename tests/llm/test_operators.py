@@ -200,6 +200,21 @@ def test_byte_predictions_sum_to_one():
     assert abs(total[len(seen):].sum() - 1) < 1e-9
 
 
+def test_contexts_run_across_words_at_full_depth(spark):
+    from pyspark.sql import functions as F
+    text = "ab cde fghij kl"
+    whole = bytes(6) + b"\n" + text.encode() + b" \n"
+    for size in (1 << 20, 4):
+        got = [(int(i), int(k) & (1 << 64) - 1) for t, key in language_model.running([text.encode(), None], size) for i, k in zip(t, key)]
+        assert got[:-1] == [(0, int.from_bytes(whole[j - 7:j + 1], "big")) for j in range(7, len(whole))]
+        assert got[-1] == (1, 10 << 8 | 10)
+    # Only the words before tell which ending follows.
+    learnt = [(i, "red fox ran " if i % 2 else "old cat sat ") for i in range(60)]
+    df = spark.createDataFrame([(i, t * 3) for i, t in learnt] + [(100, "red fox ran"), (101, "red fox sat")], "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in rows(language_model.score_texts(df, F.col("doc_id") < 100))}
+    assert got[100] > got[101] + 1.5
+
+
 def test_log_kt_is_the_sequential_product():
     p, counts = 1.0, [0, 0]
     for bit in (0, 1, 1, 0, 1, 1, 1):
