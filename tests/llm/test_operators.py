@@ -345,3 +345,9 @@ def test_fingerprints_locate_edits():
     a, b = fingerprint.fingerprint(text), fingerprint.fingerprint(changed)
     assert a != b and fingerprint.edits(a, b) == [(0, 17)] and fingerprint.edits(a, a) == []
     assert 0.9 < fingerprint.likeness(a, b) < 1 and fingerprint.likeness(a, a) == 1
+
+
+def test_fingerprints_of_long_unrelated_texts_are_unlike():
+    rnd = random.Random(8)
+    a, b = (fingerprint.fingerprint(" ".join(f"{rnd.getrandbits(40):x}" for _ in range(100_000))) for _ in range(2))
+    assert len(fingerprint.pieces(a)) > 15_000 and fingerprint.likeness(a, b) < 1e-3
