@@ -4,13 +4,15 @@
    128-bit key of the whole set, the low ``b`` bits of the minima packed into longs, and a key per band.
 2. Documents with equal sets become one class, represented by the smallest id, so a text with a third
    of all rows is one row from here on.
-3. Classes that share a band key are candidates. With 24 bands of 5 rows a pair at 0.85 is missed
-   with probability 8e-7. Rather than all pairs of a bucket, each member meets a few hubs of the
+3. Classes that share a band key are candidates. There are as many bands of 5 rows as a pair at the threshold
+   needs to be missed once in a million at most (``bands_for``: 24 at 0.85, 36 at 0.8). Rather than all pairs of a bucket, each member meets a few hubs of the
    bucket, chosen by aggregates that are combined map-side. A candidate's similarity is estimated by bit
-   counts, corrected for chance agreement of b bits, and let through if it may reach the threshold.
+   counts, corrected for chance agreement of b bits, and let through if it may reach the threshold
+   (``lowest_estimate``, of the same loss; what it drops is met again in step 4).
 4. Those pairs are confirmed on the full sets. Then only buckets that still hold several components matter:
    they are compared across components by an exact prefix filter over
-   their sets. Pairs inside a component can't change it, so no link between components is lost.
+   their sets and confirmed without an estimate. Pairs inside a component can't change it, so what is lost
+   is pairs without a common band.
 5. Components come from star contraction on the confirmed links (``common.components``).
 
 Nulls and ties: null, empty and blank texts have an empty set and are linked with nothing. Rows with
@@ -20,6 +22,7 @@ equal ids are one document as far as components go. A row with a null id is its
 from __future__ import annotations
 
 import hashlib
+import math
 from functools import reduce
 
 import numpy as np
@@ -31,18 +34,38 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import components, mix64, pieces, staged, table, utf8, words
 
-BANDS, ROWS, BITS, SEED = 24, 5, 2, 20240607
-K = BANDS * ROWS
+ROWS, BITS, SEED = 5, 2, 20240607
 PER_LONG = 30
-MARGIN = 0.17
+#: Most that bands, and the estimate of hub pairs, may each miss of the pairs at the threshold.
+LOSS = 1e-6
 HUBS = 2
 
 
-def _constants() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def bands_for(threshold_percent: int) -> int:
+    """Bands that a pair at the threshold shares none of with probability LOSS at most; their minima fill longs."""
+    same = (threshold_percent / 100) ** ROWS
+    step = PER_LONG // math.gcd(PER_LONG, ROWS)
+    need = math.log(LOSS) / math.log1p(-same) if same < 1 else 1
+    return step * math.ceil(need / step)
+
+
+def lowest_estimate(threshold_percent: int, k: int) -> float:
+    """Estimate that a pair at the threshold falls below with probability LOSS at most (exact binomial tail)."""
+    chance = 2.0 ** -BITS
+    p = threshold_percent / 100 * (1 - chance) + chance
+    agree, below = 0, (1 - p) ** k
+    while below <= LOSS and agree < k:
+        agree += 1
+        below += math.comb(k, agree) * p ** agree * (1 - p) ** (k - agree)
+    return ((agree - 0.5) / k - chance) / (1 - chance)
+
+
+def _constants(k: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     rng = np.random.default_rng(SEED)
     def odd(n, kind):
         return rng.integers(0, np.iinfo(kind).max, n, dtype=kind, endpoint=True) | kind(1)
-    return odd(K, np.uint32), rng.integers(0, 2**32, K, dtype=np.uint32), odd(ROWS, np.uint64), odd(64, np.uint64)
+    place, row_odd = odd(64, np.uint64), odd(ROWS, np.uint64)
+    return odd(k, np.uint32), rng.integers(0, 2**32, k, dtype=np.uint32), row_odd, place
 
 
 def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
@@ -69,31 +92,33 @@ def shingle_sets(texts: list[bytes | None], size: int) -> list[np.ndarray]:
     return out
 
 
-def minima(shingles: np.ndarray) -> np.ndarray:
-    """K minima of a set under as many cheap permutations of 32-bit keys."""
-    times, flip, _, _ = _constants_cached()
+def minima(shingles: np.ndarray, k: int) -> np.ndarray:
+    """k minima of a set under as many cheap permutations of 32-bit keys."""
+    times, flip, _, _ = _constants_cached(k)
     x = (shingles >> np.uint64(32)).astype(np.uint32)
-    best = np.full(K, np.iinfo(np.uint32).max, np.uint32)
+    best = np.full(k, np.iinfo(np.uint32).max, np.uint32)
     for i in range(0, len(x), 1024):
         best = np.minimum(best, ((x[i:i + 1024, None] ^ flip) * times).min(axis=0))
     return best
 
 
-_CACHE: list = []
+_CACHE: dict = {}
 
 
-def _constants_cached():
-    if not _CACHE:
-        _CACHE.append(_constants())
-    return _CACHE[0]
+def _constants_cached(k: int):
+    if k not in _CACHE:
+        _CACHE[k] = _constants(k)
+    return _CACHE[k]
 
 
 SIGNATURES = "doc_id long, n_shingles long, set_key binary, signature array<long>, bands array<long>"
 
 
-def signatures(documents: DataFrame, shingle: int) -> DataFrame:
+def signatures(documents: DataFrame, shingle: int, n_bands: int) -> DataFrame:
+    k = n_bands * ROWS
+
     def rows(batches):
-        _, _, row_odd, _ = _constants_cached()
+        _, _, row_odd, _ = _constants_cached(k)
         shifts = (np.arange(PER_LONG) * BITS).astype(np.uint64)
         for batch in batches:
             for ids, texts in pieces(batch):
@@ -103,9 +128,9 @@ def signatures(documents: DataFrame, shingle: int) -> DataFrame:
                     if not len(s):
                         keys.append(None), sigs.append([]), bands.append([])
                         continue
-                    m = minima(s)
+                    m = minima(s, k)
                     low = (m & np.uint32((1 << BITS) - 1)).astype(np.uint64).reshape(-1, PER_LONG)
-                    band = mix64((m.astype(np.uint64).reshape(BANDS, ROWS) * row_odd).sum(axis=1) + np.arange(BANDS, dtype=np.uint64) * row_odd[0])
+                    band = mix64((m.astype(np.uint64).reshape(n_bands, ROWS) * row_odd).sum(axis=1) + np.arange(n_bands, dtype=np.uint64) * row_odd[0])
                     keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     sigs.append((low << shifts).sum(axis=1).astype(np.int64))
                     bands.append(band.view(np.int64))
@@ -130,13 +155,13 @@ def full_sets(documents: DataFrame, shingle: int) -> DataFrame:
         rows, "id long, set_key binary, shingles array<long>")
 
 
-def estimate(a: Column, b: Column) -> Column:
+def estimate(a: Column, b: Column, k: int) -> Column:
     """Jaccard estimate of two packed signatures, corrected for minima that agree by chance."""
     ones = sum(1 << (BITS * i) for i in range(PER_LONG))
     def differing(i: int) -> Column:
         x = F.element_at(a, i + 1).bitwiseXOR(F.element_at(b, i + 1))
         return F.bit_count(reduce(lambda p, q: p.bitwiseOR(q), [F.shiftrightunsigned(x, s) for s in range(BITS)]).bitwiseAND(F.lit(ones)))
-    agree = 1 - reduce(lambda p, q: p + q, [differing(i) for i in range(K // PER_LONG)]) / K
+    agree = 1 - reduce(lambda p, q: p + q, [differing(i) for i in range(k // PER_LONG)]) / k
     chance = 2.0 ** -BITS
     return (agree - chance) / (1 - chance)
 
@@ -189,7 +214,9 @@ def prefix_pairs(rows: DataFrame, sets: DataFrame, threshold_percent: int) -> Da
 def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle: int = 5) -> DataFrame:
     """Per document row: doc_id, n_shingles, component_id (smallest id it is linked to), kept."""
     docs = documents.select("doc_id", "text")
-    marked = staged(signatures(docs, shingle), "signatures")
+    n_bands = bands_for(threshold_percent)
+    k = n_bands * ROWS
+    marked = staged(signatures(docs, shingle, n_bands), "signatures")
     classes = staged(marked.where("n_shingles > 0 and doc_id is not null").groupBy("set_key").agg(
         F.min_by(F.struct("doc_id", "n_shingles", "signature", "bands"), "doc_id").alias("_r")).select(
         "set_key", "_r.*").withColumnRenamed("doc_id", "id"), "classes")
@@ -203,17 +230,20 @@ def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle:
         known, (F.col("id") == F.col("_id")) & (F.col("set_key") == F.col("_key")), "left_semi").select("id", "shingles"), "sets")
     sign = classes.select("id", "signature")
 
-    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
-        """Links: the pairs whose signatures may reach the threshold and whose sets do."""
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs whose signatures may reach the threshold."""
         left, right = (sign.select(F.col("id").alias(f"_{s}"), F.col("signature").alias(f"_s{s}")) for s in "ab")
-        likely = pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
-            estimate(F.col("_sa"), F.col("_sb")) >= threshold_percent / 100 - MARGIN).select("a", "b")
+        return pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
+            estimate(F.col("_sa"), F.col("_sb"), k) >= lowest_estimate(threshold_percent, k)).select("a", "b")
+
+    def confirmed(pairs: DataFrame, name: str) -> DataFrame:
+        """Links: the pairs whose sets reach the threshold."""
         left, right = (sets.select(F.col("id").alias(f"_{s}"), F.col("shingles").alias(f"_s{s}")) for s in "ab")
         common = F.size(F.array_intersect("_sa", "_sb"))
-        return staged(likely.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
+        return staged(pairs.join(left, F.col("a") == F.col("_a")).join(right, F.col("b") == F.col("_b")).where(
             100 * common >= threshold_percent * (F.size("_sa") + F.size("_sb") - common)).select("a", "b"), name)
 
-    first = components(confirmed(hub_pairs(live, HUBS), "hub-links"), "first")
+    first = components(confirmed(likely(hub_pairs(live, HUBS)), "hub-links"), "first")
     rows = live.join(first, F.col("id") == F.col("node"), "left").select("band", "id", F.coalesce("component", "id").alias("comp"))
     open_ = rows.groupBy("band").agg(F.min("comp").alias("_lo"), F.max("comp").alias("_hi")).where("_lo < _hi").select(
         F.col("band").alias("_band"))

@@ -161,6 +161,23 @@ def test_near_duplicates_against_all_pairs(spark, docs, empty, size, percent):
     assert len(kept) == len(set(kept)) and set(kept) - {None} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_near_duplicates_lose_no_more_than_stated(spark, monkeypatch):
+    from math import comb
+
+    from pyspark.sql import functions as F
+    for percent in (80, 85):
+        t, n = percent / 100, neardup.bands_for(percent)
+        k, p = n * neardup.ROWS, t + (1 - t) / 4
+        least = neardup.lowest_estimate(percent, k)
+        assert (1 - t ** neardup.ROWS) ** n <= 1e-6
+        assert sum(comb(k, i) * p ** i * (1 - p) ** (k - i) for i in range(k + 1) if (i / k - 0.25) / 0.75 < least) <= 1e-6
+    # A link that the estimate drops is found by the exact prefix join.
+    monkeypatch.setattr(neardup, "estimate", lambda *_: F.lit(0.0))
+    text = [f"w{i}" for i in range(90)]
+    df = spark.createDataFrame([(1, " ".join(text)), (2, " ".join([*text, "x"])), (3, "of its own kind and more")], "doc_id long, text string")
+    assert {r["doc_id"]: r["component_id"] for r in rows(neardup.near_duplicates(df, 80, 5))} == {1: 1, 2: 1, 3: 3}
+
+
 def test_language_model_counts_base_and_probability(spark, docs, empty):
     from pyspark.sql import functions as F
     learn = F.col("doc_id") != 10
