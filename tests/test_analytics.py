@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import KEYS, inventory, key, month, sales
+from sample_tables import KEYS, inventory, key, month, sales
 from stocklens.operators import cycles, dates, dims, facts, movement, quintile, sellthru
 
 RANGES = [dates.BucketRange(0, 60, "new"), dates.BucketRange(61, 9999, "old")]

@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import KEYS, inventory, key, month, sales
+from sample_tables import KEYS, inventory, key, month, sales
 from stocklens.operators import dates, demand, dims, facts
 
 

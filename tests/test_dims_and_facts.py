@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import KEYS, inventory, key, month, sales
+from sample_tables import KEYS, inventory, key, month, sales
 from stocklens.functions.grain import condense, monthly_inventory
 from stocklens.operators import dates, dims, facts
 

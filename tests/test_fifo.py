@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from conftest import KEYS, inventory, key, month, sales
+from sample_tables import KEYS, inventory, key, month, sales
 from stocklens.operators import dims, fifo
 
 LAST = 30

@@ -3,7 +3,7 @@ from datetime import date
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import KEYS, inventory, key, month, sales
+from sample_tables import KEYS, inventory, key, month, sales
 from stocklens.functions import schema as sc
 from stocklens.functions.semantics import clean_numeric, date_key, known, month_index, pdiv
 from stocklens.operators import dates

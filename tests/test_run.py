@@ -5,7 +5,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from conftest import inventory, key, sales
+from sample_tables import inventory, key, sales
 from stocklens.functions.grain import INVENTORY_MEASURES, condense
 from stocklens.operators.dates import BucketRange
 from stocklens.plans.star import USED_COLUMNS, both_sided_deals, run_deals, write_tables
