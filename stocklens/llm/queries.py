@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from stocklens.llm import (chat, decontaminate, fingerprint, language_model, mixing, neardup, packing, quality, toxicity, warc)
+from stocklens.llm import (chat, decontaminate, fill_middle, fingerprint, language_model, manifest, mixing, neardup, packing, quality, rules,
+                           toxicity, warc)
 
 QUERIES = {
     "op1_mixing": mixing.query,
@@ -15,6 +16,9 @@ QUERIES = {
     "op8_decontamination": decontaminate.query,
     "op9_packing": packing.query,
     "op10_fingerprint": fingerprint.query,
+    "op11_manifest": manifest.query,
+    "op12_quality_rules": rules.query,
+    "op13_fill_middle": fill_middle.query,
 }
 
 ORACLE = {
@@ -22,4 +26,7 @@ ORACLE = {
     "op4_near_duplicates": neardup.SQL,
     "op6_chat": chat.SQL,
     "op8_decontamination": decontaminate.SQL,
+    "op11_manifest": manifest.SQL,
+    "op12_quality_rules": rules.SQL,
+    "op13_fill_middle": fill_middle.SQL,
 }
