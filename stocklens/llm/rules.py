@@ -106,7 +106,9 @@ def _covered(first: Column, size: int) -> Column:
 def measured(documents: DataFrame, window: int = WINDOW, stop_words: Sequence[str] = STOP_WORDS) -> DataFrame:
     """``documents`` with a helper column per name of ``MEASURES``, see ``measure``.
 
-    The steps below stay apart in the plan, since what a step adds is used more than once by the next.
+    The steps below stay apart in the plan, since what a step adds is used more than once by the next. A condition on a
+    measure stays above them too: pushed down, it would hold every step within the next and make each array anew for
+    every word. What hangs on the row's number is not pushed down, so each measure does.
     """
     text, words, lines, hashes, order = (measure(n) for n in ("text", "words", "lines", "hashes", "order"))
 
@@ -126,8 +128,8 @@ def measured(documents: DataFrame, window: int = WINDOW, stop_words: Sequence[st
         return F.get(order, k - 1)["h"].eqNullSafe(x["h"]) | F.get(order, k + 1)["h"].eqNullSafe(x["h"])
 
     first = F.sort_array(F.transform(F.filter(order, twice), lambda x: x["i"]))
-    df = with_own(
-        df, n_words=F.size(words).cast("long"), word_chars=F.length(F.array_join(words, "")).cast("long"),
+    measures = dict(
+        n_words=F.size(words).cast("long"), word_chars=F.length(F.array_join(words, "")).cast("long"),
         n_symbols=_characters("[#*$%&|<>]", text).cast("long"), n_marks=_characters("[!?]", text),
         n_letter_words=_met(words, lambda x: x.rlike(r"\p{L}")),
         n_stop_words=_met(words, lambda x: F.lower(x).isin(*stop_words)), n_lines=F.size(lines),
@@ -135,6 +137,8 @@ def measured(documents: DataFrame, window: int = WINDOW, stop_words: Sequence[st
         n_bullet_lines=_met(lines, lambda x: x.rlike(r"^[\x20\t]*[-*\u2022]")),
         n_cut_lines=_met(lines, lambda x: x.rlike(r"(\.\.\.|\u2026)[\x20\t\r]*$")),
         n_repeat_words=F.when(order.isNull(), F.lit(0).cast("long")).otherwise(_covered(first, window)))
+    numbered = F.monotonically_increasing_id() >= 0
+    df = with_own(df, **{n: F.when(numbered, c) for n, c in measures.items()})
     return df.drop(*[OWN + n for n in ("text", "words", "lines", "hashes", "order")])
 
 
