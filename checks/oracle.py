@@ -7,6 +7,7 @@ or a recursive query wherever it can, so that a shared mistake is unlikely.
 from __future__ import annotations
 
 from checks.fixtures import RANGES
+from stocklens.plans.star import OUTPUT_TABLES
 
 ORACLE: dict[str, str] = {}
 
@@ -629,3 +630,40 @@ FROM ({' UNION ALL '.join(parts)})""")
 
 
 ORACLE["run_deals"] = run_deals()
+
+
+def with_category(name):
+    """An inventory fact with CATEGORY_1, which only order lines carry."""
+    on = " AND ".join([f"q.{c.upper()} = f.{c}" for c in KEY[1:]] + ["q.DEAL_ID = f.deal_id", "q.BOM_INV_DATE = CAST(f.mo AS VARCHAR)"])
+    return sql(FX + INV_FACT, f"""SELECT q.*, CAST(f.category_1 AS VARCHAR) AS "CATEGORY_1" FROM ({ORACLE[name]}) q JOIN f ON {on}""")
+
+
+def with_id_key(text):
+    """What a SKU id stands for; series with an unknown part have none."""
+    known_parts = " AND ".join(f"coalesce({c.upper()}, 'NA') <> 'NA'" for c in KEY[1:])
+    own = ", ".join(c.upper() for c in KEY[1:])
+    return f"""SELECT *, CASE WHEN {known_parts} THEN concat_ws('|', {own}) END AS "ID_KEY" FROM ({text})"""
+
+
+for _name in OUTPUT_TABLES:
+    _sql = with_category(_name.lower()) if "_MONTH_" in _name and "QUINTILE" not in _name else ORACLE[_name.lower()]
+    _bare = _name.startswith(("TEMP_", "DIM_")) or _name == "FACT_INV_MVMT"
+    ORACLE[f"run_deals_{_name.lower()}"] = _sql if _bare else with_id_key(_sql)
+
+
+def mixed(text):
+    """The same SQL over deals of which 1002 has neither locations nor categories."""
+    text = text.replace("n_name AS location", "CASE WHEN r_regionkey <= 2 THEN n_name ELSE '' END AS location")
+    text = text.replace("p_type AS category_1", "CASE WHEN r_regionkey <= 2 THEN p_type END AS category_1")
+    return f"SELECT * REPLACE (nullif(LOCATION, '') AS LOCATION) FROM ({text})"
+
+
+ORDERED = [f"""f AS (SELECT {K}, ship_mo AS mo, CASE WHEN deal_id = 1001 THEN last_day(ship_mo) END AS ordered,
+CAST(SUM(sgn * qty) AS DOUBLE) AS q, CAST(SUM(sgn * net) AS DOUBLE) AS net, CAST(SUM(sgn * (net - cogs)) AS DOUBLE) AS gm,
+CAST(SUM(sgn * cogs) AS DOUBLE) AS cogs, min(category_1) AS category_1 FROM sl
+WHERE division IS NOT NULL AND (deal_id <> 1001 OR category_1 NOT LIKE 'LARGE%') GROUP BY {K}, ship_mo)"""]
+ORACLE["run_deals_mixed_columns"] = mixed(sql(FXD + ORDERED, f"""SELECT {keys_out()},
+{days(BEG_MO='mo', ORDER_DATE='ordered')}, {ATTR}, {nums(SALES_OUT)}, {STAGED} FROM f JOIN kd USING ({K})"""))
+ORACLE["run_deals_mixed_columns_demand"] = mixed(with_category("fact_three_month_inventory"))
+MIXED_CATEGORY = "coalesce(category_1, 'NEED CAT')"
+ORACLE["run_deals_mixed_columns_dim_category"] = mixed(sql(FX + DIM, f"SELECT {dim_row(MIXED_CATEGORY)} FROM dim"))

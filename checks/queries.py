@@ -20,7 +20,7 @@ from stocklens.functions import schema as sc
 from stocklens.functions.grain import INVENTORY_MEASURES, SALES_MEASURES, condense
 from stocklens.functions.semantics import DEAL, clean_numeric, date_key
 from stocklens.operators import cycles, dates, demand, dims, facts, fifo, movement, quintile, sellthru
-from stocklens.plans.star import run_deals
+from stocklens.plans.star import OUTPUT_TABLES, run_deals
 from stocklens.sources.readers import read_output
 from stocklens.sources.staging import shared_folder, stage
 from stocklens.sources.writers import write_output
@@ -453,11 +453,68 @@ query("fact_sell_thru_by_part", False, True)(_sell_through)
 
 # --- the whole run ---------------------------------------------------------------------------
 
+_RUNS: dict[tuple[str, str, str], dict[str, DataFrame]] = {}
+
+
+def whole_run(spark: SparkSession, d: str, name: str, inputs) -> dict[str, DataFrame]:
+    """The output tables of a run over ``inputs(spark, d)``, made once per session."""
+    key = (spark.sparkContext.applicationId, d, name)
+    if key not in _RUNS:
+        inv, sale = inputs(spark, d)
+        _RUNS[key] = run_deals(sale, inv, RANGES)
+    return _RUNS[key]
+
+
+def mixed_lines(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """Line inputs of two deals with different layouts, in one table per side.
+
+    Deal 1001 has order dates (missing on some sales, which its facts leave out) and no cost of goods; deal 1002 has
+    neither order dates, gross margins, locations nor categories.
+    """
+    inv, sale = line_inputs(spark, d)
+    first = F.col(DEAL) == 1001
+    ordered = F.when(first & ~F.col("CATEGORY_1").startswith("LARGE"), F.last_day("BEG_MO"))
+    sale = sale.withColumns({"ORDER_DATE": ordered, "COGS_$": F.when(~first, F.col("COGS_$")),
+                             "GROSS_MARGIN_$": F.when(first, F.col("GROSS_MARGIN_$"))})
+    return tuple(df.withColumns({c: F.when(first, F.col(c)) for c in ("LOCATION", "CATEGORY_1")}) for df in (inv, sale))
+
+
+def by_natural_key(tables: dict[str, DataFrame], name: str) -> DataFrame:
+    """An output with what its SKU ids stand for: that row's key in DIM_SKU, as ID_KEY or, without keys of its own, as columns."""
+    df = tables[name]
+    if name == "DIM_SKU" or "SKU_SEQ_ID" not in df.columns:
+        return df
+    own = KEYS[1:]
+    skus = tables["DIM_SKU"].select(DEAL, "SKU_SEQ_ID", *own, F.concat_ws("|", *own).alias("ID_KEY"))
+    skus = skus.drop(*own) if "TRIM_SKU" in df.columns else skus.drop("ID_KEY")
+    return df.join(skus, [DEAL, "SKU_SEQ_ID"], "left")
+
+
+def _whole(spark, d, table):
+    return by_natural_key(whole_run(spark, d, "lines", line_inputs), table)
+
+
+for _name in OUTPUT_TABLES:
+    query(f"run_deals_{_name.lower()}", _name)(_whole)
+
+
+@query("run_deals_mixed_columns")
+def _(spark, d):
+    """Sales facts of deals that differ in their columns, from one run."""
+    return whole_run(spark, d, "mixed", mixed_lines)["FACT_SALES"]
+
+
+def _mixed(spark, d, table):
+    return whole_run(spark, d, "mixed", mixed_lines)[table]
+
+
+query("run_deals_mixed_columns_demand", "FACT_THREE_MONTH_INVENTORY")(_mixed)
+query("run_deals_mixed_columns_dim_category", "DIM_CATEGORY")(_mixed)
+
 @query("run_deals")
 def _(spark, d):
     """Rows per output table and deal of the whole appraisal."""
-    inv, sale = line_inputs(spark, d)
-    tables = run_deals(sale, inv, RANGES)
+    tables = whole_run(spark, d, "lines", line_inputs)
     counts = [df.groupBy(DEAL).agg(F.count("*").alias("ROWS")).withColumn("TABLE_NAME", F.lit(name))
               for name, df in tables.items()]
     return reduce(DataFrame.unionByName, counts)

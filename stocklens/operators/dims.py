@@ -6,7 +6,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from stocklens.functions.census import ABSENT, ELSEWHERE, unmarked
 from stocklens.functions.grain import first_rows
 from stocklens.functions.schema import align_columns
 from stocklens.functions.semantics import DEAL, NEED_CAT, NOT_AVAILABLE, present
@@ -23,9 +25,16 @@ SKU_ATTRIBUTES = ["DESCRIPTION_1", "LOT", *CATEGORIES, *CATEGORY_CODES]
 def surrogate_key(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """64-bit id from the natural key, so re-runs and late joins give the same id.
 
-    Missing parts are told apart from empty ones by a NULL flag per column.
+    Missing parts are told apart from empty ones by a NULL flag per column. A column that the row's deal lacks
+    gives neither, since a NULL leaves the hash as it is: the id doesn't hang on other deals' columns.
     """
-    parts = [p for c in columns for p in (F.col(c).isNull(), F.col(c))]
+    def part(c: str):
+        flag, value = F.col(c).isNull(), F.col(c)
+        if not isinstance(df.schema[c].dataType, T.StringType):
+            return flag, value
+        return F.when(value == ABSENT, None).otherwise(flag), unmarked(c)
+
+    parts = [p for c in columns for p in part(c)]
     return df.withColumn(name, F.xxhash64(*parts))
 
 
@@ -43,13 +52,11 @@ def dim_category(sale: DataFrame, inv: DataFrame, existing: DataFrame | None = N
     both = (inv_part.withColumn("_SOURCE", F.lit(0))
             .unionByName(sale_part.withColumn("_SOURCE", F.lit(1))))
     text = [c for c in inv_part.columns if c != DEAL]
-    both = both.withColumns({c: F.coalesce(F.col(c).cast("string"), F.lit(NEED_CAT)) for c in text})
+    both = both.withColumns({c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit(ELSEWHERE)), F.lit(NEED_CAT)) for c in text})
     dim = first_rows(both, keys, attributes, F.col("_SOURCE"))
 
-    absent = {c: F.lit(NEED_CAT) for c in CATEGORIES if c not in dim.columns}
-    absent |= {c: F.lit(NOT_AVAILABLE) for c in CATEGORY_CODES if c not in dim.columns}
-    if absent:
-        dim = dim.withColumns(absent)
+    defaults = dict.fromkeys(CATEGORIES, NEED_CAT) | dict.fromkeys(CATEGORY_CODES, NOT_AVAILABLE)
+    dim = dim.withColumns({c: unmarked(c, x) if c in dim.columns else F.lit(x) for c, x in defaults.items()})
     if existing is not None:
         dim = dim.join(existing.select(*keys).distinct(), keys, "left_anti")
     out = [c for c in DIM_CATEGORY_COLUMNS if c in dim.columns]
@@ -72,8 +79,14 @@ def dim_sku(dim_cat: DataFrame, sale: DataFrame, inv: DataFrame,
 
     inv_rows, inv_cols = picked(inv, "_INV")
     sale_rows, sale_cols = picked(sale, "_SALE")
-    joined = (base.join(inv_rows, present(inv, keys), "left")
-              .join(sale_rows, present(sale, keys), "left"))
+    def with_rows(df: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
+        rows = rows.withColumnsRenamed({c: f"_ON_{c}" for c in on})
+        match = [F.col(c) == F.col(f"_ON_{c}") for c in on if c != "SKU"]
+        if "SKU" in on:
+            match.append((F.col("_ON_SKU") == ELSEWHERE) | (F.col("SKU") == F.col("_ON_SKU")))
+        return df.join(rows, match, "left").drop(*[f"_ON_{c}" for c in on])
+
+    joined = with_rows(with_rows(base, inv_rows, present(inv, keys)), sale_rows, present(sale, keys))
     shown = []
     for c in attributes:
         sources = [F.col(c + s) for s, cols in (("_INV", inv_cols), ("_SALE", sale_cols)) if c in cols]
@@ -81,5 +94,5 @@ def dim_sku(dim_cat: DataFrame, sale: DataFrame, inv: DataFrame,
             shown.append(F.coalesce(*sources).alias(c))
     dim = joined.select(*keys, "CATEGORY_SEQ_ID", *shown)
     if "SKU" in dim.columns:
-        dim = dim.withColumn("TRIM_SKU", F.trim("SKU"))
+        dim = dim.withColumn("TRIM_SKU", F.when(F.col("SKU") == ABSENT, F.col("TRIM_SKU")).otherwise(F.trim("SKU")))
     return surrogate_key(dim, keys, "SKU_SEQ_ID")

@@ -15,6 +15,8 @@ from stocklens.operators.dates import RECEIPT_DATES, SALE_DATES, BucketRange, ag
 
 # Dates that refine a fact's grain when the input has them.
 GRAIN_DATES = ["EXPIRATION_DATE", "ORDER_DATE", "SHIP_DATE"]
+#: Set on condensed rows of several deals: true where a grain date that the row's deal has is missing.
+NO_GRAIN = "_NO_GRAIN"
 
 
 def sum_with_attributes(df: DataFrame, group: Sequence[str], measures: Sequence[str],
@@ -45,16 +47,21 @@ def build_fact(df: DataFrame, dates: DataFrame, dim_sku: DataFrame, keys: Sequen
     """Fact at keys x month (x order, ship and expiry date when present).
 
     ``condensed`` says that ``df`` comes from ``condense`` and need not be condensed again.
-    ``dates`` is the staging table of the same side. Its dates are constant per series, so they
+    Rows without a grain date are left out, or, where ``df`` says so itself (``NO_GRAIN``), those without one that their
+    deal has. ``dates`` is the staging table of the same side. Its dates are constant per series, so they
     join on the keys alone and both joins share one exchange.
     """
     month = "BOM_INV_DATE" if kind == "inv" else "BEG_MO"
     df = fill_margin(df) if kind == "sale" else df
     group = [*keys, month, *present(df, GRAIN_DATES)]
+    if NO_GRAIN in df.columns:
+        df = df.where(~F.col(NO_GRAIN)).drop(NO_GRAIN).dropna(subset=[*keys, month])
+    else:
+        df = df.dropna(subset=group)
     if attributes is None:
         taken = {*group, *measures, "GROSS_MARGIN_$", "COGS_$", "NET_SALES_$"}
         attributes = [c for c in df.columns if c not in taken]
-    fact = sum_with_attributes(df.dropna(subset=group), group, measures, present(df, attributes), condensed)
+    fact = sum_with_attributes(df, group, measures, present(df, attributes), condensed)
 
     series_dates = dates.select(*keys, *SALE_DATES, *RECEIPT_DATES).distinct()
     fact = (fact.join(series_dates, list(keys), "left")

@@ -4,19 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stocklens.functions import census
 from stocklens.functions.grain import (INVENTORY_MEASURES, PICKED_NUMBERS, SALES_MEASURES, condense,
                                        monthly_inventory, monthly_sales)
-from stocklens.functions.schema import conform, fill_margin
+from stocklens.functions.schema import conform
 from stocklens.functions.semantics import DEAL, SERIES_COLUMNS, present, series_keys
 from stocklens.operators.cycles import margin_cycle, sales_cycle
 from stocklens.operators.dates import BucketRange, bucket_staging
 from stocklens.operators.demand import HORIZONS, demand_facts, demand_windows
 from stocklens.operators.dims import SKU_ATTRIBUTES, SKU_KEYS, dim_category, dim_sku, id_clashes
-from stocklens.operators.facts import GRAIN_DATES, fact_inventory, fact_sales
+from stocklens.operators.facts import GRAIN_DATES, NO_GRAIN, fact_inventory, fact_sales
 from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
 from stocklens.operators.quintile import sales_quintile
@@ -32,6 +34,13 @@ MONTHS = ["BOM_INV_DATE", "EOM_INV_DATE", "BEG_MO", "EOM_DATE"]
 USED_COLUMNS = [DEAL, *SERIES_COLUMNS, "SKU", *MONTHS, "INVENTORY_DATE", *GRAIN_DATES, *SKU_ATTRIBUTES, *PICKED_NUMBERS]
 
 
+# The tables of a run.
+OUTPUT_TABLES = ["TEMP_INVBUCKET", "TEMP_SALESBUCKET", "DIM_CATEGORY", "DIM_SKU", "FACT_INVENTORY", "FACT_SALES",
+                 *[f"FACT_{word}_MONTH_{kind}" for word in HORIZONS.values() for kind in ("INVENTORY", "ANNUALIZED")],
+                 "FACT_TWO_MONTH_QUINTILE", "FACT_INV_MVMT", "FIFO", "FACT_GROSS_MARGIN_CYCLE", "FACT_SALES_CYCLE",
+                 "FACT_SELL_THRU"]
+
+
 def both_sided_deals(sale: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Drop deals that lack sales or lack inventory."""
     held = small_side(inv.select(DEAL).distinct(), "deals-held")
@@ -39,18 +48,40 @@ def both_sided_deals(sale: DataFrame, inv: DataFrame) -> tuple[DataFrame, DataFr
     return sale.join(held, DEAL, "left_semi"), inv.join(sold, DEAL, "left_semi")
 
 
+def laid_out(df: DataFrame, side: str, other: DataFrame) -> DataFrame:
+    """Condensed rows (joined with the layout) as operators take them.
+
+    Absent texts are marked; rows without a grain date that their deal has are left out of facts by ``_NO_GRAIN``.
+    """
+    df = census.mark_absent(df, [*census.OPTIONAL_KEYS, *SKU_ATTRIBUTES], side, other.columns)
+    missing = [F.col(c).isNull() & ~census.lacks(side, c) for c in present(df, GRAIN_DATES)]
+    return df.withColumn(NO_GRAIN, reduce(Column.__or__, missing, F.lit(False))).drop(census.SALE_COLUMNS, census.INV_COLUMNS)
+
+
 def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
               insert_date: date | None = None, quintile_months: Sequence[int] = (2,),
-              cut: Cut = stage) -> dict[str, DataFrame]:
+              cut: Cut = stage, sale_census: DataFrame | None = None,
+              inv_census: DataFrame | None = None) -> dict[str, DataFrame]:
     """All output tables by name, under canonical headers.
 
+    Deals may differ in their columns: each is read by its own layout (``functions.census``), which the censuses give;
+    without them a deal has the columns it holds any value in. A column that a deal lacks is null in its outputs.
+
     Raw rows are scanned once per side, into condensed tables that hold every column an output
     uses (``USED_COLUMNS``); others are left out. ``cut`` stores those and the other tables that many outputs read (dimensions, base
     facts, monthly sums, trailing windows); pass ``lambda df, name: df`` to leave them lazy.
     """
-    sale = cut(condense(fill_margin(sale), SALES_MEASURES, USED_COLUMNS), "sales-condensed")
+    sale = cut(condense(census.margin_parts(sale), [*SALES_MEASURES, *census.MARGIN_PARTS], USED_COLUMNS), "sales-condensed")
     inv = cut(condense(inv, INVENTORY_MEASURES, USED_COLUMNS), "inventory-condensed")
     sale, inv = both_sided_deals(sale, inv)
+    layout = small_side(census.deal_layout(sale, inv, sale_census, inv_census), "deal-layout")
+    census.check_layout(layout)
+    if sale_census is not None or inv_census is not None:
+        unknown = [r[0] for r in sale.select(DEAL).distinct().join(layout, DEAL, "left_anti").orderBy(DEAL).limit(10).collect()]
+        if unknown:
+            raise ValueError(f"deals without a census: {unknown}")
+    sale, inv = (laid_out(census.fill_margin_by_deal(sale.join(layout, DEAL)), census.SALE_COLUMNS, inv),
+                 laid_out(inv.join(layout, DEAL), census.INV_COLUMNS, sale))
     keys = series_keys(inv)
     inv_m = cut(monthly_inventory(inv, keys, keep_null_keys=True), "inventory-months")
     sale_m = cut(monthly_sales(sale, keys, keep_null_keys=True), "sales-months")
@@ -76,8 +107,20 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     tables["FACT_SALES_CYCLE"] = sales_cycle(sale_m, inv_m, sale_fact, ranges, insert_date)
     leads = lead_sales(inv_m, sale_m, keys, fact_inv=inv_fact)
     tables["FACT_SELL_THRU"] = sell_through(leads, keys, insert_date=insert_date)
-    return {name: df if "INSERT_DATE" in df.columns else df.withColumn("INSERT_DATE", F.lit(insert_date).cast("date"))
-            for name, df in tables.items()}
+    priced = [c for c in PICKED_NUMBERS if c in inv.columns]
+    return {name: outgoing(df, layout, priced, insert_date) for name, df in tables.items()}
+
+
+def outgoing(df: DataFrame, layout: DataFrame, priced: Sequence[str], insert_date: date | None) -> DataFrame:
+    """An output as readers see it: an insert date, and null for what a deal lacks."""
+    if "INSERT_DATE" not in df.columns:
+        df = df.withColumn("INSERT_DATE", F.lit(insert_date).cast("date"))
+    priced = present(df, priced)
+    if priced:
+        lacked = layout.select(DEAL, *[census.lacks(census.INV_COLUMNS, c).alias(f"_NO_{c}") for c in priced])
+        df = df.join(lacked, DEAL, "left").select(
+            *[F.when(~F.col(f"_NO_{c}"), F.col(c)).alias(c) if c in priced else F.col(c) for c in df.columns])
+    return census.without_marks(df)
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stocklens.functions.census import census_of_headers
 from stocklens.functions.schema import canonicalise, cast_to_schema
 from stocklens.functions.semantics import DEAL
 from stocklens.operators.dates import BucketRange
+from stocklens.sources.staging import folders
 
 
 def read_table(spark: SparkSession, path: str, format: str = "parquet", **options) -> DataFrame:
@@ -26,6 +29,31 @@ def read_input(spark: SparkSession, path: str, kind: str, spec: Mapping[str, str
     return canonicalise(cast_to_schema(df, spec) if spec else df, kind)
 
 
+def read_deals(spark: SparkSession, root: str, kind: str, spec: Mapping[str, str] | None = None,
+               format: str = "parquet", **options) -> tuple[DataFrame, DataFrame]:
+    """Typed input of one side from ``<root>/DEAL_ID=<id>/`` folders, and the census of their headers.
+
+    Deals may differ in their columns. Each folder's header is read once; folders with equal headers are one
+    scan, so the plan grows with the number of layouts, not of deals.
+    """
+    if format == "csv":
+        options = {"header": True, **options}
+    reader = spark.read.format(format).options(**options)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path in folders(spark, root):
+        if path.rsplit("/", 1)[-1].startswith(f"{DEAL}="):
+            layouts.setdefault(tuple(reader.load(path).columns), []).append(path)
+    sides, headers = [], {}
+    for paths in layouts.values():
+        df = reader.option("basePath", root).load(paths)
+        df = canonicalise(cast_to_schema(df, spec) if spec else df, kind)
+        sides.append(df.withColumn(DEAL, F.col(DEAL).cast("bigint")))
+        headers |= {int(p.rsplit("=", 1)[-1]): df.columns for p in paths}
+    if not sides:
+        raise FileNotFoundError(f"no {DEAL}=<id> folders in {root}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), sides), census_of_headers(spark, headers)
+
+
 def read_type_spec(spark: SparkSession, path: str) -> dict[str, str]:
     """Declared column types from a CSV ``name,type``: one line per input column."""
     rows = spark.read.csv(path, header=True).select("name", "type").collect()

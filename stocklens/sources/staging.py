@@ -33,6 +33,14 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(hadoop, True)
 
 
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the folders within a folder, in order of their names; none where it doesn't exist."""
+    hadoop, store = _hadoop_path(spark, path)
+    if not store.exists(hadoop):
+        return []
+    return sorted(s.getPath().toString() for s in store.listStatus(hadoop) if s.isDirectory())
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; call it when its outputs are written."""
     delete(spark, run_folder(spark))
