@@ -14,12 +14,16 @@ One output row is one matrix row: ``ids`` (little-endian, 2 or 4 bytes each, pad
 ``length``), ``cu_seqlens`` (cumulative segment lengths from 0), ``position_ids`` (same layout as ids,
 starting anew in each segment), and per segment doc_id, piece number and last flag.
 
+Runs of more than ``BLANKS`` blanks are coded in parts of that many, so their ids may differ from those of the run coded at once;
+they decode to the same text.
+
 Nulls: a null or empty text is just the end id; a null doc_id stays null in its segments. Repeated rows are packed each.
 """
 
 from __future__ import annotations
 
 import base64
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +37,18 @@ VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: Fixed value: that vocabulary's pre-token pattern.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: Blanks in a row that are coded at once; the pattern looks ahead from each blank of a run, on the coder's stack.
+BLANKS = 50_000
+_LONG_BLANKS = re.compile(rf"\s{{{BLANKS + 1},}}")
+
+
+def parts(text: str) -> list[str]:
+    """The text cut within runs of more than ``BLANKS`` blanks, so that none of its parts holds such a run."""
+    cuts = [0]
+    for run in _LONG_BLANKS.finditer(text):
+        cuts += range(run.start() + BLANKS, run.end(), BLANKS)
+    return [text[a:b] for a, b in zip(cuts, [*cuts[1:], len(text)])]
+
 
 class Encoder:
     """Byte-level BPE built from its ranks where it is first used, so only the ranks travel."""
@@ -48,7 +64,8 @@ class Encoder:
         if self.model is None:
             import tiktoken
             self.model = tiktoken.Encoding("bpe", pat_str=PATTERN, mergeable_ranks=self.ranks, special_tokens={})
-        return np.append(np.array(self.model.encode_ordinary(text or ""), np.uint32), np.uint32(self.end))
+        ids = [np.array(self.model.encode_ordinary(p), np.uint32) for p in parts(text or "")]
+        return np.concatenate([*ids, np.array([self.end], np.uint32)])
 
 
 def read_ranks(path: str = VOCABULARY) -> dict[bytes, int]:

@@ -368,3 +368,12 @@ def test_fingerprints_of_long_unrelated_texts_are_unlike():
     rnd = random.Random(8)
     a, b = (fingerprint.fingerprint(" ".join(f"{rnd.getrandbits(40):x}" for _ in range(100_000))) for _ in range(2))
     assert len(fingerprint.pieces(a)) > 15_000 and fingerprint.likeness(a, b) < 1e-3
+
+
+def test_very_long_runs_are_coded_losslessly():
+    encoder = packing.Encoder(packing.read_ranks())
+    encoder("")
+    for text in (" " * 2_000_000, "\n" * 2_000_000 + "end", "a" + " \n\t" * 400_000 + " b", "x" * 300_000, "word " * 1000, " " * 120_000):
+        assert encoder.model.decode([int(i) for i in encoder(text)[:-1]]) == text and encoder(text)[-1] == encoder.end
+    plain = "two  blanks \n\n and  more   "
+    assert encoder(plain)[:-1].tolist() == encoder.model.encode_ordinary(plain)
