@@ -23,8 +23,8 @@ from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
 from stocklens.operators.quintile import sales_quintile
 from stocklens.operators.sellthru import lead_sales, sell_through
+from stocklens.sources.published import write_run
 from stocklens.sources.staging import small_side, stage
-from stocklens.sources.writers import write_output
 
 Cut = Callable[[DataFrame, str], DataFrame]
 
@@ -124,9 +124,10 @@ def outgoing(df: DataFrame, layout: DataFrame, priced: Sequence[str], insert_dat
 
 
 def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
-    """Write every table in output form; refuses SKU ids that two natural keys share."""
+    """Write every table in output form and publish them as one run; refuses SKU ids that two natural keys share."""
     skus = tables["DIM_SKU"]
     if id_clashes(skus, present(skus, SKU_KEYS), "SKU_SEQ_ID").limit(1).count():
         raise ValueError("two SKU keys of one deal share a SKU_SEQ_ID")
     deals = [r[0] for r in skus.select(DEAL).distinct().collect()]  # one row per deal
-    return [write_output(conform(df, df.columns), root, name, deals) for name, df in tables.items()]
+    write_run({name: conform(df, df.columns) for name, df in tables.items()}, root, deals)
+    return [f"{root.rstrip('/')}/{name}" for name in tables]

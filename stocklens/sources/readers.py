@@ -12,6 +12,7 @@ from stocklens.functions.census import census_of_headers
 from stocklens.functions.schema import canonicalise, cast_to_schema
 from stocklens.functions.semantics import DEAL
 from stocklens.operators.dates import BucketRange
+from stocklens.sources.published import read_published
 from stocklens.sources.staging import folders
 
 
@@ -68,7 +69,6 @@ def read_bucket_ranges(spark: SparkSession, path: str) -> list[BucketRange]:
 
 
 def read_output(spark: SparkSession, root: str, name: str, deal_id: int | None = None) -> DataFrame:
-    """A written output table, or one deal of it (only that deal's folder is read)."""
-    df = spark.read.parquet(f"{root.rstrip('/')}/{name}")
-    df = df.withColumn(DEAL, F.col(DEAL).cast("bigint"))  # folder names are read as the narrowest type
+    """A published output table, or one deal of it (only that deal's folder is read)."""
+    df = read_published(spark, root, name)
     return df if deal_id is None else df.where(F.col(DEAL) == deal_id)

@@ -6,22 +6,14 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame
 
-from stocklens.functions.semantics import DEAL
-from stocklens.sources.staging import delete
+from stocklens.sources.published import write_run
 
 
 def write_output(df: DataFrame, root: str, name: str, deals: Iterable[int] | None = None) -> str:
-    """Replace deals within the Parquet table ``<root>/<name>``, one folder per deal; other deals stay.
+    """Replace deals within the table ``<root>/<name>``, as a publication of that one table; other deals stay.
 
     ``deals`` are those of the run: one without rows in ``df`` is emptied too. Without it only deals
-    that have rows are replaced. The rebalance gathers a deal into few files and lets the adaptive
-    planner split a deal that is too large for one task.
+    that have rows are replaced.
     """
-    path = f"{root.rstrip('/')}/{name}"
-    (df.hint("rebalance", DEAL).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(DEAL).parquet(path))
-    if deals is not None:
-        written = {r[0] for r in df.select(DEAL).distinct().collect()}  # one row per deal
-        for deal in set(deals) - written:
-            delete(df.sparkSession, f"{path}/{DEAL}={deal}")
-    return path
+    write_run({name: df}, root, deals)
+    return f"{root.rstrip('/')}/{name}"
