@@ -227,6 +227,8 @@ def dim_row(category):
 add("dim_category", FX + DIM, f"SELECT {dim_row('category_1')} FROM dim")
 add("dim_category_new_rows", FX + DIM, f"""SELECT {dim_row('category_1')} FROM dim WHERE ({K}) NOT IN
 (SELECT ({K}) FROM both_sides WHERE src = 0)""")
+add("dim_category_second_run", FX + DIM, f"""SELECT * REPLACE (CASE WHEN right("TRIM_SKU", 1) IN ('0', '2', '4', '6', '8')
+THEN 'first run' ELSE "CATEGORY_2" END AS "CATEGORY_2") FROM (SELECT {dim_row('category_1')} FROM dim)""")
 add("dim_sku", FX + DIM + [
     f"ia AS (SELECT {K}, min(category_1) AS c FROM il WHERE division IS NOT NULL GROUP BY {K})",
     f"sa AS (SELECT {K}, min(category_1) AS c FROM sl WHERE division IS NOT NULL GROUP BY {K})"],
@@ -651,6 +653,23 @@ for _name in OUTPUT_TABLES:
     ORACLE[f"run_deals_{_name.lower()}"] = _sql if _bare else with_id_key(_sql)
 
 
+def conformed(name, text):
+    """Declared columns that the run had no input for are null; the frames have their other names."""
+    absent = {"DIM_SKU": "DESCRIPTION_1 LOT CATEGORY_2 CATEGORY_3 CATEGORY_4 CATEGORY_CODE_1 CATEGORY_CODE_2 CATEGORY_CODE_3 CATEGORY_CODE_4"}
+    dates = "EXPIRATION_DATE ORDER_DATE SHIP_DATE ORIGINAL_RETAIL_PRICE_EXTENDED"
+    absent |= {"FACT_SALES": f"{absent['DIM_SKU']} {dates} EOM_DATE", "FACT_INVENTORY": f"{absent['DIM_SKU']} {dates} EOM_INV_DATE INVENTORY_DATE"}
+    missing = absent.get(name, "INVENTORY_DATE ORIGINAL_RETAIL_PRICE_EXTENDED" if "_MONTH_" in name and "QUINTILE" not in name else "")
+    nulls = "".join(f', NULL AS "{c}"' for c in missing.split())
+    if name == "FACT_INV_MVMT":
+        return f"SELECT * EXCLUDE ({', '.join(c.upper() for c in KEY[1:])}) FROM ({text})"
+    return f"""SELECT * RENAME (COUNTRY AS "MAJOR_FRAME", DIVISION AS "MINOR_FRAME", INVENTORY_TYPE AS "SUB_MINOR_FRAME"){nulls} FROM ({text})"""
+
+
+for _name in OUTPUT_TABLES:
+    _sql = with_category(_name.lower()) if "_MONTH_" in _name and "QUINTILE" not in _name else ORACLE[_name.lower()]
+    ORACLE["conform_temp_invbucket_declared" if _name == "TEMP_INVBUCKET" else f"conform_{_name.lower()}"] = conformed(_name, _sql)
+
+
 def mixed(text):
     """The same SQL over deals of which 1002 has neither locations nor categories."""
     text = text.replace("n_name AS location", "CASE WHEN r_regionkey <= 2 THEN n_name ELSE '' END AS location")

@@ -20,7 +20,8 @@ from stocklens.functions import schema as sc
 from stocklens.functions.grain import INVENTORY_MEASURES, SALES_MEASURES, condense
 from stocklens.functions.semantics import DEAL, clean_numeric, date_key
 from stocklens.operators import cycles, dates, demand, dims, facts, fifo, movement, quintile, sellthru
-from stocklens.plans.star import OUTPUT_TABLES, run_deals
+from stocklens.plans.outputs import conform_table
+from stocklens.plans.star import OUTPUT_TABLES, dimensions, run_deals
 from stocklens.sources.readers import read_output
 from stocklens.sources.staging import shared_folder, stage
 from stocklens.sources.writers import write_output
@@ -262,6 +263,17 @@ def _(spark, d):
     return dims.dim_category(sale, inv, existing=stored)
 
 
+@query("dim_category_second_run")
+def _(spark, d):
+    """The categories after a second run: the first saw half of the brands, the second all of them."""
+    inv, sale = condensed(spark, d)
+    even = F.substring("TRIM_SKU", -1, 1).isin(*"02468")
+    first = dims.dim_category(sale.where(even), inv.where(even)).withColumn("CATEGORY_2", F.lit("first run"))
+    whole = {"DIM_CATEGORY": stage(first, "first-run")}
+    layout = sale.select(DEAL).distinct()
+    return dimensions(sale, inv, layout, whole, stage)[0]
+
+
 @query("dim_sku")
 def _(spark, d):
     inv, sale = condensed(spark, d)
@@ -498,6 +510,14 @@ for _name in OUTPUT_TABLES:
     query(f"run_deals_{_name.lower()}", _name)(_whole)
 
 
+def _conformed(spark, d, table):
+    return conform_table(whole_run(spark, d, "lines", line_inputs)[table], table)
+
+
+for _name in OUTPUT_TABLES:
+    query(f"conform_{_name.lower()}" if _name != "TEMP_INVBUCKET" else "conform_temp_invbucket_declared", _name)(_conformed)
+
+
 @query("run_deals_mixed_columns")
 def _(spark, d):
     """Sales facts of deals that differ in their columns, from one run."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,6 +12,7 @@ from stocklens.functions.census import ABSENT, ELSEWHERE, unmarked
 from stocklens.functions.grain import first_rows
 from stocklens.functions.schema import align_columns
 from stocklens.functions.semantics import DEAL, NEED_CAT, NOT_AVAILABLE, present
+from stocklens.sources.staging import stage
 
 # The dimension columns.
 CATEGORIES = [f"CATEGORY_{i}" for i in range(1, 5)]
@@ -38,6 +39,38 @@ def surrogate_key(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame
     return df.withColumn(name, F.xxhash64(*parts))
 
 
+def distinct_ids(df: DataFrame, columns: Sequence[str], name: str, taken: DataFrame | None = None, bits: int = 63) -> DataFrame:
+    """``df`` with ids that no two natural keys of a deal share, and none that ``taken`` (DEAL_ID, id) holds.
+
+    Of keys that clash, the first in order keeps the id, or none if it is taken; the others hash anew with a salt, until none
+    clash. So ids are the same on each run over the same keys, and stay as they are while nothing clashes. A
+    round numbers the rows of each id, which are one but for clashes; it runs a job, so give it a stored table. ``bits``
+    narrows the ids, for tests.
+    """
+    columns = [c for c in columns if c in df.columns]
+    ids = None if taken is None else taken.select(F.col(DEAL).alias("_OF"), F.col(name).alias("_TAKEN")).distinct()
+    salt = 0
+    if bits < 63:
+        df = df.withColumn(name, F.pmod(F.col(name), F.lit(1 << bits)))
+    while True:
+        if ids is not None:
+            df = df.join(ids, (F.col(DEAL) == F.col("_OF")) & (F.col(name) == F.col("_TAKEN")), "left").drop("_OF")
+        else:
+            df = df.withColumn("_TAKEN", F.lit(None).cast("long"))
+        order = Window.partitionBy(DEAL, name).orderBy(*present(df, ["_SALT"]), *columns)
+        df = df.withColumn("_CLASH", F.col("_TAKEN").isNotNull() | (F.row_number().over(order) > 1))
+        if df.where("_CLASH").isEmpty():
+            return df.drop("_CLASH", "_TAKEN", "_SALT")
+        salt += 1
+        anew = surrogate_key(df, columns, "_ANEW").withColumn("_ANEW", F.xxhash64(F.col("_ANEW"), F.lit(salt)))
+        if bits < 63:
+            anew = anew.withColumn("_ANEW", F.pmod(F.col("_ANEW"), F.lit(1 << bits)))
+        before = F.col("_SALT") if "_SALT" in df.columns else F.lit(0)
+        anew = anew.withColumns({name: F.when(F.col("_CLASH"), F.col("_ANEW")).otherwise(F.col(name)),
+                                 "_SALT": F.when(F.col("_CLASH"), F.lit(salt)).otherwise(before)})
+        df = stage(anew.drop("_CLASH", "_TAKEN", "_ANEW"), f"ids-{name.lower()}")
+
+
 def id_clashes(df: DataFrame, columns: Sequence[str], name: str) -> DataFrame:
     """Ids shared by several natural keys of one deal; empty unless two keys hash alike."""
     return (df.select(name, *columns).distinct().groupBy(DEAL, name)

@@ -2,28 +2,29 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import date
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.functions import census
 from stocklens.functions.grain import (INVENTORY_MEASURES, PICKED_NUMBERS, SALES_MEASURES, condense,
                                        monthly_inventory, monthly_sales)
-from stocklens.functions.schema import conform
+from stocklens.functions.schema import FRAMES
 from stocklens.functions.semantics import DEAL, SERIES_COLUMNS, present, series_keys
 from stocklens.operators.cycles import margin_cycle, sales_cycle
 from stocklens.operators.dates import BucketRange, bucket_staging
 from stocklens.operators.demand import HORIZONS, demand_facts, demand_windows
-from stocklens.operators.dims import SKU_ATTRIBUTES, SKU_KEYS, dim_category, dim_sku, id_clashes
+from stocklens.operators.dims import DIM_KEYS, SKU_ATTRIBUTES, SKU_KEYS, dim_category, dim_sku, distinct_ids, id_clashes
 from stocklens.operators.facts import GRAIN_DATES, NO_GRAIN, fact_inventory, fact_sales
 from stocklens.operators.fifo import fifo
 from stocklens.operators.movement import inventory_movement
 from stocklens.operators.quintile import sales_quintile
 from stocklens.operators.sellthru import lead_sales, sell_through
-from stocklens.sources.published import write_run
+from stocklens.plans.outputs import conform_table
+from stocklens.sources.published import manifest, read_published, write_run
 from stocklens.sources.staging import small_side, stage
 
 Cut = Callable[[DataFrame, str], DataFrame]
@@ -61,12 +62,14 @@ def laid_out(df: DataFrame, side: str, other: DataFrame) -> DataFrame:
 def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
               insert_date: date | None = None, quintile_months: Sequence[int] = (2,),
               cut: Cut = stage, sale_census: DataFrame | None = None,
-              inv_census: DataFrame | None = None) -> dict[str, DataFrame]:
+              inv_census: DataFrame | None = None, stored: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
     """All output tables by name, under canonical headers.
 
     Deals may differ in their columns: each is read by its own layout (``functions.census``), which the censuses give;
     without them a deal has the columns it holds any value in. A column that a deal lacks is null in its outputs.
 
+    ``stored`` holds the dimensions of earlier runs (``stored_dimensions``): their rows and ids stay, and only keys they lack are added.
+
     Raw rows are scanned once per side, into condensed tables that hold every column an output
     uses (``USED_COLUMNS``); others are left out. ``cut`` stores those and the other tables that many outputs read (dimensions, base
     facts, monthly sums, trailing windows); pass ``lambda df, name: df`` to leave them lazy.
@@ -88,8 +91,7 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     inv_known, sale_known = inv_m.dropna(subset=keys), sale_m.dropna(subset=keys)
     sale_staging, inv_staging = bucket_staging(sale_known, inv_known, ranges)
     sale_staging, inv_staging = cut(sale_staging, "sales-staging"), cut(inv_staging, "inventory-staging")
-    categories = cut(dim_category(sale, inv), "dim-category")
-    skus = cut(dim_sku(categories, sale, inv), "dim-sku")
+    categories, skus = dimensions(sale, inv, layout, stored, cut)
     inv_fact = cut(fact_inventory(inv, inv_staging, skus, ranges, condensed=True, insert_date=insert_date),
                    "fact-inventory")
     sale_fact = cut(fact_sales(sale, sale_staging, skus, ranges, condensed=True, insert_date=insert_date),
@@ -111,6 +113,37 @@ def run_deals(sale: DataFrame, inv: DataFrame, ranges: Sequence[BucketRange],
     return {name: outgoing(df, layout, priced, insert_date) for name, df in tables.items()}
 
 
+def dimensions(sale: DataFrame, inv: DataFrame, layout: DataFrame, stored: Mapping[str, DataFrame] | None,
+               cut: Cut) -> tuple[DataFrame, DataFrame]:
+    """The category and SKU dimension: the stored rows of the run's deals, then the keys that are new, with ids of their own."""
+    def before(name: str) -> DataFrame | None:
+        if stored is None or name not in stored:
+            return None
+        rows = stored[name].join(layout.select(DEAL), DEAL, "left_semi")  # stored by deal, so other deals' folders aren't read
+        return rows.withColumns({c: F.coalesce(c, F.lit(census.ABSENT)) for c in present(rows, [*census.OPTIONAL_KEYS, "TRIM_SKU"])})
+
+    def whole(new: DataFrame, old: DataFrame | None) -> DataFrame:
+        return new if old is None else old.select(*present(old, new.columns)).unionByName(new, allowMissingColumns=True)
+
+    old = before("DIM_CATEGORY")
+    new = cut(dim_category(sale, inv, existing=old), "dim-category")
+    new = distinct_ids(new, DIM_KEYS, "CATEGORY_SEQ_ID", old)
+    old_skus = before("DIM_SKU")
+    new_skus = cut(dim_sku(new, sale, inv), "dim-sku")
+    new_skus = distinct_ids(new_skus, SKU_KEYS, "SKU_SEQ_ID", old_skus)
+    if stored is None:
+        return new, new_skus
+    return cut(whole(new, old), "dim-category-whole"), cut(whole(new_skus, old_skus), "dim-sku-whole")
+
+
+def stored_dimensions(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """The dimensions that earlier runs have published, under canonical headers; none before the first run."""
+    now = manifest(spark, root)
+    frames = {frame: name for name, frame in FRAMES.items()}
+    return {name: read_published(spark, root, name, now).withColumnsRenamed(frames).drop("INSERT_DATE")
+            for name in ("DIM_CATEGORY", "DIM_SKU") if name in now["tables"]}
+
+
 def outgoing(df: DataFrame, layout: DataFrame, priced: Sequence[str], insert_date: date | None) -> DataFrame:
     """An output as readers see it: an insert date, and null for what a deal lacks."""
     if "INSERT_DATE" not in df.columns:
@@ -129,5 +162,5 @@ def write_tables(tables: dict[str, DataFrame], root: str) -> list[str]:
     if id_clashes(skus, present(skus, SKU_KEYS), "SKU_SEQ_ID").limit(1).count():
         raise ValueError("two SKU keys of one deal share a SKU_SEQ_ID")
     deals = [r[0] for r in skus.select(DEAL).distinct().collect()]  # one row per deal
-    write_run({name: conform(df, df.columns) for name, df in tables.items()}, root, deals)
+    write_run({name: conform_table(df, name) for name, df in tables.items()}, root, deals)
     return [f"{root.rstrip('/')}/{name}" for name in tables]
