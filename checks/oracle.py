@@ -168,6 +168,13 @@ INV_OUT = {"QUANTITY_ON_HAND": "qoh", "TOTAL_COST_EXTENDED": "cost"}
 ORACLE["cast_to_schema"] = f"""SELECT {num(L_ORDERKEY="l_orderkey", L_QUANTITY="l_quantity")},
 {txt(L_LINENUMBER="l_linenumber", L_RETURNFLAG="l_returnflag", L_SUPPKEY="l_suppkey")},
 {days(L_SHIPDATE="l_shipdate")} FROM lineitem"""
+RAW = """raw AS (SELECT l_suppkey % 3 AS deal_id, l_orderkey AS k, l_linenumber AS line, l_quantity AS q, l_shipdate AS shipped,
+l_linenumber = 7 AS odd, l_linenumber = 7 AND l_linestatus = 'F' AS late, l_returnflag || ' pcs' AS text FROM lineitem)"""
+ORACLE["checked_cast_good_rows"] = f"""WITH {RAW} SELECT {num(DEAL_ID="deal_id", KEY="k", QUANTITY="q")},
+{txt(LINE="line")}, {days(SHIPPED="shipped")} FROM raw WHERE NOT odd"""
+ORACLE["checked_cast_rejected_values"] = f"""WITH {RAW}, bad AS (
+SELECT deal_id, 'QUANTITY' AS c, text AS v FROM raw WHERE odd UNION ALL SELECT deal_id, 'SHIPPED', 'soon' FROM raw WHERE late)
+SELECT {num(DEAL_ID="deal_id", ROWS="count(*)")}, {txt(COLUMN="c", VALUE="v")} FROM bad GROUP BY deal_id, c, v"""
 add("canonicalise_sales", FX, f"SELECT {keys_out()}, {days(BEG_MO='mo')}, {nums(SALES_OUT)} FROM s")
 add("canonicalise_inventory", FX, f"SELECT {keys_out()}, {days(BOM_INV_DATE='mo')}, {nums(INV_OUT)} FROM i")
 add("to_frames", FX, f"""SELECT {num(DEAL_ID="deal_id")}, {txt(LOCATION="location", MAJOR_FRAME="country",
@@ -203,6 +210,10 @@ add("age_days", FXD, f"SELECT {keys_out()}, {days(BOM_INV_DATE='mo')}, {ages()}
 ORACLE["bucketize"] = f"""WITH {BUCKETS}, o AS (SELECT o_orderkey,
 date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-07-01') AS d FROM orders)
 SELECT {num(o_orderkey="o_orderkey", days="d")}, {txt(age_bucket=bucket("d"))} FROM o"""
+ORACLE["bucketize_long_list"] = f"""WITH r AS (SELECT i, i * 37 % 2900 - 100 AS lb, i * 37 % 2900 - 100 + i * 13 % 61 AS ub
+FROM range(2000) AS t(i)), o AS (SELECT o_orderkey, date_diff('day', CAST(o_orderdate AS DATE), DATE '2001-07-01') AS d FROM orders),
+v AS (SELECT d, (SELECT 'range ' || max(i) FROM r WHERE d BETWEEN lb AND ub) AS v FROM (SELECT DISTINCT d FROM o))
+SELECT {num(o_orderkey="o_orderkey", days="d")}, {txt(age_bucket="v")} FROM o JOIN v USING (d)"""
 STAGED = f"{FOUR_DATES}, {ages()}, {age_buckets()}"
 add("temp_salesbucket", FXD, f"SELECT {keys_out()}, {days(BEG_MO='mo')}, {STAGED} {ON_SALE}")
 add("temp_invbucket", FXD, f"SELECT {keys_out()}, {days(BOM_INV_DATE='mo')}, {STAGED} {ON_INV}")

@@ -126,6 +126,27 @@ def _(spark, d):
                                    "L_SHIPDATE": "datetime", "L_SUPPKEY": "decimal"})
 
 
+def _untyped(spark, d):
+    """Order lines as text, in which a seventh line's quantity and some dates don't fit their declared types."""
+    line = spark.read.parquet(f"{d}/lineitem.parquet")
+    seventh = F.col("l_linenumber") == 7
+    columns = {DEAL: F.col("l_suppkey") % 3, "KEY": F.col("l_orderkey"), "LINE": F.col("l_linenumber"),
+               "QUANTITY": F.when(seventh, F.concat(F.col("l_returnflag"), F.lit(" pcs"))).otherwise(F.col("l_quantity").cast("string")),
+               "SHIPPED": F.when(seventh & (F.col("l_linestatus") == "F"), F.lit("soon")).otherwise(F.col("l_shipdate").cast("string"))}
+    raw = line.select(*[c.cast("string").alias(n) for n, c in columns.items()])
+    return sc.checked_cast(raw, {DEAL: "int", "KEY": "int", "QUANTITY": "float", "SHIPPED": "datetime", "LINE": "str"})
+
+
+@query("checked_cast_good_rows")
+def _(spark, d):
+    return sc.good_rows(_untyped(spark, d))
+
+
+@query("checked_cast_rejected_values")
+def _(spark, d):
+    return sc.rejected_values(_untyped(spark, d))
+
+
 def _raw_headers(df: DataFrame, month: str) -> DataFrame:
     framed = sc.to_frames(df).withColumnRenamed(month, "BOM")
     return framed.toDF(*[c.lower() for c in framed.columns])
@@ -232,6 +253,17 @@ def _(spark, d):
     return dates.bucketize(aged, "days", "age_bucket", RANGES)
 
 
+#: Two thousand overlapping ranges; later ones win.
+LONG_RANGES = [dates.BucketRange(i * 37 % 2900 - 100, i * 37 % 2900 - 100 + i * 13 % 61, f"range {i}") for i in range(2000)]
+
+
+@query("bucketize_long_list")
+def _(spark, d):
+    orders = spark.read.parquet(f"{d}/orders.parquet")
+    aged = orders.select("o_orderkey", F.datediff(F.lit("2001-07-01"), F.col("o_orderdate")).alias("days"))
+    return dates.bucketize(aged, "days", "age_bucket", LONG_RANGES)
+
+
 @query("temp_salesbucket")
 def _(spark, d):
     return dates.bucket_staging(*reversed(monthly(spark, d)), RANGES)[0]

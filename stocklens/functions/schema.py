@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stocklens.functions.semantics import present
+from stocklens.functions.semantics import DEAL, present
 
 log = logging.getLogger(__name__)
 
@@ -36,6 +36,46 @@ def cast_to_schema(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
     return df.select(*out)
 
 
+BAD = "_BAD_VALUES"
+
+
+def checked_cast(df: DataFrame, spec: Mapping[str, str]) -> DataFrame:
+    """Like ``cast_to_schema``, but a value that doesn't fit its declared type ends no run.
+
+    It becomes null and is noted in ``_BAD_VALUES``, an array of (COLUMN, VALUE) that is empty for good rows.
+    ``good_rows`` and ``rejected_values`` part the result. Only declared text, which may fail, is tried; all in one projection.
+    """
+    out, bad = [], []
+    for f in df.schema.fields:
+        kind = TYPE_NAMES.get(spec.get(f.name, ""))
+        value = F.col(f"`{f.name}`")
+        if kind is None:
+            out.append(value)
+            continue
+        tried = value.try_cast(kind)
+        out.append(tried.alias(f.name))
+        if kind != "string":
+            note = F.struct(F.lit(f.name).alias("COLUMN"), value.cast("string").alias("VALUE"))
+            bad.append(F.when(value.isNotNull() & tried.isNull(), note))
+    none = F.array().cast("array<struct<COLUMN:string,VALUE:string>>")
+    return df.select(*out, (F.array_compact(F.array(*bad)) if bad else none).alias(BAD))
+
+
+def good_rows(checked: DataFrame) -> DataFrame:
+    """Rows of ``checked_cast`` whose declared values all fit, without the note."""
+    return checked.where(F.size(BAD) == 0).drop(BAD)
+
+
+def rejected_values(checked: DataFrame) -> DataFrame:
+    """How often which value of which column didn't fit, per deal where there is one: (DEAL_ID, COLUMN, VALUE, ROWS).
+
+    A row with several bad values counts for each. Combined map-side, so a value that a whole file repeats is one row per task.
+    """
+    deal = F.col(DEAL) if DEAL in checked.columns else F.lit(None).cast("bigint")
+    each = checked.select(deal.alias(DEAL), F.explode(BAD).alias("_BAD"))
+    return each.groupBy(DEAL, F.col("_BAD.COLUMN").alias("COLUMN"), F.col("_BAD.VALUE").alias("VALUE")).agg(F.count(F.lit(1)).alias("ROWS"))
+
+
 def schema_report(df: DataFrame, spec: Mapping[str, str]) -> dict[str, list[str]]:
     """Columns that ``cast_to_schema`` leaves as they are, by reason."""
     return {

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -26,6 +27,10 @@ BUCKET_COLUMNS = [bucket for _, bucket in AGES.values()]
 STAGING_DATES = [*SALE_DATES, *RECEIPT_DATES, "INTRODUCTION_DATE"]
 
 
+#: Ranges that are one CASE; each is a comparison per row there.
+CASE_RANGES = 64
+
+
 class BucketRange(NamedTuple):
     lower: int
     upper: int
@@ -77,13 +82,60 @@ def age_days(df: DataFrame, anchor: str) -> DataFrame:
                            for days, (since, _) in AGES.items()})
 
 
+class Piece(NamedTuple):
+    """Days from ``lower`` up to the next piece's have this value, or none."""
+    lower: int
+    value: str | None
+
+
+def disjoint_pieces(ranges: Sequence[BucketRange]) -> list[Piece]:
+    """Overlapping last-match-wins ranges as sorted pieces that don't overlap.
+
+    A sweep over the range ends: a heap holds the open ranges, the last in the list on top, and gives the value from one end to
+    the next. n ranges take n log n steps and give at most 2 n pieces. Neighbours of equal value are one piece.
+    """
+    starts = sorted((r.lower, i) for i, r in enumerate(ranges) if r.lower <= r.upper)
+    ends = sorted({x for r in ranges if r.lower <= r.upper for x in (r.lower, r.upper + 1)})
+    pieces: list[Piece] = []
+    opened: list[int] = []
+    nxt = 0
+    for end in ends:
+        while nxt < len(starts) and starts[nxt][0] == end:
+            heapq.heappush(opened, -starts[nxt][1])
+            nxt += 1
+        while opened and ranges[-opened[0]].upper < end:
+            heapq.heappop(opened)
+        value = ranges[-opened[0]].value if opened else None
+        if not pieces or pieces[-1].value != value:
+            pieces.append(Piece(end, value))
+    return pieces
+
+
+def piece_of(days: Column, pieces: Sequence[Piece]) -> Column:
+    """Value of the piece that holds ``days``: a binary search over its sorted lower ends, halving its step each time.
+
+    The pieces are two array literals, whose size the list of ranges bounds; log2 of their number is the work per row, and
+    nothing is joined.
+    """
+    if not pieces:
+        return F.lit(None).cast("string")
+    lowers = F.array(*[F.lit(p.lower).cast("bigint") for p in pieces])
+    values = F.array(*[F.lit(p.value).cast("string") for p in pieces])
+    top = 1 << len(pieces).bit_length() - 1
+    steps = F.array(*[F.lit(top >> i) for i in range(top.bit_length())])
+    found = F.aggregate(steps, F.lit(0), lambda at, step: F.when(F.get(lowers, at + step - 1) <= days, at + step).otherwise(at))
+    return F.when(found > 0, F.get(values, found - 1))
+
+
 def bucket(days: Column, ranges: Sequence[BucketRange]) -> Column:
     """Value of the last range holding ``days`` (both bounds inclusive), NULL when none does.
 
-    The ranges are a short configuration list, so they become one CASE and no join is needed.
+    A short list becomes one CASE; a longer one is cut into disjoint pieces that a binary search looks up. No join is needed.
     """
     if not ranges:
         return F.lit(None).cast("string")
+    if len(ranges) > CASE_RANGES:
+        return piece_of(days, disjoint_pieces(ranges))
     out = None
     for r in reversed(ranges):
         inside = days.between(r.lower, r.upper)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stocklens.functions.census import census_of_headers
-from stocklens.functions.schema import canonicalise, cast_to_schema
+from stocklens.functions.schema import canonicalise, cast_to_schema, checked_cast, good_rows, rejected_values
 from stocklens.functions.semantics import DEAL
 from stocklens.operators.dates import BucketRange
 from stocklens.sources.published import read_published
@@ -30,6 +30,19 @@ def read_input(spark: SparkSession, path: str, kind: str, spec: Mapping[str, str
     return canonicalise(cast_to_schema(df, spec) if spec else df, kind)
 
 
+def read_checked(spark: SparkSession, path: str, kind: str, spec: Mapping[str, str], format: str = "parquet",
+                 **options) -> tuple[DataFrame, DataFrame]:
+    """Input of one side whose values all fit their declared types, and the values that don't, counted by deal and column.
+
+    ``spec`` names columns as the files do; one bad value costs its row, not the run.
+    """
+    raw = read_table(spark, path, format, **options)
+    deal = next((c for c in raw.columns if c.upper() == DEAL), None)
+    checked = checked_cast(raw, spec)
+    counted = checked.withColumnRenamed(deal, DEAL) if deal else checked
+    return canonicalise(good_rows(checked), kind), rejected_values(counted)
+
+
 def read_deals(spark: SparkSession, root: str, kind: str, spec: Mapping[str, str] | None = None,
                format: str = "parquet", **options) -> tuple[DataFrame, DataFrame]:
     """Typed input of one side from ``<root>/DEAL_ID=<id>/`` folders, and the census of their headers.
