@@ -3,35 +3,38 @@
 Inputs: a text's words (letters and digits, lower case). A word enters as its own hashed embedding beside the
 mean of its hashed character n-grams, so unseen forms of a stem are understood. Two gated recurrent
 layers read each window of ``WINDOW`` words, one per direction; attention pools their states; a linear
-unit gives the window's logit. Windows overlap by four words and cover the whole text; a text's logit is its highest.
+unit gives the window's logit. Windows overlap by half and cover the whole text, so a passage of up to ``WINDOW - STRIDE + 1``
+words lies whole in one of them wherever it stands; a text's logit is its highest.
 
 Training: labels are per text, so training alternates between picking each text's highest window under the
 model and descending on the picked windows (Adam, gradients by hand). The sample is bounded: the
 ``SAMPLE`` labelled texts of class 0 and class 1 with the smallest hashed ids among those of at most
-``SAMPLE_CHARS`` characters. Embeddings start from each feature's log odds in the sample, and a last logistic fit on
+``SAMPLE_CHARS`` characters (both bounds are parameters; texts of any length are scored whole). The sample is chosen by ids and
+lengths alone; its texts are then picked from one scan by a broadcast of at most ``sum(SAMPLE)`` ids, and its words
+are numbered a few texts at a time, so no task or shuffle holds texts and the driver holds the sample only. Embeddings start from each feature's log odds in the sample, and a last logistic fit on
 text logits sets the scale of scores. The model has a fixed size and is broadcast.
 
 Scoring streams texts in runs of a few megabytes: inputs are projected once per distinct word of a run.
 
 Nulls and ties: texts without words (null, empty) have one empty window and get a score too. Labels with a
-null id or label are left out; without both classes every score is 0.
+null id or label are left out; without both classes every score is 0. Of rows with an equal id the smallest text is learned from. A very long text
+is scored in one run of its own, whose memory grows with its words. Extra columns pass through ``without_toxic`` unread.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stocklens.llm.common import alnum_words, held_out, mix64, pieces, table, utf8
 
-WINDOW, STRIDE = 32, 28
+WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 18, 1 << 18, (3, 5)
 DIM, HIDDEN, SEED = 6, 4, 7
 SAMPLE, SAMPLE_CHARS = (4500, 1500), 20_000
-RUN_BYTES, THRESHOLD = 8_000_000, 0.5
+RUN_BYTES, THRESHOLD, WORDS_AT_ONCE = 8_000_000, 0.5, 32_768
 
 
 def word_features(names: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -75,12 +78,21 @@ class Run:
     """Some texts as word numbers, with the features of their distinct words and their windows."""
 
     def __init__(self, texts: list[bytes | None]):
-        lists = [alnum_words(t) for t in texts]
-        flat = [w for ws in lists for w in ws]
-        codes, names = pd.factorize(np.array(flat, dtype=object)) if flat else (np.zeros(0, np.int64), [])
-        self.flat = codes
-        self.own, self.grams, self.first = word_features(list(names)) if len(names) else (np.zeros(0, np.int64),) * 2 + (np.zeros(1, np.int64),)
-        self.counts = np.fromiter(map(len, lists), np.int64, len(lists))
+        known: dict[bytes, int] = {}
+        parts, self.counts = [np.zeros(0, np.int32)], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):  # a text's words live until they are numbered
+            ws = alnum_words(text)
+            self.counts[i] = len(ws)
+            parts.append(np.fromiter((known.setdefault(w, len(known)) for w in ws), np.int32, len(ws)))
+        codes = self.flat = np.concatenate(parts)
+        names = list(known)
+        own, grams, sizes = [np.zeros(0, np.int64)], [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
+        for i in range(0, len(names), WORDS_AT_ONCE):
+            o, g, f = word_features(names[i:i + WORDS_AT_ONCE])
+            own.append(o)
+            grams.append(g.astype(np.int32))
+            sizes.append(np.diff(f))
+        self.own, self.grams, self.first = np.concatenate(own), np.concatenate(grams), np.concatenate(sizes).cumsum()
         self.text, start = windows(self.counts)
         begin = np.cumsum(self.counts) - self.counts
         place = start[:, None] + np.arange(WINDOW)
@@ -110,8 +122,13 @@ class Network:
 
     def inputs(self, run: Run) -> np.ndarray:
         """Vector of each distinct word, and zeros for no word."""
-        x = np.concatenate([self.p["word"][run.own], means(self.p["gram"][run.grams], run.first)], axis=1)
-        return np.concatenate([x, np.zeros((1, x.shape[1]), np.float32)])
+        x = np.zeros((len(run.own) + 1, 2 * DIM), np.float32)
+        for i in range(0, len(run.own), WORDS_AT_ONCE):
+            first = run.first[i:i + WORDS_AT_ONCE + 1]
+            rows = slice(i, i + len(first) - 1)
+            x[rows, :DIM] = self.p["word"][run.own[rows]]
+            x[rows, DIM:] = means(self.p["gram"][run.grams[first[0]:first[-1]]], first - first[0])
+        return x
 
     def forward(self, x: np.ndarray, words: np.ndarray, mask: np.ndarray, keep: bool = False):
         """Logits of windows of word numbers; with ``keep`` also what the gradient needs."""
@@ -290,13 +307,19 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", sample: t
         sample_chars: int = SAMPLE_CHARS) -> Network | None:
     """Train on a bounded sample of labelled documents, ``sample`` by class."""
     known = labels.where(F.col(label).isin(0, 1)).select(F.col("doc_id").cast("long").alias("_id"), F.col(label).cast("int").alias("y"))
-    texts = documents.where(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars).select(
-        F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"))
-    rows = texts.join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "y", "text")
-    order = [F.xxhash64(F.lit(SEED), "doc_id"), "doc_id", "y", "text"]
-    chosen = [rows.where(F.col("y") == c).orderBy(*order).limit(sample[c]) for c in (0, 1)]
-    got = chosen[0].unionAll(chosen[1]).toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
-    return train(got.column("text").to_pylist(), got.column("y").to_numpy().astype(np.int64)) if len(got) else None
+    fits = documents.where(F.coalesce(F.length("text"), F.lit(0)) <= sample_chars)
+    docs = fits.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"))
+    labelled = docs.select("doc_id").join(known, F.col("doc_id") == F.col("_id")).select("doc_id", "y").distinct()
+    order = [F.xxhash64(F.lit(SEED), "doc_id"), "doc_id"]
+    ids = [r for c in (0, 1) for r in labelled.where(F.col("y") == c).orderBy(*order).limit(sample[c]).collect()]
+    if not ids:
+        return None
+    chosen = documents.sparkSession.createDataFrame(ids, "_id long, y int")
+    rows = docs.join(F.broadcast(chosen), F.col("doc_id") == F.col("_id")).groupBy("doc_id", "y").agg(F.min("text").alias("text"))
+    got = rows.toArrow().sort_by([("doc_id", "ascending"), ("y", "ascending")])
+    texts, y = got.column("text").to_pylist(), got.column("y").to_numpy().astype(np.int64)
+    del got
+    return train(texts, y)
 
 
 def score(documents: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
