@@ -697,3 +697,8 @@ ORACLE["run_deals_mixed_columns"] = mixed(sql(FXD + ORDERED, f"""SELECT {keys_ou
 ORACLE["run_deals_mixed_columns_demand"] = mixed(with_category("fact_three_month_inventory"))
 MIXED_CATEGORY = "coalesce(category_1, 'NEED CAT')"
 ORACLE["run_deals_mixed_columns_dim_category"] = mixed(sql(FX + DIM, f"SELECT {dim_row(MIXED_CATEGORY)} FROM dim"))
+
+ORACLE["trailing_sales_6_months_appended"] = ORACLE["trailing_sales_6_months"]
+ORACLE["movement_matrix_appended"] = ORACLE["movement_matrix"]
+# Series with an unknown key part aren't stored by month here.
+ORACLE["lead_sales_appended"] = f"SELECT * FROM ({ORACLE['lead_sales']}) WHERE DIVISION IS NOT NULL"

@@ -6,6 +6,7 @@ without hashed ids and the insert date.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import reduce
 from types import SimpleNamespace
@@ -20,6 +21,7 @@ from stocklens.functions import schema as sc
 from stocklens.functions.grain import INVENTORY_MEASURES, SALES_MEASURES, condense
 from stocklens.functions.semantics import DEAL, clean_numeric, date_key
 from stocklens.operators import cycles, dates, demand, dims, facts, fifo, movement, quintile, sellthru
+from stocklens.plans import append
 from stocklens.plans.outputs import conform_table
 from stocklens.plans.star import OUTPUT_TABLES, dimensions, run_deals
 from stocklens.sources.readers import read_output
@@ -396,6 +398,43 @@ def _(spark, d):
     return demand.stock_out_run_off(metrics).select(*KEYS, "BOM_INV_DATE", *demand.RUN_OFF)
 
 
+# --- appended months ------
+
+def _by_month(spark, df, month, name):
+    """A table stored by month, written without the last month and then given it, as a monthly delivery does."""
+    path = f"{shared_folder(spark)}/stocklens/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+    last = df.agg(F.max(month)).first()[0]
+    append.write_months(df.where(F.col(month) < last), path, month)
+    append.write_months(df, path, month, [last])
+    return path, append.read_months(spark, path, month, df), last
+
+
+def _appended(spark, d, compute, reach, two_sides):
+    """A result stored up to the month before the last, brought up to date by the rows that the last month touches."""
+    inv_m, sale_m = months(spark, d)
+    _, inv, last = _by_month(spark, inv_m, "BOM_INV_DATE", "inv-by-month")
+    tables = [(inv, "BOM_INV_DATE")]
+    if two_sides:
+        _, sale, _ = _by_month(spark, sale_m, "BEG_MO", "sale-by-month")
+        tables.append((sale, "BEG_MO"))
+    before = compute(*[df.where(F.col(m) < last) for df, m in tables])
+    path = f"{shared_folder(spark)}/stocklens/{spark.sparkContext.applicationId}/result-{uuid.uuid4().hex}"
+    append.write_months(before, path, "BOM_INV_DATE")
+    rows, touched = append.recomputed(compute, tables, [last], reach)
+    append.write_months(rows, path, "BOM_INV_DATE", touched)
+    result = append.read_months(spark, path, "BOM_INV_DATE", before)
+    if not two_sides:
+        return result
+    old, new = ([of(df, m) for df, m in tables] for of in (lambda df, m: df.where(F.col(m) < last), lambda df, m: append.of_months(df, m, [last])))
+    life = append.merged_lifetimes(append.lifetimes(*old, KEYS), append.lifetimes(*new, KEYS))
+    return append.with_lifetimes(result, life, KEYS)
+
+
+query("trailing_sales_6_months_appended", lambda i, s: demand.trailing_sales(i, s, KEYS, 6), append.trailing_reach(6), True)(_appended)
+query("lead_sales_appended", lambda i, s: sellthru.lead_sales(i, s, KEYS), append.LEAD_REACH, True)(_appended)
+query("movement_matrix_appended", lambda i: movement.movement_matrix(i, series=KEYS), append.MOVEMENT_REACH, False)(_appended)
+
+
 # --- quintile, movement ----------------------------------------------------------------------
 
 def _quintile(spark, d, n, by_part):
