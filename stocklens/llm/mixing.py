@@ -154,18 +154,19 @@ def mixed_texts(documents: DataFrame, **options) -> DataFrame:
     A whole pass keeps the text as it is; a further run keeps its words and the blanks among them.
     """
     taken = staged(mix(documents, **options).where("taken > 0"), "taken")
-    counted = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), "size", "passes", "runs")
+    counted = taken.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
+                           *[F.col(c).alias(f"_{c}") for c in ("size", "passes", "runs")])
     distinct = documents.withColumn("_text_hash", F.xxhash64("text"))
     if not taken.groupBy("doc_id", "text_hash").count().where("count > 1").isEmpty():
         distinct = distinct.dropDuplicates(["doc_id", "_text_hash"])  # each copy has its own takes
     both = distinct.join(counted, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text_hash") == F.col("_hash")))
-    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")), F.col("passes").cast("int"))
-    rows = both.withColumn("_run", F.explode(F.concat(whole, "runs")))
+    whole = F.array_repeat(F.struct(F.lit(0).cast("long").alias("start"), F.col("_size").alias("end")), F.col("_passes").cast("int"))
+    rows = both.withColumn("_run", F.explode(F.concat(whole, "_runs")))
     piece = F.regexp_extract_all("text", F.lit(rf"[\x20\x09-\x0D]*{WORD}"), F.lit(0))
     span = F.col("_run.end") - F.col("_run.start")
     cut = F.regexp_replace(F.array_join(F.slice(piece, (F.col("_run.start") + 1).cast("int"), span.cast("int")), ""),
                            r"^[\x20\x09-\x0D]+", "")
-    text = F.when((F.col("_run.start") == 0) & (F.col("_run.end") == F.col("size")), F.col("text")).otherwise(cut)
+    text = F.when((F.col("_run.start") == 0) & (F.col("_run.end") == F.col("_size")), F.col("text")).otherwise(cut)
     columns = [text.alias(c) if c == "text" else F.length(text).cast("long").alias(c) if c == "n_chars" else F.col(c)
                for c in documents.columns]
     return rows.select(*columns)

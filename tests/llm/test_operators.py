@@ -377,3 +377,12 @@ def test_very_long_runs_are_coded_losslessly():
         assert encoder.model.decode([int(i) for i in encoder(text)[:-1]]) == text and encoder(text)[-1] == encoder.end
     plain = "two  blanks \n\n and  more   "
     assert encoder(plain)[:-1].tolist() == encoder.model.encode_ordinary(plain)
+
+
+def test_mixed_texts_with_clashing_names(spark, docs):
+    from pyspark.sql import functions as F
+    names = ("size", "passes", "runs", "taken", "target", "shard")
+    clashing = docs.withColumns({c: F.lit(f"own {c}") for c in names})
+    got = mixing.mixed_texts(clashing)
+    assert got.columns == clashing.columns and {tuple(r) for r in got.select(*names).collect()} == {tuple(f"own {c}" for c in names)}
+    assert sorted(rows(got.drop(*names)), key=str) == sorted(rows(mixing.mixed_texts(docs)), key=str)
