@@ -5,15 +5,19 @@ a backslash becomes ``\\b``, ``<`` becomes ``\\l`` and ``#`` becomes ``\\h`` (in
 becomes ``\\n``), so neither a turn mark nor a ``###`` heading can come out of a text, and reading
 back reverses each pair.
 
-Windows: tokens are counted per turn (words) and summed along the conversation. A turn belongs to
-block floor(tokens before it / stride) with ``stride = budget - history``; a window holds the new
-turns of one block, whole turns only. So its new turns exceed the stride by less than its last
-turn, and no turn is ever cut. Ahead of them it repeats the turns whose start lies at most
-``history`` tokens before its first new one, and ahead of those a leading system turn. Repeated turns
-carry no loss, so each assistant text is a target once.
-
-Work per conversation is two windows over its turns sorted by turn, which spill, and no array
-of a whole conversation; only the digest query joins a conversation's texts, since a digest is over all of them.
+Windows: tokens are counted per turn (words, and one for the turn) and summed along the conversation.
+A window holds the longest run of whole new turns that fits the budget together with what it
+repeats: the leading system turn, and ahead of its first new turn as many whole earlier turns as
+``history`` tokens hold. No turn is ever cut. Above the budget are only windows of one new turn
+that is longer than the room (these repeat no history), and those of a system turn that takes over
+three quarters of the budget, which leaves a quarter to the others. Repeated turns carry no loss, so
+each assistant text is a target once.
+
+The prefix sums are taken over turns dealt by range, so a conversation of any length is spread over
+tasks. It is cut into segments at every ``segment`` budgets of tokens, where a window ends too;
+spans are chosen within a segment, which holds at most that many turns. History reaches back across
+the cut. Only the digest query joins a conversation's texts in one value, since a digest is over
+all of them: a conversation of more than 2 GB can be formatted, but not digested.
 
 Nulls and ties: a null text is empty, a null role is empty; turns with equal numbers follow role and
 text, null turns come first; repeated rows are turns of their own. Rows with a null conv_id form
@@ -22,12 +26,12 @@ one conversation.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import WORD, table
+from stocklens.llm.common import WORD, numbered, staged, table
 
-BUDGET, HISTORY = 512, 128
+BUDGET, HISTORY, SEGMENT = 512, 128, 32
 OPEN, CLOSE = "<turn>", "</turn>\n"
 ASSISTANT, SYSTEM = "assistant", "system"
 
@@ -50,52 +54,69 @@ def _fields() -> tuple[Column, Column, Column]:
     return head, body, F.concat(head, body, F.lit(CLOSE))
 
 
-def format_chat(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY) -> DataFrame:
-    """One row per window: conv_id, window, formatted, first_turn, n_turns, repeated, spans.
+def _segments(conversations: DataFrame, budget: int, history: int, segment: int) -> DataFrame:
+    """One row per conversation and segment: its turns in order, with those of the last one that its history may reach, and the system turn."""
+    reach = segment * budget
+    turns = conversations.select(
+        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")).withColumn(
+        "_tokens", (F.regexp_count("text", F.lit(WORD)) + 1).cast("long"))
+    head, body, whole = _fields()
+    own = staged(numbered(turns, [F.col("turn").asc_nulls_first(), F.col("role"), F.col("text")], "chat-turns", ["conv_id"], "_tokens").select(
+        "conv_id", F.floor(F.col("_before") / reach).cast("long").alias("_segment"), "_before", "_tokens",
+        (F.col("_rank") - 1).alias("_n"), F.lit(True).alias("_new"), (F.col("role") == ASSISTANT).alias("_target"),
+        ((F.col("_rank") == 1) & (F.col("role") == SYSTEM)).alias("_leading"),
+        F.length(head).alias("_head"), F.length(body).alias("_body"), whole.alias("_whole")), "chat-numbered")
+    late = own.where(~F.col("_leading") & (F.col("_before") >= (F.col("_segment") + 1) * reach - history))
+    late = late.withColumns({"_segment": F.col("_segment") + 1, "_new": F.lit(False)})
+    turn = F.struct(*own.columns[2:])
+    system = own.where("_leading").select(F.col("conv_id").alias("_conv"), F.col("_tokens").alias("tokens"), F.col("_whole").alias("whole"))
+    # The system turn goes to each segment as a row of its own, so that no join is by conversation over all turns.
+    system = own.select("conv_id", "_segment").distinct().join(system, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
+        "conv_id", "_segment", F.lit(None).cast(own.select(turn.alias("t")).schema["t"].dataType).alias("_turn"), F.struct("tokens", "whole").alias("_system"))
+    rows = own.unionAll(late).select("conv_id", "_segment", turn.alias("_turn"), F.lit(None).cast("struct<tokens:bigint,whole:string>").alias("_system"))
+    return rows.unionAll(system).groupBy("conv_id", "_segment").agg(
+        F.array_sort(F.collect_list("_turn")).alias("_turns"), F.first("_system", ignorenulls=True).alias("_system"))
+
+
+def format_chat(conversations: DataFrame, budget: int = BUDGET, history: int = HISTORY, segment: int = SEGMENT) -> DataFrame:
+    """One row per window: conv_id, first_turn, formatted, n_turns, n_tokens, repeated, spans.
 
     ``first_turn`` is the number (from 0) of its first new turn, ``repeated`` marks each of its
-    ``n_turns`` turns that an earlier window held, and ``spans`` are the code points
-    (start, length) of the texts that carry loss.
+    ``n_turns`` turns that an earlier window held, ``n_tokens`` counts them all, and ``spans`` are
+    the code points (start, length) of the texts that carry loss.
     """
     if not 0 <= history < budget - history:
         raise ValueError("history must be under half of the budget")
-    stride = budget - history
-    turns = conversations.select(
-        "conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    order = [F.col("turn").asc_nulls_first(), "role", "text"]
-    along = Window.partitionBy("conv_id").orderBy(*order)
-    tokens = F.regexp_count("text", F.lit(WORD)) + 1
-    summed = (turns.withColumn("_tokens", tokens.cast("long"))
-              .withColumns({"_n": F.row_number().over(along) - 1,
-                            "_before": F.coalesce(F.sum("_tokens").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))})
-              .withColumn("window", F.floor(F.col("_before") / stride).cast("long")))
-    # The next window that has new turns, and where its first one starts.
-    by_number = Window.partitionBy("conv_id").orderBy("_n")
-    last = F.lead("window").over(by_number)
-    ends = F.when(last > F.col("window"), F.struct(last.alias("window"), F.lead("_before").over(by_number).alias("start")))
-    ahead = Window.partitionBy("conv_id").orderBy(F.col("_n").desc()).rowsBetween(Window.unboundedPreceding, 0)
-    marked = summed.withColumn("_end", ends).withColumn("_next", F.last("_end", ignorenulls=True).over(ahead))
-    leading = (F.col("_n") == 0) & (F.col("role") == SYSTEM)
-    as_new = F.struct(F.col("window").alias("window"), F.lit(False).alias("again"))
-    as_history = F.when((F.col("_next.start") - F.col("_before") <= history) & ~leading,
-                        F.struct(F.col("_next.window").alias("window"), F.lit(True).alias("again")))
-    head, body, whole = _fields()
-    placed = marked.select(
-        "conv_id", "_n", whole.alias("_whole"), F.length(head).alias("_head"), F.length(body).alias("_body"),
-        (F.col("role") == ASSISTANT).alias("_target"), leading.alias("_leading"),
-        F.explode(F.array_compact(F.array(as_new, as_history))).alias("_in"))
-    rows = placed.select("conv_id", F.col("_in.window").alias("window"), F.col("_in.again").alias("again"),
-                         "_n", "_whole", "_head", "_body", "_target", "_leading")
-    # A leading system turn joins the later windows by conversation: one short row each, not one per turn.
-    system = rows.where("_leading").select(F.col("conv_id").alias("_conv"), F.col("_whole").alias("_system"))
-    turn = F.struct("_n", "again", "_target", "_head", "_body", "_whole")
-    windows = rows.groupBy("conv_id", "window").agg(F.array_sort(F.collect_list(turn)).alias("_turns"))
-    windows = windows.join(system, F.col("conv_id").eqNullSafe(F.col("_conv")), "left")
-    first = F.element_at("_turns", 1)
-    kept = F.when((F.col("window") > 0) & F.col("_system").isNotNull(),
-                  F.array(F.struct(F.lit(0).alias("_n"), F.lit(True).alias("again"), F.lit(False).alias("_target"),
-                                   F.length("_system").alias("_head"), F.lit(0).alias("_body"), F.col("_system").alias("_whole"))))
-    windows = windows.withColumn("_turns", F.when(kept.isNotNull() & (first["_n"] > 0), F.concat(kept, "_turns")).otherwise(F.col("_turns")))
+    zero = F.lit(0).cast("long")
+    aside = F.coalesce("_system.tokens", zero)
+
+    def follow(walk: Column, t: Column) -> Column:
+        """Go on with the open window while the turn fits it, or open one at the turn, with its history."""
+        room = F.when(t["_n"] == 0, F.lit(budget)).otherwise(F.greatest(budget - aside, F.lit(budget // 4)))
+        back = F.greatest(F.least(F.lit(history), room - t["_tokens"]), F.lit(0))
+        seen = F.filter("_turns", lambda u: (u["_before"] <= t["_before"]) & (u["_before"] >= t["_before"] - back)
+                        & (~u["_leading"] | (u["_n"] == t["_n"])))
+        since = F.get(seen, 0)["_before"]
+        end = (since + F.greatest(room, t["_before"] - since + t["_tokens"])).cast("long")
+        opened = F.struct(end.alias("end"), F.concat(walk["spans"], F.array(
+            F.struct(t["_before"].alias("start"), since.alias("since")))).alias("spans"))
+        return F.when(~t["_new"] | (t["_before"] + t["_tokens"] <= walk["end"]), walk).otherwise(opened)
+
+    begin = F.struct(F.lit(-1).cast("long").alias("end"), F.array().cast("array<struct<start:bigint,since:bigint>>").alias("spans"))
+    walked = _segments(conversations, budget, history, segment).withColumn("_walk", F.aggregate("_turns", begin, follow)["spans"])
+
+    def window(span: Column, i: Column) -> Column:
+        until = F.get("_walk", i + 1)["start"]
+        held = F.filter("_turns", lambda u: (u["_before"] >= span["since"]) & (until.isNull() | (u["_before"] < until))
+                        & (~u["_leading"] | (u["_before"] >= span["start"])))
+        told = F.transform(held, lambda u: F.struct(
+            u["_n"].alias("_n"), (u["_before"] < span["start"]).alias("again"), u["_target"].alias("_target"), u["_tokens"].alias("_tokens"),
+            u["_head"].alias("_head"), u["_body"].alias("_body"), u["_whole"].alias("_whole")))
+        kept = F.array(F.struct(zero.alias("_n"), F.lit(True).alias("again"), F.lit(False).alias("_target"), aside.alias("_tokens"),
+                                F.length("_system.whole").alias("_head"), F.lit(0).alias("_body"), F.col("_system.whole").alias("_whole")))
+        return F.when(F.col("_system").isNotNull() & (span["start"] > 0), F.concat(kept, told)).otherwise(told)
+
+    windows = walked.select("conv_id", F.explode(F.transform("_walk", window)).alias("_turns"))
     lengths = F.transform("_turns", lambda t: F.length(t["_whole"]))
     # Start of each turn: a running sum over a window's few turns.
     windows = windows.withColumn("_starts", F.aggregate(
@@ -104,9 +125,10 @@ def format_chat(conversations: DataFrame, budget: int = BUDGET, history: int = H
         t["_target"] & ~t["again"],
         F.struct((F.get("_starts", i) + t["_head"]).alias("start"), t["_body"].alias("length")))), lambda s: s.isNotNull())
     return windows.select(
-        "conv_id", "window", F.array_join(F.transform("_turns", lambda t: t["_whole"]), "").alias("formatted"),
-        F.element_at(F.filter("_turns", lambda t: ~t["again"]), 1)["_n"].alias("first_turn"),
-        F.size("_turns").alias("n_turns"), F.transform("_turns", lambda t: t["again"]).alias("repeated"), spans.alias("spans"))
+        "conv_id", F.element_at(F.filter("_turns", lambda t: ~t["again"]), 1)["_n"].alias("first_turn"),
+        F.array_join(F.transform("_turns", lambda t: t["_whole"]), "").alias("formatted"), F.size("_turns").alias("n_turns"),
+        F.aggregate("_turns", zero, lambda a, t: a + t["_tokens"]).alias("n_tokens"),
+        F.transform("_turns", lambda t: t["again"]).alias("repeated"), spans.alias("spans"))
 
 
 def read_turns(windows: DataFrame) -> DataFrame:
@@ -123,9 +145,9 @@ def read_turns(windows: DataFrame) -> DataFrame:
 
 
 def read_targets(windows: DataFrame) -> DataFrame:
-    """Per window the text under its loss mask: conv_id, window, loss, formatted_chars."""
+    """Per window the text under its loss mask: conv_id, first_turn, loss, formatted_chars."""
     loss = F.transform("spans", lambda s: unescape(F.substr(F.col("formatted"), s["start"] + 1, s["length"])))
-    return windows.select("conv_id", "window", F.array_join(loss, "").alias("loss"), F.length("formatted").alias("formatted_chars"))
+    return windows.select("conv_id", "first_turn", F.array_join(loss, "").alias("loss"), F.length("formatted").alias("formatted_chars"))
 
 
 def digests(windows: DataFrame) -> DataFrame:
@@ -135,7 +157,7 @@ def digests(windows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n_turns"),
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", line.alias("line")))), lambda t: t["line"]), "").alias("_all"))
     loss = read_targets(windows).groupBy("conv_id").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("window", "loss"))), lambda t: t["loss"]), "").alias("_loss"),
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("first_turn", "loss"))), lambda t: t["loss"]), "").alias("_loss"),
         F.sum("formatted_chars").alias("formatted_chars"))
     turns = turns.select(F.col("conv_id").alias("_conv"), "n_turns", F.sha2("_all", 256).alias("turns_sha256"))
     return loss.join(turns, F.col("conv_id").eqNullSafe(F.col("_conv"))).select(
@@ -156,25 +178,38 @@ def with_hard_case(conversations: DataFrame) -> DataFrame:
 
 
 def query(spark, sf_dir: str) -> DataFrame:
-    from stocklens.llm.common import staged
     windows = staged(format_chat(with_hard_case(table(spark, sf_dir, "conversations"))), "chat")
     return digests(windows)
 
 
 SQL = f"""
-WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+WITH RECURSIVE c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -7, 0, 'user', '{HARD}' UNION ALL SELECT -7, 1, 'assistant', '{HARD}'),
-t AS (SELECT *, row_number() OVER o AS n,
+t AS (SELECT *, row_number() OVER o AS n, 1 + len(regexp_extract_all(text, '{WORD}')) AS tok,
              coalesce(sum(1 + len(regexp_extract_all(text, '{WORD}'))) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS bef,
              length('{OPEN}') + length(replace(replace(replace(replace(role, chr(92), '..'), '<', '..'), '#', '..'), chr(10), '..')) + 1
              + length(replace(replace(replace(text, chr(92), '..'), '<', '..'), '#', '..')) + length('{CLOSE.strip()}') + 1 AS len
       FROM c WINDOW o AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)),
-w AS (SELECT *, bef // {BUDGET - HISTORY} AS win FROM t),
-f AS (SELECT conv_id, win, min(bef) AS start, lead(min(bef)) OVER (PARTITION BY conv_id ORDER BY win) AS next FROM w GROUP BY conv_id, win),
-s AS (SELECT conv_id, count(*) AS windows FROM f GROUP BY conv_id),
-x AS (SELECT conv_id, sum(CASE WHEN n = 1 AND role = '{SYSTEM}' THEN len * windows
-                               WHEN next - bef <= {HISTORY} THEN 2 * len ELSE len END) AS chars
-      FROM w JOIN f USING (conv_id, win) JOIN s USING (conv_id) GROUP BY conv_id)
+z AS (SELECT conv_id, tok AS aside, len AS aside_len FROM t WHERE n = 1 AND role = '{SYSTEM}'),
+r AS (SELECT t.*, n = 1 AND role = '{SYSTEM}' AS leading, aside_len,
+             CASE WHEN n = 1 THEN {BUDGET} ELSE greatest({BUDGET} - coalesce(aside, 0), {BUDGET // 4}) END AS room
+      FROM t LEFT JOIN z USING (conv_id)),
+k AS (SELECT r.conv_id, r.n, any_value(r.bef) AS bef, any_value(r.tok) AS tok, any_value(r.len) AS len, any_value(r.room) AS room,
+             any_value(r.aside_len) AS aside_len, min(u.bef) AS since
+      FROM r JOIN r u ON u.conv_id = r.conv_id AND (u.n = r.n OR NOT u.leading) AND u.bef <= r.bef
+                     AND u.bef >= r.bef - greatest(0, least({HISTORY}, r.room - r.tok)) GROUP BY ALL),
+-- One turn after the other: it joins the open window if all its tokens stay in the budget, or opens the next.
+v AS (SELECT conv_id, n, n AS first, since, room FROM k WHERE n = 1
+      UNION ALL
+      SELECT k.conv_id, k.n, CASE WHEN joins THEN first ELSE k.n END, CASE WHEN joins THEN v.since ELSE k.since END,
+             CASE WHEN joins THEN v.room ELSE k.room END
+      FROM (SELECT v.*, k.bef + k.tok - v.since <= v.room AND k.bef // {SEGMENT * BUDGET} = f.bef // {SEGMENT * BUDGET} AS joins
+            FROM v JOIN k ON k.conv_id = v.conv_id AND k.n = v.n + 1 JOIN k f ON f.conv_id = v.conv_id AND f.n = v.first) v
+      JOIN k ON k.conv_id = v.conv_id AND k.n = v.n + 1),
+w AS (SELECT conv_id, first, max(n) AS last, any_value(since) AS since FROM v GROUP BY conv_id, first),
+x AS (SELECT conv_id, sum(chars) AS chars FROM (
+        SELECT w.conv_id, w.first, sum(r.len) FILTER (NOT r.leading OR r.n = w.first) + CASE WHEN w.first > 1 THEN coalesce(any_value(aside_len), 0) ELSE 0 END AS chars
+        FROM w JOIN r ON r.conv_id = w.conv_id AND r.bef >= w.since AND r.n <= w.last GROUP BY w.conv_id, w.first) GROUP BY conv_id)
 SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY n)) AS turns_sha256,
        CAST(coalesce(sum(length(text)) FILTER (role = '{ASSISTANT}'), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(text, '' ORDER BY n) FILTER (role = '{ASSISTANT}'), '')) AS loss_sha256,

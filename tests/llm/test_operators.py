@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from stocklens.llm import chat, decontaminate, fingerprint, language_model, mixing, neardup, packing, quality, toxicity, warc
 from stocklens.llm.common import components, new_folder
@@ -78,7 +79,6 @@ def test_mixing_meets_targets(spark, docs, empty):
 
 
 def test_sainte_lague_equals_seat_by_seat(spark):
-    from pyspark.sql import functions as F
     votes = {"a": 53, "b": 24, "c": 23, "d": 1, "e": 0, "f": 24}
     seats, won = 17, Counter()
     for _ in range(seats):
@@ -164,7 +164,6 @@ def test_near_duplicates_against_all_pairs(spark, docs, empty, size, percent):
 def test_near_duplicates_lose_no_more_than_stated(spark, monkeypatch):
     from math import comb
 
-    from pyspark.sql import functions as F
     for percent in (80, 85):
         t, n = percent / 100, neardup.bands_for(percent)
         k, p = n * neardup.ROWS, t + (1 - t) / 4
@@ -179,7 +178,6 @@ def test_near_duplicates_lose_no_more_than_stated(spark, monkeypatch):
 
 
 def test_language_model_counts_base_and_probability(spark, docs, empty):
-    from pyspark.sql import functions as F
     learn = F.col("doc_id") != 10
     got = {r["doc_id"]: r for r in rows(language_model.score_texts(docs, learn, chunk_chars=3000))}
     train = Counter()
@@ -218,7 +216,6 @@ def test_byte_predictions_sum_to_one():
 
 
 def test_contexts_run_across_words_at_full_depth(spark):
-    from pyspark.sql import functions as F
     text = "ab cde fghij kl"
     whole = bytes(6) + b"\n" + text.encode() + b" \n"
     for size in (1 << 20, 4):
@@ -263,6 +260,54 @@ def test_chat_round_trip(spark):
     assert chat.digests(chat.format_chat(df.limit(0))).isEmpty()
 
 
+def plain_windows(turns, budget, history, segment):
+    """(first, history start, last) of each window by a plain walk over (role, text) turns, and the tokens before each."""
+    size = [len(BLANK_WORDS.findall(x)) + 1 for _, x in turns]
+    before = [sum(size[:i]) for i in range(len(size))]
+    lead = bool(turns) and turns[0][0] == "system"
+    out, i = [], 0
+    while i < len(turns):
+        room = max(budget - (size[0] if lead else 0), budget // 4) if i else budget
+        h = i
+        while h > int(lead) and before[i] - before[h - 1] <= min(history, room - size[i]):
+            h -= 1
+        last = i
+        while (last + 1 < len(turns) and before[last + 1] // (segment * budget) == before[i] // (segment * budget)
+               and before[last + 1] + size[last + 1] - before[h] <= room):
+            last += 1
+        out.append((i, h, last))
+        i = last + 1
+    return out, size
+
+
+@pytest.mark.parametrize("segment", [2, 32])
+def test_chat_windows_keep_the_budget(spark, segment):
+    """Longest runs by a plain walk; above the budget are single turns longer than the room, and long system turns, only."""
+    budget, history = 60, 15
+    rnd = random.Random(6)
+    talks = {c: [(rnd.choice(["user", "assistant"]), "w " * rnd.choice([0, 1, 3, 10, 25, 44, 59, 60, 200])) for _ in range(rnd.choice([1, 9, 120]))]
+             for c in range(14)}
+    for c, n in ((1, 5), (2, 30), (3, 58), (4, 300), (5, 0)):
+        talks[c].insert(0, ("system", "s " * n))
+    df = spark.createDataFrame([(c, t, r, x) for c, turns in talks.items() for t, (r, x) in enumerate(turns)],
+                               "conv_id long, turn long, role string, text string").withColumns({"window": F.lit(1), "_n": F.lit(2)})
+    got = defaultdict(list)
+    for w in chat.format_chat(df, budget, history, segment).collect():
+        got[w["conv_id"]].append(w)
+    for c, turns in talks.items():
+        want, size = plain_windows(turns, budget, history, segment)
+        mine = sorted(got[c], key=lambda w: w["first_turn"])
+        system = turns[0][0] == "system"
+        assert [w["first_turn"] for w in mine] == [first for first, _, _ in want]
+        for w, (first, back, last) in zip(mine, want):
+            held = ([0] if system and first else []) + list(range(back, last + 1))
+            assert w["formatted"] == "".join(f"<turn>{turns[i][0]}\n{turns[i][1]}</turn>\n" for i in held)
+            assert w["repeated"] == [i < first for i in held] and w["n_turns"] == len(held)
+            assert w["n_tokens"] == sum(size[i] for i in held)
+            long_system = system and size[0] > 3 * budget // 4
+            assert w["n_tokens"] <= budget or long_system or (back == first == last)
+
+
 def test_toxicity_gradient_and_learning(spark, docs, empty):
     rnd = random.Random(5)
     words = ["".join(rnd.choice("aeioust") for _ in range(5)) for _ in range(200)]
@@ -380,7 +425,6 @@ def test_very_long_runs_are_coded_losslessly():
 
 
 def test_mixed_texts_with_clashing_names(spark, docs):
-    from pyspark.sql import functions as F
     names = ("size", "passes", "runs", "taken", "target", "shard")
     clashing = docs.withColumns({c: F.lit(f"own {c}") for c in names})
     got = mixing.mixed_texts(clashing)
