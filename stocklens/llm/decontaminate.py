@@ -2,203 +2,191 @@
 
 An item's windows are its runs of ``window`` words (the whole item if it has fewer, but not none).
 A document contains a window exactly, so of a window's shingles (pairs of neighbouring words) all
-must occur in the document and the necessary prefix is its one rarest shingle. Shingles are ordered by
-how many documents hold them, counted over all documents. A document position with a prefix
-shingle names a candidate window and its start; it must fit the document's length (positional and
-length bounds) and is then compared word by word.
-
-Items are taken in blocks of at most ``block_bytes`` of text, whose number grows with the
-benchmark; each block is broadcast and documents are only streamed, never shuffled. A hot word or
-passage just yields more candidates inside the tasks that hold it.
+must occur in the documents and the necessary prefix is its one rarest shingle. Shingles are ordered by
+how many documents hold them, counted over all documents; a window with a shingle that none holds
+is out. Document positions are joined with windows on the prefix shingle: a pair names a window and its
+start, must fit the words around (positional and length bounds), and is then compared word by word.
+
+Neither side passes the driver. Documents are read twice, once to count and once to join; each time a
+filter of at most ``FILTER_BITS`` bits over the wanted shingles (8 MB at most, two bits a shingle) is broadcast and lets go of
+the other positions before any shuffle. What it lets through by chance meets nothing in the join, so a benchmark
+too large for it costs time, not results. A candidate position carries up to ``window`` words on both
+sides, a thirteenth or so of a copied passage's positions being candidates. The windows are a
+written table, so Spark broadcasts it only if its files are below ``spark.sql.autoBroadcastJoinThreshold``; beyond that
+a shingle or passage that a third of all documents hold is split by adaptive execution, since the
+other side has few rows of it.
+
+Shingles are compared by 64-bit hashes first and by their words in the end, so a clash costs a comparison only.
+Windows are told apart by md5, document rows by id and a 64-bit hash of the text.
 
 Nulls: a null or empty text has no words and no hits; an item without words has no windows; items
-with a null id are left out. Repeated items count once by id. Repeated document rows give a row each.
+with a null id are left out. Repeated items count once by id. Repeated document rows give a row
+each; without items no row is hit. Other columns are kept by ``without_contaminated`` and never read.
+A very long text is read whole, by one task, its candidates in rows of ``CANDIDATES`` each.
 """
 
 from __future__ import annotations
 
-import math
-from collections import defaultdict
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import ALNUM_WORD, UPPER, LOWER, alnum_words, table, utf8
+from stocklens.llm.common import ALNUM_WORD, UPPER, LOWER, alnum_words, mix64, staged, table, utf8
 
 WINDOW = 13
-BLOCK_BYTES = 32_000_000
-
-
-class Block:
-    """Windows of some items, as word ids, with their shingle keys."""
-
-    def __init__(self, items: list[tuple[int, bytes]], window: int):
-        self.vocabulary: dict[bytes, int] = {}
-        found: dict[tuple[int, ...], set[int]] = defaultdict(set)
-        for item_id, text in items:
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in alnum_words(text)]
-            for i in range(max(1, len(ids) - window + 1) if ids else 0):
-                found[tuple(ids[i:i + window])].add(item_id)
-        self.base = len(self.vocabulary) + 1
-        self.width = max((len(w) for w in found), default=1)
-        self.windows = np.zeros((len(found), self.width), np.int64)
-        self.lengths = np.array([len(w) for w in found], np.int64)
-        for i, w in enumerate(found):
-            self.windows[i, :len(w)] = w
-        self.items = [sorted(s) for s in found.values()]
-        # A one-word window's shingle is the word alone, keyed beyond all pairs.
-        self.shingles = [[a * self.base + b for a, b in zip(w, w[1:])] or [self.base * self.base + w[0]] for w in found]
-        self.keys = np.unique(np.array([k for s in self.shingles for k in s], np.int64))
-        self.singles = bool((self.lengths == 1).any())
-
-    def known(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(position, index into keys) of the block's shingles in a document."""
-        at, ks = [], []
-        tries = [(np.where((ids[:-1] > 0) & (ids[1:] > 0))[0], lambda p: ids[p] * self.base + ids[p + 1])]
-        if self.singles:
-            tries.append((np.where(ids > 0)[0], lambda p: self.base * self.base + ids[p]))
-        for pos, key in tries:
-            if len(pos) and len(self.keys):
-                k = key(pos)
-                i = np.minimum(np.searchsorted(self.keys, k), len(self.keys) - 1)
-                ok = self.keys[i] == k
-                at.append(pos[ok])
-                ks.append(i[ok])
-        return (np.concatenate(at), np.concatenate(ks)) if at else (np.zeros(0, np.int64),) * 2
-
-    def order(self, counts: np.ndarray) -> None:
-        """Choose each window's rarest shingle as its prefix and index windows by it."""
-        rows = []
-        for w, shingles in enumerate(self.shingles):
-            idx = np.searchsorted(self.keys, np.array(shingles))
-            best = min(range(len(idx)), key=lambda j: (counts[idx[j]], idx[j]))
-            rows.append((idx[best], best, w))
-        rows.sort()
-        self.prefix = np.array(rows, np.int64).reshape(-1, 3)
-        self.first = np.searchsorted(self.prefix[:, 0], np.arange(len(self.keys) + 1))
-        del self.shingles
-
-    def ids(self, text: bytes | None) -> np.ndarray:
-        got = self.vocabulary.get
-        return np.array([got(w, 0) for w in alnum_words(text)], np.int64)
-
-    def match(self, ids: np.ndarray) -> tuple[list[tuple[int, int]], list[int]]:
-        """Covered word spans (start, end) and the ids of items with a window in the document."""
-        pos, key = self.known(ids)
-        n = self.first[key + 1] - self.first[key]
-        pos, key, n = pos[n > 0], key[n > 0], n[n > 0]
-        if not len(pos):
-            return [], []
-        pos = np.repeat(pos, n)
-        row = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.first[key], n)
-        start, w = pos - self.prefix[row, 1], self.prefix[row, 2]
-        length = self.lengths[w]
-        fits = (start >= 0) & (start + length <= len(ids))
-        start, w, length = start[fits], w[fits], length[fits]
-        padded = np.concatenate([ids, np.zeros(self.width, np.int64)])
-        same = np.ones(len(start), bool)
-        for j in range(self.width):
-            same &= (padded[start + j] == self.windows[w, j]) | (j >= length)
-        start, w, length = start[same], w[same], length[same]
-        if not len(start):
-            return [], []
-        edge = np.zeros(len(ids) + 1, np.int64)
-        np.add.at(edge, start, 1)
-        np.add.at(edge, start + length, -1)
-        covered = np.concatenate([[0], (np.cumsum(edge)[:-1] > 0).astype(np.int8), [0]])
-        turn = np.diff(covered)
-        spans = list(zip(np.where(turn == 1)[0].tolist(), np.where(turn == -1)[0].tolist()))
-        return spans, sorted({i for x in np.unique(w) for i in self.items[x]})
-
-
-def blocks(benchmark: DataFrame, window: int, block_bytes: int) -> list[Block]:
-    """The benchmark in blocks of about ``block_bytes`` of text, each small enough for the driver."""
-    items = benchmark.where("item_id is not null and text is not null").select(
-        F.col("item_id").cast("long").alias("item_id"), utf8(F.col("text")).alias("text")).distinct()
-    total = items.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, math.ceil(total / block_bytes))
-    return [Block([(r[0], bytes(r[1])) for r in
-                   items.where(F.pmod(F.hash("item_id", "text"), F.lit(n)) == i).collect()], window) for i in range(n)]
-
-
-def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-                  block_bytes: int = BLOCK_BYTES) -> DataFrame:
+FILTER_BITS, CANDIDATES, WINDOW_ROWS = 1 << 26, 1000, 5000
+
+
+def shingle_keys(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit keys of each pair of neighbouring words, and of each word alone (a one-word window's shingle)."""
+    h = np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
+    return mix64(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:]).view(np.int64), mix64(h ^ np.uint64(0x5851F42D4C957F2D)).view(np.int64)
+
+
+def item_windows(benchmark: DataFrame, window: int) -> DataFrame:
+    """One row per item and window: item_id, win (its words, blank between), n, shingles, win_key."""
+    def rows(batches):
+        def batch():
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(wins, pa.string()), pa.array(sizes, pa.int32()),
+                                               pa.array(keys, pa.list_(pa.int64()))], names=["item_id", "win", "n", "shingles"])
+
+        ids, wins, sizes, keys = [], [], [], []
+        for b in batches:
+            for item, text in zip(b.column(0).to_pylist(), b.column(1)):
+                words = alnum_words(text.as_py())
+                n = min(window, len(words))
+                pairs, singles = shingle_keys(words)
+                for i in range(len(words) - n + 1 if words else 0):
+                    ids.append(item), sizes.append(n), wins.append(b" ".join(words[i:i + n]).decode())
+                    keys.append(pairs[i:i + n - 1] if n > 1 else singles)
+                    if len(ids) >= WINDOW_ROWS:
+                        yield batch()
+                        ids, wins, sizes, keys = [], [], [], []
+        yield batch()
+
+    items = benchmark.where("item_id is not null and text is not null").select(F.col("item_id").cast("long"), utf8(F.col("text")))
+    found = items.mapInArrow(rows, "item_id long, win string, n int, shingles array<long>")
+    return staged(found.withColumn("win_key", F.unhex(F.md5("win"))).dropDuplicates(["item_id", "win_key"]), "item-windows")
+
+
+class Sieve:
+    """A filter over shingle keys: two bits each of a bitmap, whose size follows their number up to a bound."""
+
+    def __init__(self, keys: DataFrame, most: int):
+        """``keys`` has one column, ``shingle``."""
+        n = keys.agg(F.approx_count_distinct("shingle")).first()[0]
+        size = 64
+        while size < min(16 * n, most):
+            size *= 2
+        self.mask = size - 1
+        bits = keys.select(F.explode(F.array("shingle", F.shiftrightunsigned("shingle", 32))).alias("b")).select(
+            F.col("b").bitwiseAND(F.lit(self.mask).cast("long")).alias("b"))
+        words = bits.groupBy(F.shiftright("b", 6).alias("at")).agg(
+            F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("b").bitwiseAND(F.lit(63).cast("long")).cast("int"))).alias("bits")).toArrow()
+        self.bits = np.zeros(size // 64, np.int64)
+        self.bits[words.column("at").to_numpy()] = words.column("bits").to_numpy()
+
+    def passed(self, key: np.ndarray) -> np.ndarray:
+        """Positions of the keys that may be wanted."""
+        def hit(k: np.ndarray) -> np.ndarray:
+            k = k & self.mask
+            return (self.bits[k >> 6] >> (k & 63)) & 1
+        at = np.flatnonzero(hit(key))
+        return at[hit((key[at].view(np.uint64) >> np.uint64(32)).view(np.int64)) > 0]
+
+
+def document_counts(docs: DataFrame, sieve: Sieve, singles: bool) -> DataFrame:
+    """(shingle, often): how many documents hold each shingle that the filter lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+
+    def rows(batches):
+        for b in batches:
+            met = []
+            for text in b.column(0):
+                for keys in shingle_keys(alnum_words(text.as_py()))[:2 if singles else 1]:
+                    met.append(np.unique(keys[sent.value.passed(keys)]))
+            key, n = np.unique(np.concatenate(met) if met else np.zeros(0, np.int64), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(key, pa.int64()), pa.array(n, pa.int64())], names=["shingle", "n"])
+
+    return docs.select("text").mapInArrow(rows, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("often"))
+
+
+def prefixes(windows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Per window whose shingles all occur: win_key, shingle (its rarest) and where in the window it stands."""
+    each = windows.select("win_key", F.size("shingles").alias("_size"), F.posexplode("shingles").alias("at", "shingle"))
+    held = each.join(counts.withColumnRenamed("shingle", "_shingle"), F.col("shingle") == F.col("_shingle"))
+    return held.groupBy("win_key").agg(F.min(F.struct("often", "shingle", "at")).alias("_p"), F.count(F.lit(1)).alias("_met"), F.first("_size").alias("_size")
+                                       ).where("_met = _size").select("win_key", "_p.shingle", "_p.at")
+
+
+def candidates(docs: DataFrame, sieve: Sieve, window: int, singles: bool) -> DataFrame:
+    """Document rows with n_words, and in rows of a limited size (n_words null from the second on) the positions that the filter lets through."""
+    sent = docs.sparkSession.sparkContext.broadcast(sieve)
+    one = pa.struct([("shingle", pa.int64()), ("pos", pa.int64()), ("ahead", pa.int32()), ("around", pa.string())])
+
+    names = ["doc_id", "text_hash", "n_words", "found"]
+
+    def rows(batches):
+        for b in batches:
+            kinds = [b.schema.field(0).type, pa.int64(), pa.int64(), pa.list_(one)]
+            out, held = ([], [], [], []), 0
+            for doc_id, text, text_hash in zip(*[b.column(c) for c in range(3)]):
+                words = alnum_words(text.as_py())
+                found = []
+                for keys in shingle_keys(words)[:2 if singles else 1]:
+                    at = sent.value.passed(keys)
+                    found += zip(keys[at].tolist(), at.tolist())
+                for start in range(0, max(1, len(found)), CANDIDATES):
+                    here = [{"shingle": k, "pos": p, "ahead": min(p, window - 1),
+                             "around": b" ".join(words[max(0, p - window + 1):p + window]).decode()} for k, p in found[start:start + CANDIDATES]]
+                    for column, value in zip(out, (doc_id.as_py(), text_hash.as_py(), None if start else len(words), here)):
+                        column.append(value)
+                    held += len(here)
+                    if held >= CANDIDATES:
+                        yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+                        out, held = ([], [], [], []), 0
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)], names=names)
+
+    return staged(docs.mapInArrow(rows, f"doc_id {dict(docs.dtypes)['doc_id']}, text_hash long, n_words long, "
+                                        "found array<struct<shingle:long,pos:long,ahead:int,around:string>>"), "candidates")
+
+
+def contamination(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Per document row: doc_id, n_words, spans (word positions hit: start, end), item_ids, text_hash."""
-    spark = documents.sparkSession
     docs = documents.select("doc_id", utf8(F.col("text")).alias("text"), F.xxhash64("text").alias("text_hash"))
-    parts = []
-    for block in blocks(benchmark, window, block_bytes):
-        sent = spark.sparkContext.broadcast(block)
-
-        def count(batches, sent=sent):
-            b, total = sent.value, None
-            total = np.zeros(len(b.keys), np.int64)
-            for batch in batches:
-                for text in batch.column(0).to_pylist():
-                    total[np.unique(b.known(b.ids(text))[1])] += 1
-            hit = np.nonzero(total)[0]
-            yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64()), pa.array(total[hit])], names=["k", "n"])
-
-        rare = docs.select("text").mapInArrow(count, "k long, n long").groupBy("k").agg(F.sum("n")).collect()
-        counts = np.zeros(len(block.keys), np.int64)
-        for k, n in rare:
-            counts[k] = n
-        block.order(counts)
-        ready = spark.sparkContext.broadcast(block)
-
-        def hits(batches, ready=ready):
-            b = ready.value
-            span = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            for batch in batches:
-                ids, n, spans, items = batch.column(0), [], [], []
-                for text in batch.column(1).to_pylist():
-                    x = b.ids(text)
-                    s, i = b.match(x)
-                    n.append(len(x))
-                    spans.append([{"start": p, "end": q} for p, q in s])
-                    items.append(i)
-                yield pa.RecordBatch.from_arrays([ids, pa.array(n, pa.int64()), pa.array(spans, span),
-                                                  pa.array(items, pa.list_(pa.int64())), batch.column(2)],
-                                                 names=["doc_id", "n_words", "spans", "item_ids", "text_hash"])
-
-        parts.append(docs.mapInArrow(hits, f"doc_id {dict(docs.dtypes)['doc_id']}, n_words long, "
-                                           "spans array<struct<start:long,end:long>>, item_ids array<long>, text_hash long"))
-    if len(parts) == 1:
-        return parts[0]
-    return _merged(parts)
-
-
-def _merged(parts: list[DataFrame]) -> DataFrame:
-    """One row per document row over all blocks."""
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionAll(p)
-    found = out.groupBy("doc_id", "text_hash", "n_words").agg(F.flatten(F.collect_list("spans")).alias("s"),
-                                                 F.flatten(F.collect_list("item_ids")).alias("i"),
-                                                 F.count(F.lit(1)).alias("rows"))
-    n_parts = len(parts)
-
-    def joined(batches):
-        for batch in batches:
-            out = {n: [] for n in ("doc_id", "n_words", "spans", "item_ids", "text_hash")}
-            for r in batch.to_pylist():
-                spans: list[dict] = []
-                for x in sorted(r["s"], key=lambda x: (x["start"], x["end"])):
-                    if spans and spans[-1]["end"] >= x["start"]:
-                        spans[-1]["end"] = max(spans[-1]["end"], x["end"])
-                    else:
-                        spans.append(dict(x))
-                for _ in range(max(1, r["rows"] // n_parts)):  # repeated rows
-                    for name, v in zip(out, (r["doc_id"], r["n_words"], spans, sorted(set(r["i"])), r["text_hash"])):
-                        out[name].append(v)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["doc_id"], batch.schema.field("doc_id").type), pa.array(out["n_words"], pa.int64()),
-                 pa.array(out["spans"], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                 pa.array(out["item_ids"], pa.list_(pa.int64())), pa.array(out["text_hash"], pa.int64())], names=list(out))
-
-    return found.mapInArrow(joined, parts[0].schema)
+    owned = item_windows(benchmark, window)
+    windows = owned.dropDuplicates(["win_key"]).select("win_key", "win", "n", "shingles")
+    singles = not owned.where("n = 1").isEmpty()
+    wanted = owned.select(F.explode("shingles").alias("shingle"))
+    first = staged(prefixes(windows, document_counts(docs, Sieve(wanted, filter_bits), singles)).join(
+        windows.select(F.col("win_key").alias("_key"), "win", "n"), F.col("win_key") == F.col("_key")).drop("_key"), "prefixes")
+    held = candidates(docs, Sieve(first.select("shingle"), filter_bits), window, singles)
+    met = held.select("doc_id", "text_hash", F.explode("found").alias("_f")).select(
+        "doc_id", "text_hash", "_f.*").withColumnRenamed("shingle", "_shingle")
+    pairs = met.join(first, F.col("_shingle") == F.col("shingle"))
+    around, begin = F.split("around", " "), F.col("ahead") - F.col("at")
+    same = (begin >= 0) & (begin + F.col("n") <= F.size(around)) & (
+        F.array_join(F.slice(around, F.greatest(begin, F.lit(0)) + 1, F.col("n")), " ") == F.col("win"))
+    hits = staged(pairs.where(same).select("doc_id", "text_hash", (F.col("pos") - F.col("at")).alias("start"),
+                                           (F.col("pos") - F.col("at") + F.col("n")).alias("end"), "win_key").distinct(), "hits")
+    row = ["doc_id", "text_hash"]
+    # Windows that meet or overlap are one span: a span starts where no earlier window reaches.
+    along = Window.partitionBy(*row).orderBy("start", "end")
+    reach = F.max("end").over(along.rowsBetween(Window.unboundedPreceding, -1))
+    spans = (hits.select(*row, "start", "end").distinct().withColumn("_new", F.coalesce(F.col("start") > reach, F.lit(True)).cast("long"))
+             .withColumn("_span", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+             .groupBy(*row, "_span").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+             .groupBy(*row).agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans")))
+    items = (hits.select(*row, "win_key").distinct().join(owned.select(F.col("win_key").alias("_key"), "item_id"), F.col("win_key") == F.col("_key"))
+             .groupBy(*row).agg(F.array_sort(F.collect_set("item_id")).alias("item_ids")))
+    out = held.where("n_words is not null").select("doc_id", "n_words", "text_hash")
+    for part, name in ((spans, "spans"), (items, "item_ids")):
+        part = part.select(F.col("doc_id").alias("_doc"), F.col("text_hash").alias("_hash"), name)
+        out = out.join(part, F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("text_hash") == F.col("_hash")), "left").drop("_doc", "_hash")
+    return out.select("doc_id", "n_words", F.coalesce("spans", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("spans"),
+                      F.coalesce("item_ids", F.array().cast("array<bigint>")).alias("item_ids"), "text_hash")
 
 
 def verdicts(found: DataFrame, *more: str) -> DataFrame:

@@ -350,8 +350,10 @@ def test_toxicity_gradient_and_learning(spark, docs, empty):
         assert mine[0] == 0 and mine[-1] + toxicity.WINDOW >= n and (len(mine) == 1 or mine[-1] < n)
 
 
-@pytest.mark.parametrize("block_bytes", [1 << 20, 60])
-def test_contamination_against_plain_windows(spark, docs, empty, block_bytes):
+@pytest.mark.parametrize("filter_bits, candidates", [(1 << 20, 1000), (64, 3)])
+def test_contamination_against_plain_windows(spark, docs, empty, monkeypatch, filter_bits, candidates):
+    """Alike with a filter that lets nearly all positions through."""
+    monkeypatch.setattr(decontaminate, "CANDIDATES", candidates)
     rnd = random.Random(6)
     vocabulary = [f"v{i}" for i in range(12)]
     items = {i: " ".join(rnd.choice(vocabulary) for _ in range(n)) for i, n in enumerate((20, 13, 15, 4, 1))} | {50: "", 51: None, 52: "Über-Straße!"}
@@ -361,7 +363,7 @@ def test_contamination_against_plain_windows(spark, docs, empty, block_bytes):
     def tokens(t):
         return re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", low(t))
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    got = {r["doc_id"]: r for r in rows(decontaminate.verdicts(decontaminate.contamination(df, benchmark, block_bytes=block_bytes)))}
+    got = {r["doc_id"]: r for r in rows(decontaminate.verdicts(decontaminate.contamination(df, benchmark, filter_bits=filter_bits)))}
     assert set(got) == set(texts)
     for i, t in texts.items():
         w, hit, found = tokens(t), set(), set()
@@ -376,6 +378,11 @@ def test_contamination_against_plain_windows(spark, docs, empty, block_bytes):
         assert (got[i]["n_words"], got[i]["n_hit"], got[i]["n_items"]) == (len(w), len(hit), len(found))
         assert got[i]["items_sha256"] == hashlib.sha256(",".join(sorted(found)).encode()).hexdigest()
         assert got[i]["contaminated"] == (bool(hit) and 20 * len(hit) >= len(w))
+    bad = {i for i, r in got.items() if r["contaminated"]}
+    wide = df.unionAll(df.limit(1)).withColumns({"n_words": F.lit(1), "text_hash": F.lit("x"), "_id": F.col("doc_id"), "win": F.lit(0)})
+    kept = decontaminate.without_contaminated(wide, benchmark.withColumn("doc_id", F.lit(1)), filter_bits=filter_bits)
+    assert bad and kept.columns == wide.columns
+    assert Counter(r["doc_id"] for r in kept.collect()) == Counter(r["doc_id"] for r in wide.collect() if r["doc_id"] not in bad)
     assert decontaminate.contamination(empty, benchmark).isEmpty()
     assert decontaminate.contamination(df, benchmark.limit(0)).where("size(spans) > 0").isEmpty()
 
