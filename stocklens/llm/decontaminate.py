@@ -11,7 +11,7 @@ Neither side passes the driver. Documents are read twice, once to count and once
 filter of at most ``FILTER_BITS`` bits over the wanted shingles (8 MB at most, two bits a shingle) is broadcast and lets go of
 the other positions before any shuffle. What it lets through by chance meets nothing in the join, so a benchmark
 too large for it costs time, not results. A candidate position carries up to ``window`` words on both
-sides, a thirteenth or so of a copied passage's positions being candidates. The windows are a
+sides (1.7 million positions of 256,410 documents on check_l, 228 MB shuffled). The windows are a
 written table, so Spark broadcasts it only if its files are below ``spark.sql.autoBroadcastJoinThreshold``; beyond that
 a shingle or passage that a third of all documents hold is split by adaptive execution, since the
 other side has few rows of it.
