@@ -8,13 +8,17 @@ bottom-up, and a prediction mixes the estimates along the path with the weights
 longer context was never met, the path ends. Probabilities of all texts thus sum to one.
 
 Work is laid out by distinct things, never by token:
-1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words and
-   its distinct contexts with the byte that follows, with their training counts, so what is frequent is one row per chunk.
-2. Words are summed into a vocabulary, and contexts by key. The sums are dealt by the contexts' last two bytes,
-   which hold whole subtrees; what reaches the driver is the summary of contexts of one byte, at most 256 x 255 rows.
-3. Each subtree gives its contexts' log-probabilities. Each chunk's words and contexts get theirs by joins on
-   the key and return to the chunk, where texts are scored. All tables grow with the corpus; nothing unbounded
-   is broadcast.
+1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words, and
+   its distinct contexts with the byte that follows, with their training counts. Contexts are dealt into buckets by their last
+   three bytes; a chunk's keys of a bucket are one packed row of sorted differences, a byte and a half or so each.
+2. Words are summed into a vocabulary. Each bucket is merged into one row: distinct keys, summed counts, and
+   each chunk's positions among them. A bucket holds whole subtrees of three-byte contexts and sums them up for those of two
+   bytes, which are added up by part (last two bytes); a part sums up for contexts of one byte, and of these at most 256 x 255 rows reach the driver.
+3. Each bucket then gives its contexts' log-probabilities, and each chunk gets its own as packed single-precision
+   numbers in the order of its keys, which it makes anew from its texts: no key travels back, and no key is joined.
+
+Buckets grow in number with the corpus, so that each stays at a few million keys at most; what can't be split is the
+contexts that share their last three bytes.
 
 Nulls: a null text is empty and is just the end mark. Repeated rows count and are scored each. Without training
 texts every decision has probability one half.
@@ -22,7 +26,6 @@ texts every decision has probability one half.
 
 from __future__ import annotations
 
-import gc
 import math
 
 import numpy as np
@@ -30,10 +33,11 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import drop_staged, held_out, staged, table, utf8, words
+from stocklens.llm.common import drop_staged, held_out, mix64, staged, table, utf8, words
 
 DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 16_000_000, 1 << 21
 END = b"\n"
@@ -112,71 +116,102 @@ def log_kt(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return _log_gamma_of(zeros, 0.5) + _log_gamma_of(ones, 0.5) - _log_gamma_of(zeros + ones, 1.0) - math.log(math.pi)
 
 
-def mixed(own: np.ndarray, log_beta: np.ndarray, deeper: np.ndarray) -> np.ndarray:
-    """Prediction of a node: its estimate and the deeper one, weighted beta to 1."""
-    beta = np.exp(np.clip(log_beta, -60, 60))
-    return (beta * own + deeper) / (beta + 1)
+def in_tree_order(key: np.ndarray) -> np.ndarray:
+    """Keys with the nearest byte on top and the coded byte lowest: sorted, every subtree is one stretch."""
+    x = key.astype(np.int64, copy=False).view(np.uint64).byteswap()
+    return x << np.uint64(8) | x >> np.uint64(56)
 
 
 class Levels:
-    """Counts, weights and predictions of given contexts (key, training count) at depths 2 to DEPTH.
+    """Counts, weights and predictions of given contexts (key, training count) at depths ``lowest`` to DEPTH.
 
-    For each depth the distinct (context, byte) are sorted once; a decision's nodes are runs of them.
+    A depth's names are its distinct (context, byte), sorted; a decision's nodes are runs of them. Each
+    depth is made from the names of the next longer one, so that work falls with the depth.
     """
 
-    def __init__(self, key: np.ndarray, n: np.ndarray):
-        self.byte, ctx = key & 255, (key >> 8) & ((1 << 56) - 1)  # the key fills 64 bits
-        self.context, self.depths = ctx & 0xFFFF, []
-        for depth in range(DEPTH, 1, -1):
-            own = (ctx & ((1 << (8 * depth)) - 1)) if depth < 7 else ctx
-            # Sort by context and byte; the context is renumbered so that both fit one number.
-            _, number = np.unique(own, return_inverse=True)
-            names, first, at = np.unique(number << 8 | self.byte, return_index=True, return_inverse=True)
-            self.depths.append((names, first, at, np.bincount(at, n, len(names))))
+    def __init__(self, key: np.ndarray, n: np.ndarray, lowest: int = 2, ordered: bool = False):
+        """``ordered``: keys are distinct, in tree order and sorted."""
+        self.lowest, self.at = lowest, None
+        if not ordered:
+            key, self.at = np.unique(in_tree_order(key), return_inverse=True)
+            n = np.bincount(self.at, n, len(key))
+        prefix, byte = key >> np.uint64(8), (key & np.uint64(255)).astype(np.int64)
+        number = np.cumsum(np.diff(prefix, prepend=prefix[:1]) != 0)
+        self.depths = [(number << 8 | byte, None, n)]  # (names, where the names one deeper belong, counts)
+        for _ in range(DEPTH - lowest):
+            prefix = prefix >> np.uint64(8)
+            begin = np.diff(prefix, prepend=prefix[:1]) != 0
+            begin[:1] = True
+            number = np.cumsum(begin) - 1
+            names, to = np.unique(number << 8 | byte, return_inverse=True)
+            prefix, byte, n = prefix[begin][names >> 8], names & 255, np.bincount(to, n, len(names))
+            self.depths.append((names, to, n))
+        self.byte = byte
+        self.context = sum((prefix >> np.uint64(8 * (lowest - 1 - i)) & np.uint64(255)).astype(np.int64) << (8 * i) for i in range(lowest))
 
     def bit(self, bit: int) -> None:
-        """Set node, one, p (prediction from depth 2 down), seen and the depth-2 nodes for this decision."""
-        self.node = (1 << bit) | (self.byte >> (8 - bit))
-        self.one = ((self.byte >> (7 - bit)) & 1).astype(bool)
-        child = None
-        for names, first, at, count in self.depths:
-            begin = np.append(True, np.diff(names >> (8 - bit)) != 0)[:len(names)]
-            runs = np.where(begin)[0]
-            node_of = (np.cumsum(begin) - 1)[at]
-            ones = np.add.reduceat(count * self.one[first], runs) if len(runs) else np.zeros(0)
-            zeros = (np.add.reduceat(count, runs) if len(runs) else np.zeros(0)) - ones
+        """Set the nodes of this decision: zeros, ones and log_w of the lowest depth's, node, first and seen by name."""
+        self.nodes, below = [], None
+        for names, to, count in self.depths:
+            begin = np.diff(names >> (8 - bit), prepend=-1) != 0
+            runs, node_of = np.flatnonzero(begin), np.cumsum(begin) - 1
+            one = (names >> (7 - bit) & 1).astype(bool)
+            total, ones = np.add.reduceat(count, runs), np.add.reduceat(count * one, runs)
+            zeros, log_w = total - ones, None
             log_own = log_kt(zeros, ones)
-            kt = (np.where(self.one, ones[node_of], zeros[node_of]) + 0.5) / (zeros + ones + 1)[node_of]
-            if child is None:
-                log_w, p = log_own, kt
+            if to is None:
+                log_w, log_beta = log_own, None
             else:
-                below = np.bincount(node_of[child[0]], child[1], len(runs))
-                log_w = np.logaddexp(log_own, below) - math.log(2)
-                p = np.where(child[2], mixed(kt, (log_own - below)[node_of], p), kt)
-            child = (first[runs], log_w, (zeros + ones > 0)[node_of])
-        self.first, self.log_w, self.seen = child
-        self.p, self.zeros, self.ones = p, zeros, ones
+                deeper = np.bincount(node_of[to[below[0]]], below[1], len(runs))
+                log_w, log_beta = np.logaddexp(log_own, deeper) - math.log(2), log_own - deeper
+            below = (runs, log_w)
+            self.nodes.append((node_of, one, zeros, ones, log_beta))
+        self.first, self.log_w = below
+        self.zeros, self.ones, self.seen = zeros, ones, (total > 0)[node_of]
+        self.node, self.one = (1 << bit) | (self.byte >> (8 - bit)), one
 
+    def predict(self, offset: np.ndarray, weight: np.ndarray) -> np.ndarray:
+        """Of each key: offset + weight * its prediction from the lowest depth down, both given by name of that depth."""
+        for (_, to, _), now, deeper in zip(self.depths[:0:-1], self.nodes[:0:-1], self.nodes[-2::-1]):
+            node_of, one, zeros, ones, log_beta = now
+            met = ((deeper[2] + deeper[3]) > 0)[deeper[0]]
+            offset, weight = shared(offset[to], weight[to], estimate(one, zeros[node_of], ones[node_of])[to], log_beta[node_of][to], met)
+        node_of, one, zeros, ones, _ = self.nodes[0]
+        p = offset + weight * estimate(one, zeros[node_of], ones[node_of])
+        return p if self.at is None else p[self.at]
 
-SUMMARY = "byte int, bit int, node int, zeros double, ones double, below double"
 
+def estimate(one: np.ndarray, zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
+    return (np.where(one, ones, zeros) + 0.5) / (zeros + ones + 1)
 
-def summaries(batches):
-    """Of whole subtrees: what the contexts of one byte need to know of those of two."""
-    x = Levels(*_whole(batches))
-    for bit in range(8):
-        x.bit(bit)
-        frame = pd.DataFrame({"byte": x.context[x.first] & 255, "node": x.node[x.first], "zeros": x.zeros, "ones": x.ones, "below": x.log_w})
-        total = frame.groupby(["byte", "node"], as_index=False).sum()
-        total.insert(1, "bit", bit)
-        yield pa.RecordBatch.from_pandas(total.astype({"byte": "int32", "bit": "int32", "node": "int32"}), preserve_index=False)
+
+def shared(offset: np.ndarray, weight: np.ndarray, own: np.ndarray, log_beta: np.ndarray, met: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """What is settled by a node's own estimate, and the weight left to the longer context; none where that was not met."""
+    part = np.where(met, 1 / (1 + np.exp(-np.clip(log_beta, -60, 60))), 1.0)
+    return offset + weight * own * part, weight * (1 - part)
 
 
-def _whole(batches) -> tuple[np.ndarray, np.ndarray]:
-    parts = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0)
-    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]).astype(float)
+NODES = "code array<long>, zeros array<double>, ones array<double>, below array<double>"
+
+
+class Second:
+    """Nodes of contexts of two bytes (code: context, then node), from the sums over their longer ones."""
+
+    def __init__(self, code, zeros, ones, below):
+        self.code, to = np.unique(np.concatenate(code), return_inverse=True)
+        self.zeros, self.ones, below = (np.bincount(to, np.concatenate(x), len(self.code)) for x in (zeros, ones, below))
+        own = log_kt(self.zeros, self.ones)
+        self.below, self.log_beta, self.log_w = below, own - below, np.logaddexp(own, below) - math.log(2)
+
+
+def sums_of_two(x: Levels) -> list[np.ndarray]:
+    """Code, zeros, ones and below of the two-byte nodes of whole three-byte subtrees, over all decisions."""
+    parts = []
+    for bit in range(8):
+        x.bit(bit)
+        code, to = np.unique((x.context[x.first] & 0xFFFF) << 8 | x.node[x.first], return_inverse=True)
+        parts.append([code, *(np.bincount(to, v, len(code)) for v in (x.zeros, x.ones, x.log_w))])
+    return [np.concatenate(column) for column in zip(*parts)]
 
 
 class Top:
@@ -191,21 +226,81 @@ class Top:
         self.zeros0, self.ones0 = self.zeros.sum(axis=0), self.ones.sum(axis=0)
         self.beta0 = log_kt(self.zeros0, self.ones0) - w.sum(axis=0)
 
-    def finish(self, x: Levels) -> np.ndarray:
-        """Predictions with the two shallowest depths mixed in."""
+    def finish(self, x: Levels, second: Second | None = None) -> np.ndarray:
+        """Predictions of the keys of ``x`` with the depths above its lowest mixed in (``second`` where that is three)."""
         byte, node = x.context & 255, x.node
-        zeros, ones, zeros0, ones0 = self.zeros[byte, node], self.ones[byte, node], self.zeros0[node], self.ones0[node]
-        kt1 = (np.where(x.one, ones, zeros) + 0.5) / (zeros + ones + 1)
-        kt0 = (np.where(x.one, ones0, zeros0) + 0.5) / (zeros0 + ones0 + 1)
-        p = np.where(x.seen, mixed(kt1, self.beta1[byte, node], x.p), kt1)
-        return np.where(zeros + ones > 0, mixed(kt0, self.beta0[node], p), kt0)
+        zeros, ones = self.zeros[byte, node], self.ones[byte, node]
+        offset, weight = shared(np.zeros(len(node)), np.ones(len(node)), estimate(x.one, self.zeros0[node], self.ones0[node]),
+                                self.beta0[node], zeros + ones > 0)
+        own, log_beta = estimate(x.one, zeros, ones), self.beta1[byte, node]
+        if second:
+            at = np.searchsorted(second.code, (x.context & 0xFFFF) << 8 | node)
+            zeros, ones = second.zeros[at], second.ones[at]
+            offset, weight = shared(offset, weight, own, log_beta, zeros + ones > 0)
+            own, log_beta = estimate(x.one, zeros, ones), second.log_beta[at]
+        return x.predict(*shared(offset, weight, own, log_beta, x.seen))
+
+
+def squeezed(x: np.ndarray) -> bytes:
+    """Numbers of eight or four bytes, their bytes laid out by place, as zstd."""
+    return zstandard.compress(np.ascontiguousarray(x.view(np.uint8).reshape(-1, x.itemsize).T).tobytes())
+
+
+def unsqueezed(data: bytes, kind) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(zstandard.decompress(data), np.uint8).reshape(size, -1).T).view(kind).ravel()
+
+
+def squeezed_rising(x: np.ndarray) -> bytes:
+    return squeezed(np.diff(x.astype(np.uint64, copy=False), prepend=np.uint64(0)))
 
 
-def chunked(documents: DataFrame, learn: Column, chunk_chars: int) -> DataFrame:
-    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", learn.alias("learn"))
-    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
-    n = max(1, math.ceil(chars / chunk_chars))
-    return docs.select("doc_id", utf8(F.col("text")).alias("text"), "learn", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"))
+def unsqueezed_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(unsqueezed(data, np.uint64), dtype=np.uint64)
+
+
+def chunked(documents: DataFrame, learn: Column, n: int) -> DataFrame:
+    """(chunk, blob): rows of ``n`` chunks, those of a batch in one compressed stream, as texts are shuffled twice."""
+    docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), utf8(F.col("text")).alias("text"), learn.alias("learn"),
+                            F.pmod(F.xxhash64("doc_id", "text"), F.lit(n)).cast("int").alias("chunk"))
+
+    def streams(batches):
+        options = pa.ipc.IpcWriteOptions(compression="zstd")
+        for batch in batches:
+            chunk = batch.column(3).to_numpy()
+            order = np.argsort(chunk, kind="stable")
+            cuts = np.flatnonzero(np.diff(chunk[order], prepend=-1))
+            for rows in np.split(order, cuts[1:]) if len(order) else []:
+                sink = pa.BufferOutputStream()
+                part = batch.select([0, 1, 2]).take(pa.array(rows))
+                with pa.ipc.new_stream(sink, part.schema, options=options) as out:
+                    out.write_batch(part)
+                yield pa.RecordBatch.from_arrays([pa.array([chunk[rows[0]]], pa.int32()), pa.array([sink.getvalue().to_pybytes()], pa.binary())],
+                                                 names=["chunk", "blob"])
+
+    return docs.mapInArrow(streams, "chunk int, blob binary")
+
+
+def chunk_rows(chunk: pa.Table) -> pa.Table:
+    return pa.concat_tables(pa.ipc.open_stream(b.as_py()).read_all() for b in chunk.column("blob"))
+
+
+SALTS = 16
+
+
+def buckets_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
+    """Bucket of each key (sorted, in tree order): by its last two bytes, and by the third one of SALTS within."""
+    begin = np.flatnonzero(np.diff(keys >> np.uint64(40), prepend=np.uint64(1 << 60)))
+    three = keys[begin] >> np.uint64(40)
+    group = mix64(three >> np.uint64(8)) % np.uint64(n_buckets // SALTS)
+    bucket = group * np.uint64(SALTS) + mix64(three) % np.uint64(SALTS)
+    return np.repeat(bucket.astype(np.int32), np.diff(np.append(begin, len(keys))))
+
+
+def distinct_keys(texts: list[bytes | None], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct contexts with their byte, sorted in tree order, and their training counts."""
+    runs = [summed(in_tree_order(key), learn[text]) for text, key in running(texts)]
+    return summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
 
 
 def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -216,19 +311,58 @@ def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[byte
     return np.repeat(np.arange(len(lists)), size), codes, list(names)
 
 
-def contents(chunk: pa.Table) -> pa.Table:
-    """Distinct words of a chunk, and the keys of its distinct contexts, with their training counts."""
-    texts, learn = chunk.column("text").to_pylist(), np.array(chunk.column("learn").to_pylist(), bool).astype(np.int64)
+def contents(chunk: pa.Table, n_buckets: int) -> pa.Table:
+    """Distinct words of a chunk, and by bucket the keys of its distinct contexts, all with their training counts."""
+    rows, number = chunk_rows(chunk), chunk.column("chunk")[0].as_py()
+    texts, learn = rows.column("text").to_pylist(), np.array(rows.column("learn").to_pylist(), bool).astype(np.int64)
     text, codes, names = tokens(texts)
     n = np.bincount(codes, learn[text], len(names)).astype(np.int64)
     del text, codes
-    runs = [summed(key, learn[text]) for text, key in running(texts)]
-    found, counts = summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
-    order = sorted(range(len(names)), key=names.__getitem__)
-    return pa.table({"chunk": pa.array(np.full(len(names) + len(found), chunk.column("chunk")[0].as_py(), np.int32)),
-                     "word": pa.chunked_array([pa.array([names[i] for i in order], pa.binary()), pa.nulls(len(found), pa.binary())]),
-                     "key": pa.chunked_array([pa.nulls(len(names), pa.int64()), pa.array(found)]),
-                     "n": pa.array(np.concatenate([n[order], counts]))})
+    keys, counts = distinct_keys(texts, learn)
+    bucket = buckets_of(keys, n_buckets)
+    order = np.argsort(bucket, kind="stable")
+    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
+    w, k = len(names), len(parts)
+    return pa.table({"chunk": pa.array(np.full(w + k, number, np.int32)),
+                     "word": pa.array([*names, *[None] * k], pa.binary()), "n": pa.array([*n.tolist(), *[None] * k], pa.int64()),
+                     "bucket": pa.array([*[None] * w, *[int(bucket[p[0]]) for p in parts]], pa.int32()),
+                     "keys": pa.array([*[None] * w, *[squeezed_rising(keys[p]) for p in parts]], pa.binary()),
+                     "counts": pa.array([*[None] * w, *[squeezed(counts[p]) for p in parts]], pa.binary())})
+
+
+def merged(rows: pa.Table) -> pa.Table:
+    """A bucket as one row: its distinct keys and counts, each chunk's positions among them, and its two-byte nodes."""
+    parts = [unsqueezed_rising(k.as_py()) for k in rows.column("keys")]
+    counts = np.concatenate([unsqueezed(c.as_py(), np.int64) for c in rows.column("counts")])
+    keys, at = np.unique(np.concatenate(parts), return_inverse=True)
+    counts = np.bincount(at, counts, len(keys))
+    positions = np.split(at, np.cumsum([len(p) for p in parts])[:-1])
+    bucket = rows.column("bucket")[0].as_py()
+    nodes = sums_of_two(Levels(keys, counts, 3, ordered=True))
+    return pa.table({"bucket": pa.array([bucket], pa.int32()), "part": pa.array([bucket // SALTS], pa.int32()),
+                     "keys": pa.array([squeezed_rising(keys)], pa.binary()), "counts": pa.array([squeezed(counts)], pa.binary()),
+                     "chunks": pa.array([rows.column("chunk").to_pylist()], pa.list_(pa.int32())),
+                     "positions": pa.array([[squeezed_rising(p) for p in positions]], pa.list_(pa.binary())),
+                     **{name: pa.array([x], pa.list_(kind)) for name, x, kind in
+                        zip(("code", "zeros", "ones", "below"), nodes, (pa.int64(), *[pa.float64()] * 3))}})
+
+
+MERGED = f"bucket int, part int, keys binary, counts binary, chunks array<int>, positions array<binary>, {NODES}"
+
+
+def of_part(rows: pa.Table) -> pa.Table:
+    """The two-byte nodes of a part in one row, and what contexts of one byte need to know of them."""
+    second = Second(*([v.values.to_numpy() for v in rows.column(c)] for c in ("code", "zeros", "ones", "below")))
+    byte_node = (second.code >> 8 & 255) << 8 | second.code & 255
+    code, to = np.unique(byte_node, return_inverse=True)
+    first = [np.bincount(to, v, len(code)) for v in (second.zeros, second.ones, second.log_w)]
+    kinds = (pa.int64(), *[pa.float64()] * 3)
+    return pa.table({"part": pa.array([rows.column("part")[0].as_py()], pa.int32())} | {
+        name: pa.array([x], pa.list_(kind)) for name, x, kind in zip(("code", "zeros", "ones", "below"), (second.code, second.zeros, second.ones, second.below), kinds)
+    } | {name: pa.array([x], pa.list_(kind)) for name, x, kind in zip(("code1", "zeros1", "ones1", "below1"), (code, *first), kinds)})
+
+
+OF_PART = f"part int, {NODES}, code1 array<long>, zeros1 array<double>, ones1 array<double>, below1 array<double>"
 
 
 def finder(values: pa.Table, column: str = "value"):
@@ -248,71 +382,81 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     ``learn`` marks the rows the model learns from. ``base_score`` is the add-one word model's log10 probability.
     """
     spark = documents.sparkSession
-    docs = chunked(documents, learn, chunk_chars)
-    found = staged(docs.groupBy("chunk").applyInArrow(contents, "chunk int, word binary, key long, n long"), "chunk-contents")
-    _let_go(spark)
-    summed_words = staged(found.where("word is not null").groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
+    chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
+    n_chunks = max(1, math.ceil(chars / chunk_chars))
+    n_buckets = SALTS * max(1, math.ceil(n_chunks / 4))
+    docs = chunked(documents, learn, n_chunks)
+    found = staged(docs.groupBy("chunk").applyInArrow(
+        lambda chunk: contents(chunk, n_buckets), "chunk int, word binary, n long, bucket int, keys binary, counts binary"), "chunk-contents")
+    in_words = found.where("word is not null")
+    summed_words = staged(in_words.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
     n_train, v = summed_words.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long"))).first()
     n_train, v = n_train or 0.0, v or 0
-    contexts = found.where("word is null").groupBy("key").agg(F.sum("n").alias("n"))
-    # A subtree's contexts share their last two bytes, which stand right above the coded byte.
-    contexts = staged(contexts, "contexts")
-    _let_go(spark)
-    dealt = contexts.repartition(F.shiftright("key", 8).bitwiseAND(F.lit(0xFFFF)))
-    rows = dealt.mapInArrow(summaries, SUMMARY).groupBy("byte", "bit", "node").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones"), F.sum("below").alias("below"))
-    top = spark.sparkContext.broadcast(Top(rows.collect()))
+    of_word = summed_words.select(F.col("word").alias("_word"), F.col("value").alias("c"))
+    nothing = [F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("values")]
+    of_words = staged(in_words.join(of_word, F.col("word") == F.col("_word")).select(
+        "chunk", F.xxhash64("word").alias("key"), "c", *nothing), "chunk-words")
+    buckets = staged(found.where("word is null").select("chunk", "bucket", "keys", "counts").groupBy("bucket").applyInArrow(merged, MERGED), "buckets")
+    drop_staged(found)
+    drop_staged(summed_words)
+    parts = staged(buckets.select("part", "code", "zeros", "ones", "below").groupBy("part").applyInArrow(of_part, OF_PART), "two-byte-nodes")
+    rows = parts.select(F.explode(F.arrays_zip("code1", "zeros1", "ones1", "below1")).alias("x")).groupBy(
+        F.shiftright("x.code1", 8).cast("int").alias("byte"), F.col("x.code1").bitwiseAND(F.lit(255)).cast("int").alias("node")).agg(
+        F.sum("x.zeros1").alias("zeros"), F.sum("x.ones1").alias("ones"), F.sum("x.below1").alias("below"))
+    top = spark.sparkContext.broadcast(Top(rows.collect()))  # at most 256 x 255 rows
 
     def log_probabilities(batches):
-        key, n = _whole(batches)
-        x, total = Levels(key, n), np.zeros(len(key))
-        for bit in range(8):
-            x.bit(bit)
-            total += np.log10(top.value.finish(x))
-        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(total)], names=["key", "value"])
-
-    model = staged(dealt.mapInArrow(log_probabilities, "key long, value double"), "model")
-    drop_staged(contexts)
-    _let_go(spark)
-    of_word = summed_words.select(F.col("word").alias("_word"), F.col("value").alias("c"))
-    of_words = found.where("word is not null").join(of_word, F.col("word") == F.col("_word")).select(
-        "chunk", F.xxhash64("word").alias("key"), "c", F.lit(None).cast("double").alias("value"))
-    of_contexts = found.where("word is null").select("chunk", "key").join(model, "key").select("chunk", "key", F.lit(None).cast("double").alias("c"), "value")
-    looked_up = staged(of_words.unionAll(of_contexts), "looked-up")
-    for done in (found, summed_words, model):
-        drop_staged(done)
-    _let_go(spark)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                bucket, keys, counts, chunks, positions, *nodes = (c[i] for c in batch.columns)
+                second = Second(*([x.values.to_numpy()] for x in nodes))
+                x = Levels(unsqueezed_rising(keys.as_py()), unsqueezed(counts.as_py(), np.float64), 3, ordered=True)
+                total = 0.0
+                for bit in range(8):
+                    x.bit(bit)
+                    total = total + np.log10(top.value.finish(x, second))
+                total = total.astype(np.float32)
+                values = [squeezed(total[unsqueezed_rising(p.as_py()).astype(np.int64)]) for p in positions]
+                yield pa.RecordBatch.from_arrays([pa.array(chunks.as_py(), pa.int32()), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.float64()),
+                                                  pa.array([bucket.as_py()] * len(values), pa.int32()), pa.array(values, pa.binary())],
+                                                 names=["chunk", "key", "c", "bucket", "values"])
+
+    of_bucket = parts.select(F.col("part").alias("_part"), *[F.col(c).alias(f"_{c}") for c in ("code", "zeros", "ones", "below")])
+    model = buckets.drop("code", "zeros", "ones", "below").join(of_bucket, F.col("part") == F.col("_part")).select(
+        "bucket", "keys", "counts", "chunks", "positions", "_code", "_zeros", "_ones", "_below")
+    given = of_words.unionByName(model.mapInArrow(log_probabilities, "chunk int, key long, c double, bucket int, values binary"))
     whole = math.log10(n_train + v + 1)
 
-    def scored(chunk: pa.Table, values: pa.Table) -> pa.Table:
-        texts, rows = chunk.column("text").to_pylist(), chunk.num_rows
+    def scored(chunk: pa.Table, given: pa.Table) -> pa.Table:
+        docs = chunk_rows(chunk)
+        texts, rows = docs.column("text").to_pylist(), docs.num_rows
         text, codes, names = tokens(texts)
-        is_word = pc.is_valid(values.column("c"))
-        c, log_of = finder(values.filter(is_word), "c")(word_keys(names)), finder(values.filter(pc.invert(is_word)))
+        is_word = pc.is_valid(given.column("c"))
+        c = finder(given.filter(is_word), "c")(word_keys(names))
         n = np.bincount(text, minlength=rows)
         known, base = (np.bincount(text, x[codes], rows) for x in ((c > 0).astype(float), np.log10(c + 1)))
         del text, codes
+        keys, _ = distinct_keys(texts, np.zeros(rows, np.int64))
+        by_bucket = given.filter(pc.invert(is_word)).sort_by("bucket")
+        log_of = np.empty(len(keys), np.float32)  # values come in the order that ``contents`` dealt the keys in
+        log_of[np.argsort(buckets_of(keys, n_buckets), kind="stable")] = np.concatenate(
+            [unsqueezed(x.as_py(), np.float32) for x in by_bucket.column("values")])
         score, n_bytes = np.zeros(rows), np.zeros(rows)
         for text, key in running(texts):
+            key = in_tree_order(key)
             order = np.argsort(key)  # neighbours are then looked up in turn
             text = text[order]
-            score += np.bincount(text, log_of(key[order]), rows)
+            score += np.bincount(text, log_of[np.searchsorted(keys, key[order])], rows)
             n_bytes += np.bincount(text, minlength=rows)
-        return pa.table({"doc_id": chunk.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
+        return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
                          "n_known": pa.array(known.astype(np.int64)),
                          "base_score": pa.array(base - n * whole), "score": pa.array(score),
                          "bits_per_byte": pa.array(-score * LOG10 / math.log(2) / n_bytes)})
 
-    both = docs.groupBy("chunk").cogroup(looked_up.groupBy("chunk"))
+    both = docs.groupBy("chunk").cogroup(given.groupBy("chunk"))
     return both.applyInArrow(scored, SCORES).withColumn("train_tokens", F.lit(int(n_train)).cast("long"))
 
 
-def _let_go(spark) -> None:
-    """Let Spark drop the shuffle files of finished stages: it does so when their plans are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def query(spark, sf_dir: str) -> DataFrame:
     kept = held_out(F.col("doc_id"), 7, 2)
     scores = score_texts(table(spark, sf_dir, "documents"), ~kept)

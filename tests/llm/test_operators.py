@@ -248,6 +248,57 @@ def test_contexts_run_across_words_at_full_depth(spark):
     assert got[100] > got[101] + 1.5
 
 
+def test_language_model_against_a_recursion_over_contexts(spark):
+    texts = {1: "abab cab  BA", 2: None, 3: "abc abd\u00e9", 4: "cab", 5: "zz abab", 6: "abab cab ba"}
+    count = Counter()
+    def steps(text):
+        coded = b"".join(w.encode() + b" " for w in plain_words(text)) + b"\n"
+        whole = bytes(6) + b"\n" + coded
+        return [(whole[j - 7:j], whole[j]) for j in range(7, len(whole))]
+    for i, t in texts.items():
+        if i < 4:
+            count.update((c[7 - d:], y >> 7 - b, 1 << b | y >> 8 - b) for c, y in steps(t) for d in range(8) for b in range(8))
+    longer = defaultdict(set)
+    for c, bits, node in count:
+        if c:
+            longer[c[1:], node].add(c)
+
+    def kt(c, node):
+        zeros, ones = (count[c, (node << 1 | x) - (2 << node.bit_length() - 1), node] for x in (0, 1))
+        p = 1.0
+        for k, (x, n) in enumerate([(0, zeros), (1, ones)]):
+            for i in range(n):
+                p *= (i + 0.5) / (i + 1 + (zeros if k else 0))
+        return p, zeros, ones
+
+    def below(c, node):
+        return float(np.prod([weighted(x, node) for x in longer[c, node]]))
+
+    def weighted(c, node):
+        return kt(c, node)[0] if len(c) == 7 else (kt(c, node)[0] + below(c, node)) / 2
+
+    def predict(c, d, node, bit):
+        own, zeros, ones = kt(c[7 - d:], node)
+        p = ((ones if bit else zeros) + 0.5) / (zeros + ones + 1)
+        if d == 7 or sum(kt(c[6 - d:], node)[1:]) == 0:
+            return p
+        deeper = below(c[7 - d:], node)
+        return (own * p + deeper * predict(c, d + 1, node, bit)) / (own + deeper)
+
+    want = {i: sum(np.log10(predict(c, 0, 1 << b | y >> 8 - b, y >> 7 - b & 1)) for c, y in steps(t) for b in range(8)) for i, t in texts.items()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    for chars in (5, 1000):
+        got = {r["doc_id"]: r["score"] for r in rows(language_model.score_texts(df, F.col("doc_id") < 4, chars))}
+        assert all(abs(got[i] - w) < 1e-5 * abs(w) for i, w in want.items()), (got, want)
+
+
+def test_packed_numbers_round_trip():
+    for x in (np.array([0, 1, 1, 2**63 + 5, 2**64 - 1], np.uint64), np.zeros(0, np.uint64), np.arange(3, dtype=np.uint64) << np.uint64(40)):
+        assert (language_model.unsqueezed_rising(language_model.squeezed_rising(x)) == x).all()
+    y = np.array([-1.5, 0, 3.25], np.float32)
+    assert (language_model.unsqueezed(language_model.squeezed(y), np.float32) == y).all()
+
+
 def test_log_kt_is_the_sequential_product():
     p, counts = 1.0, [0, 0]
     for bit in (0, 1, 1, 0, 1, 1, 1):
