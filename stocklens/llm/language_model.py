@@ -11,7 +11,7 @@ Work is laid out by distinct things, never by token:
 1. Texts are shuffled into chunks of about ``CHUNK_CHARS`` characters. Each chunk gives its distinct words, and
    its distinct contexts with the byte that follows, with their training counts. Contexts are dealt into buckets by their last
    three bytes; a chunk's keys of a bucket are one packed row of sorted differences, a byte and a half or so each.
-2. Words are summed into a vocabulary. Each bucket is merged into one row: distinct keys, summed counts, and
+2. Words are dealt into buckets, packed and summed alike. Each bucket of contexts is merged into one row: distinct keys, summed counts, and
    each chunk's positions among them. A bucket holds whole subtrees of three-byte contexts and sums them up for those of two
    bytes, which are added up by part (last two bytes); a part sums up for contexts of one byte, and of these at most 256 x 255 rows reach the driver.
 3. Each bucket then gives its contexts' log-probabilities, and each chunk gets its own as packed single-precision
@@ -29,10 +29,8 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -46,11 +44,6 @@ START = bytes(DEPTH - 1) + END
 LOG10 = math.log(10)
 
 
-def word_keys(names) -> np.ndarray:
-    """Spark's xxhash64 of each word."""
-    return np.fromiter((xxhash.xxh64_intdigest(w, seed=42) for w in names), np.uint64, len(names)).view(np.int64)
-
-
 def coded(text: bytes | None) -> bytes:
     return b"".join(w + b" " for w in words(text)) + END
 
@@ -297,37 +290,91 @@ def buckets_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return np.repeat(bucket.astype(np.int32), np.diff(np.append(begin, len(keys))))
 
 
-def distinct_keys(texts: list[bytes | None], learn: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct contexts with their byte, sorted in tree order, and their training counts."""
-    runs = [summed(in_tree_order(key), learn[text]) for text, key in running(texts)]
-    return summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
+def tokens(texts: list[bytes | None], n_buckets: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """(text of each token, its word's number, the distinct words by bucket and then bytes, their buckets)."""
+    raw = np.frombuffer(b"".join(map(coded, texts)), np.uint8)
+    ends = np.flatnonzero((raw == 32) | (raw == 10))  # a word's blank, or an end mark, which is a token itself
+    last = raw[ends] == 10
+    size = np.diff(ends, prepend=-1) - 1 + last
+    offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+    kept = raw[raw != 32]
+    coding = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode()
+    names = coding.dictionary
+    order = pc.sort_indices(names).to_numpy()
+    bucket = word_buckets(names, n_buckets)
+    order = order[np.argsort(bucket[order], kind="stable")]
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    return np.cumsum(last) - last, rank[coding.indices.to_numpy()], names.take(pa.array(order)), bucket[order]
+
+
+def bytes_of(words_: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All bytes of an array of words, and where each starts (and the last one ends)."""
+    _, offsets, data = words_.buffers()
+    at = np.frombuffer(offsets, np.int32)[words_.offset:words_.offset + len(words_) + 1]
+    return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
+
+
+def word_buckets(names: pa.Array, n_buckets: int) -> np.ndarray:
+    if not len(names):
+        return np.zeros(0, np.int32)
+    data, at = bytes_of(names)
+    place = (np.arange(len(data)) - np.repeat(at[:-1], np.diff(at))).astype(np.uint64)
+    return (mix64(np.add.reduceat(mix64(place << np.uint64(8) | data), at[:-1])) % np.uint64(n_buckets)).astype(np.int32)
+
 
+def sorted_runs(texts: list[bytes | None]):
+    """Of each run of bytes: its distinct keys in tree order, how often each is there, and the texts of its bytes in that order."""
+    for text, key in running(texts):
+        key = in_tree_order(key)
+        order = np.argsort(key)
+        key = key[order]
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        yield key[begin], np.diff(np.append(begin, len(key))), text[order].astype(np.int32)
 
-def tokens(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """(text of each token, its word's number, the distinct words); each text ends in the end mark."""
-    lists = [words(t) + [END] for t in texts]
-    codes, names = pd.factorize(np.array([w for ws in lists for w in ws], dtype=object))
-    size = np.fromiter(map(len, lists), np.int64, len(lists))
-    return np.repeat(np.arange(len(lists)), size), codes, list(names)
+
+def stretches(bucket: np.ndarray) -> list[tuple[int, int]]:
+    cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
+    return list(zip(cuts[:-1], cuts[1:]))
+
+
+FOUND = "chunk int, bucket int, word boolean, keys binary, sizes binary, counts binary"
 
 
 def contents(chunk: pa.Table, n_buckets: int) -> pa.Table:
-    """Distinct words of a chunk, and by bucket the keys of its distinct contexts, all with their training counts."""
-    rows, number = chunk_rows(chunk), chunk.column("chunk")[0].as_py()
-    texts, learn = rows.column("text").to_pylist(), np.array(rows.column("learn").to_pylist(), bool).astype(np.int64)
-    text, codes, names = tokens(texts)
+    """By bucket: the distinct words of a chunk, and the keys of its distinct contexts, each with their training counts."""
+    docs, number = chunk_rows(chunk), chunk.column("chunk")[0].as_py()
+    texts, learn = docs.column("text").to_pylist(), np.array(docs.column("learn").to_pylist(), bool).astype(np.int64)
+    text, codes, names, bucket = tokens(texts, n_buckets)
     n = np.bincount(codes, learn[text], len(names)).astype(np.int64)
     del text, codes
-    keys, counts = distinct_keys(texts, learn)
+    out = []
+    for i, j in stretches(bucket):
+        data, at = bytes_of(names.slice(i, j - i))
+        out.append((number, int(bucket[i]), True, zstandard.compress(data.tobytes()), squeezed(np.diff(at).astype(np.int64)), squeezed(n[i:j])))
+    runs = [(key, np.add.reduceat(learn[text], np.cumsum(often) - often)) for key, often, text in sorted_runs(texts)]
+    keys, counts = summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
     bucket = buckets_of(keys, n_buckets)
     order = np.argsort(bucket, kind="stable")
-    parts = np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1)
-    w, k = len(names), len(parts)
-    return pa.table({"chunk": pa.array(np.full(w + k, number, np.int32)),
-                     "word": pa.array([*names, *[None] * k], pa.binary()), "n": pa.array([*n.tolist(), *[None] * k], pa.int64()),
-                     "bucket": pa.array([*[None] * w, *[int(bucket[p[0]]) for p in parts]], pa.int32()),
-                     "keys": pa.array([*[None] * w, *[squeezed_rising(keys[p]) for p in parts]], pa.binary()),
-                     "counts": pa.array([*[None] * w, *[squeezed(counts[p]) for p in parts]], pa.binary())})
+    for i, j in stretches(bucket[order]):
+        mine = order[i:j]
+        out.append((number, int(bucket[mine[0]]), False, squeezed_rising(keys[mine]), None, squeezed(counts[mine])))
+    kinds = (pa.int32(), pa.int32(), pa.bool_(), *[pa.binary()] * 3)
+    return pa.table([pa.array(x, kind) for x, kind in zip(zip(*out), kinds)], names=["chunk", "bucket", "word", "keys", "sizes", "counts"])
+
+
+def merged_words(rows: pa.Table) -> pa.Table:
+    """A bucket of words: for each chunk the training counts of its words, in their order; their sum, and how many are above 0."""
+    sizes = [unsqueezed(x.as_py(), np.int64) for x in rows.column("sizes")]
+    data = b"".join(zstandard.decompress(x.as_py()) for x in rows.column("keys"))
+    offsets = np.append(0, np.cumsum(np.concatenate(sizes)))
+    coding = pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]).dictionary_encode()
+    codes = coding.indices.to_numpy()
+    n = np.bincount(codes, np.concatenate([unsqueezed(x.as_py(), np.int64) for x in rows.column("counts")]), len(coding.dictionary)).astype(np.int64)
+    each = np.split(n[codes], np.cumsum([len(x) for x in sizes])[:-1])
+    return pa.table({"bucket": rows.column("bucket").slice(0, 1), "chunks": pa.array([rows.column("chunk").to_pylist()], pa.list_(pa.int32())),
+                     "values": pa.array([[squeezed(x) for x in each]], pa.list_(pa.binary())),
+                     "total": pa.array([float(n.sum())]), "known": pa.array([int((n > 0).sum())], pa.int64())})
 
 
 def merged(rows: pa.Table) -> pa.Table:
@@ -365,14 +412,6 @@ def of_part(rows: pa.Table) -> pa.Table:
 OF_PART = f"part int, {NODES}, code1 array<long>, zeros1 array<double>, ones1 array<double>, below1 array<double>"
 
 
-def finder(values: pa.Table, column: str = "value"):
-    """Look up a column by key; every key asked for is there."""
-    key, value = values.column("key").to_numpy(), values.column(column).to_numpy()
-    order = np.argsort(key)
-    key, value = key[order], value[order]
-    return lambda wanted: value[np.searchsorted(key, wanted)] if len(key) else np.zeros(len(wanted))
-
-
 SCORES = ("doc_id long, n_tokens long, n_known long, base_score double, score double, bits_per_byte double")
 
 
@@ -386,19 +425,13 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     n_chunks = max(1, math.ceil(chars / chunk_chars))
     n_buckets = SALTS * max(1, math.ceil(n_chunks / 4))
     docs = chunked(documents, learn, n_chunks)
-    found = staged(docs.groupBy("chunk").applyInArrow(
-        lambda chunk: contents(chunk, n_buckets), "chunk int, word binary, n long, bucket int, keys binary, counts binary"), "chunk-contents")
-    in_words = found.where("word is not null")
-    summed_words = staged(in_words.groupBy("word").agg(F.sum("n").cast("double").alias("value")), "words")
-    n_train, v = summed_words.agg(F.sum("value"), F.sum((F.col("value") > 0).cast("long"))).first()
+    found = staged(docs.groupBy("chunk").applyInArrow(lambda chunk: contents(chunk, n_buckets), FOUND), "chunk-contents")
+    vocabulary = staged(found.where("word").groupBy("bucket").applyInArrow(
+        merged_words, "bucket int, chunks array<int>, values array<binary>, total double, known long"), "words")
+    n_train, v = vocabulary.agg(F.sum("total"), F.sum("known")).first()
     n_train, v = n_train or 0.0, v or 0
-    of_word = summed_words.select(F.col("word").alias("_word"), F.col("value").alias("c"))
-    nothing = [F.lit(None).cast("int").alias("bucket"), F.lit(None).cast("binary").alias("values")]
-    of_words = staged(in_words.join(of_word, F.col("word") == F.col("_word")).select(
-        "chunk", F.xxhash64("word").alias("key"), "c", *nothing), "chunk-words")
-    buckets = staged(found.where("word is null").select("chunk", "bucket", "keys", "counts").groupBy("bucket").applyInArrow(merged, MERGED), "buckets")
+    buckets = staged(found.where("not word").groupBy("bucket").applyInArrow(merged, MERGED), "buckets")
     drop_staged(found)
-    drop_staged(summed_words)
     parts = staged(buckets.select("part", "code", "zeros", "ones", "below").groupBy("part").applyInArrow(of_part, OF_PART), "two-byte-nodes")
     rows = parts.select(F.explode(F.arrays_zip("code1", "zeros1", "ones1", "below1")).alias("x")).groupBy(
         F.shiftright("x.code1", 8).cast("int").alias("byte"), F.col("x.code1").bitwiseAND(F.lit(255)).cast("int").alias("node")).agg(
@@ -417,36 +450,35 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
                     total = total + np.log10(top.value.finish(x, second))
                 total = total.astype(np.float32)
                 values = [squeezed(total[unsqueezed_rising(p.as_py()).astype(np.int64)]) for p in positions]
-                yield pa.RecordBatch.from_arrays([pa.array(chunks.as_py(), pa.int32()), pa.nulls(len(values), pa.int64()), pa.nulls(len(values), pa.float64()),
-                                                  pa.array([bucket.as_py()] * len(values), pa.int32()), pa.array(values, pa.binary())],
-                                                 names=["chunk", "key", "c", "bucket", "values"])
+                yield pa.RecordBatch.from_arrays([pa.array(chunks.as_py(), pa.int32()), pa.array([bucket.as_py()] * len(values), pa.int32()),
+                                                  pa.array([False] * len(values)), pa.array(values, pa.binary())], names=["chunk", "bucket", "word", "values"])
 
     of_bucket = parts.select(F.col("part").alias("_part"), *[F.col(c).alias(f"_{c}") for c in ("code", "zeros", "ones", "below")])
     model = buckets.drop("code", "zeros", "ones", "below").join(of_bucket, F.col("part") == F.col("_part")).select(
         "bucket", "keys", "counts", "chunks", "positions", "_code", "_zeros", "_ones", "_below")
-    given = of_words.unionByName(model.mapInArrow(log_probabilities, "chunk int, key long, c double, bucket int, values binary"))
+    of_words = vocabulary.select("bucket", F.explode(F.arrays_zip("chunks", "values")).alias("x")).select(
+        F.col("x.chunks").alias("chunk"), "bucket", F.lit(True).alias("word"), F.col("x.values").alias("values"))
+    given = of_words.unionAll(model.mapInArrow(log_probabilities, "chunk int, bucket int, word boolean, values binary"))
     whole = math.log10(n_train + v + 1)
 
     def scored(chunk: pa.Table, given: pa.Table) -> pa.Table:
         docs = chunk_rows(chunk)
         texts, rows = docs.column("text").to_pylist(), docs.num_rows
-        text, codes, names = tokens(texts)
-        is_word = pc.is_valid(given.column("c"))
-        c = finder(given.filter(is_word), "c")(word_keys(names))
-        n = np.bincount(text, minlength=rows)
-        known, base = (np.bincount(text, x[codes], rows) for x in ((c > 0).astype(float), np.log10(c + 1)))
-        del text, codes
-        keys, _ = distinct_keys(texts, np.zeros(rows, np.int64))
-        by_bucket = given.filter(pc.invert(is_word)).sort_by("bucket")
+        def values(word: bool, kind) -> np.ndarray:
+            own = given.filter(pc.equal(given.column("word"), word)).sort_by("bucket").column("values")
+            return np.concatenate([unsqueezed(x.as_py(), kind) for x in own])
+
+        text, codes, _, _ = tokens(texts, n_buckets)
+        c = values(True, np.int64)[codes]
+        n, known, base = (np.bincount(text, x, rows) for x in (None, c > 0, np.log10(c + 1)))
+        del text, codes, c
+        runs = list(sorted_runs(texts))
+        keys = np.unique(np.concatenate([r[0] for r in runs]))
         log_of = np.empty(len(keys), np.float32)  # values come in the order that ``contents`` dealt the keys in
-        log_of[np.argsort(buckets_of(keys, n_buckets), kind="stable")] = np.concatenate(
-            [unsqueezed(x.as_py(), np.float32) for x in by_bucket.column("values")])
+        log_of[np.argsort(buckets_of(keys, n_buckets), kind="stable")] = values(False, np.float32)
         score, n_bytes = np.zeros(rows), np.zeros(rows)
-        for text, key in running(texts):
-            key = in_tree_order(key)
-            order = np.argsort(key)  # neighbours are then looked up in turn
-            text = text[order]
-            score += np.bincount(text, log_of[np.searchsorted(keys, key[order])], rows)
+        for key, often, text in runs:
+            score += np.bincount(text, np.repeat(log_of[np.searchsorted(keys, key)], often), rows)
             n_bytes += np.bincount(text, minlength=rows)
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
                          "n_known": pa.array(known.astype(np.int64)),
