@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import drop_staged, held_out, mix64, staged, table, utf8, words
 
-DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 16_000_000, 1 << 21
+DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 16_000_000, 1 << 20
 END = b"\n"
 #: What stands ahead of a text.
 START = bytes(DEPTH - 1) + END
@@ -48,7 +48,7 @@ def coded(text: bytes | None) -> bytes:
     return b"".join(w + b" " for w in words(text)) + END
 
 
-def running(texts: list[bytes | None], size: int = RUN_BYTES):
+def running(texts: list[bytes | None], size: int = RUN_BYTES, code=coded):
     """(number of its text, context and byte as one number) of every byte, in runs of about ``size`` bytes.
 
     The key fills 64 bits: the byte, and above it the ``DEPTH`` bytes before it, the nearest lowest.
@@ -64,7 +64,7 @@ def running(texts: list[bytes | None], size: int = RUN_BYTES):
 
     numbers, parts, held = [], [], 0
     for i, text in enumerate(texts):
-        whole = START + coded(text)
+        whole = START + code(text)
         for at in range(0, len(whole) - DEPTH, size):  # a part repeats the bytes that its first ones see
             numbers.append(i), parts.append(whole[at:at + size + DEPTH])
             held += len(parts[-1])
@@ -290,9 +290,9 @@ def buckets_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
     return np.repeat(bucket.astype(np.int32), np.diff(np.append(begin, len(keys))))
 
 
-def tokens(texts: list[bytes | None], n_buckets: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
-    """(text of each token, its word's number, the distinct words by bucket and then bytes, their buckets)."""
-    raw = np.frombuffer(b"".join(map(coded, texts)), np.uint8)
+def tokens(texts: list[bytes], n_buckets: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
+    """Of coded texts: (text of each token, its word's number, the distinct words by bucket and then bytes, their buckets)."""
+    raw = np.frombuffer(b"".join(texts), np.uint8)
     ends = np.flatnonzero((raw == 32) | (raw == 10))  # a word's blank, or an end mark, which is a token itself
     last = raw[ends] == 10
     size = np.diff(ends, prepend=-1) - 1 + last
@@ -323,9 +323,9 @@ def word_buckets(names: pa.Array, n_buckets: int) -> np.ndarray:
     return (mix64(np.add.reduceat(mix64(place << np.uint64(8) | data), at[:-1])) % np.uint64(n_buckets)).astype(np.int32)
 
 
-def sorted_runs(texts: list[bytes | None]):
-    """Of each run of bytes: its distinct keys in tree order, how often each is there, and the texts of its bytes in that order."""
-    for text, key in running(texts):
+def sorted_runs(texts: list[bytes]):
+    """Of each run of bytes of coded texts: its distinct keys in tree order, how often each is there, and the texts of its bytes in that order."""
+    for text, key in running(texts, code=bytes):
         key = in_tree_order(key)
         order = np.argsort(key)
         key = key[order]
@@ -344,7 +344,7 @@ FOUND = "chunk int, bucket int, word boolean, keys binary, sizes binary, counts
 def contents(chunk: pa.Table, n_buckets: int) -> pa.Table:
     """By bucket: the distinct words of a chunk, and the keys of its distinct contexts, each with their training counts."""
     docs, number = chunk_rows(chunk), chunk.column("chunk")[0].as_py()
-    texts, learn = docs.column("text").to_pylist(), np.array(docs.column("learn").to_pylist(), bool).astype(np.int64)
+    texts, learn = [coded(t.as_py()) for t in docs.column("text")], np.array(docs.column("learn").to_pylist(), bool).astype(np.int64)
     text, codes, names, bucket = tokens(texts, n_buckets)
     n = np.bincount(codes, learn[text], len(names)).astype(np.int64)
     del text, codes
@@ -463,7 +463,7 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
 
     def scored(chunk: pa.Table, given: pa.Table) -> pa.Table:
         docs = chunk_rows(chunk)
-        texts, rows = docs.column("text").to_pylist(), docs.num_rows
+        texts, rows = [coded(t.as_py()) for t in docs.column("text")], docs.num_rows
         def values(word: bool, kind) -> np.ndarray:
             own = given.filter(pc.equal(given.column("word"), word)).sort_by("bucket").column("values")
             return np.concatenate([unsqueezed(x.as_py(), kind) for x in own])
@@ -473,13 +473,13 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
         n, known, base = (np.bincount(text, x, rows) for x in (None, c > 0, np.log10(c + 1)))
         del text, codes, c
         runs = list(sorted_runs(texts))
-        keys = np.unique(np.concatenate([r[0] for r in runs]))
+        keys = np.sort(np.concatenate([r[0] for r in runs]))
+        keys = keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))]
         log_of = np.empty(len(keys), np.float32)  # values come in the order that ``contents`` dealt the keys in
         log_of[np.argsort(buckets_of(keys, n_buckets), kind="stable")] = values(False, np.float32)
-        score, n_bytes = np.zeros(rows), np.zeros(rows)
+        score, n_bytes = np.zeros(rows), np.fromiter(map(len, texts), float, rows)
         for key, often, text in runs:
             score += np.bincount(text, np.repeat(log_of[np.searchsorted(keys, key)], often), rows)
-            n_bytes += np.bincount(text, minlength=rows)
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
                          "n_known": pa.array(known.astype(np.int64)),
                          "base_score": pa.array(base - n * whole), "score": pa.array(score),
