@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import drop_staged, held_out, mix64, staged, table, utf8, words
 
-DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 16_000_000, 1 << 20
+DEPTH, CHUNK_CHARS, RUN_BYTES = 7, 8_000_000, 1 << 20
 END = b"\n"
 #: What stands ahead of a text.
 START = bytes(DEPTH - 1) + END
@@ -330,7 +330,7 @@ def sorted_runs(texts: list[bytes]):
         order = np.argsort(key)
         key = key[order]
         begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-        yield key[begin], np.diff(np.append(begin, len(key))), text[order].astype(np.int32)
+        yield key[begin], np.diff(np.append(begin, len(key))).astype(np.int32), text[order].astype(np.int32)
 
 
 def stretches(bucket: np.ndarray) -> list[tuple[int, int]]:
@@ -353,7 +353,9 @@ def contents(chunk: pa.Table, n_buckets: int) -> pa.Table:
         data, at = bytes_of(names.slice(i, j - i))
         out.append((number, int(bucket[i]), True, zstandard.compress(data.tobytes()), squeezed(np.diff(at).astype(np.int64)), squeezed(n[i:j])))
     runs = [(key, np.add.reduceat(learn[text], np.cumsum(often) - often)) for key, often, text in sorted_runs(texts)]
-    keys, counts = summed(np.concatenate([r[0] for r in runs]), np.concatenate([r[1] for r in runs]))
+    keys, counts = (np.concatenate(x) for x in zip(*runs))
+    del runs
+    keys, counts = summed(keys, counts)
     bucket = buckets_of(keys, n_buckets)
     order = np.argsort(bucket, kind="stable")
     for i, j in stretches(bucket[order]):
@@ -423,7 +425,7 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
     spark = documents.sparkSession
     chars = documents.agg(F.sum(F.length("text"))).first()[0] or 0
     n_chunks = max(1, math.ceil(chars / chunk_chars))
-    n_buckets = SALTS * max(1, math.ceil(n_chunks / 4))
+    n_buckets = SALTS * max(1, math.ceil(n_chunks / 8))
     docs = chunked(documents, learn, n_chunks)
     found = staged(docs.groupBy("chunk").applyInArrow(lambda chunk: contents(chunk, n_buckets), FOUND), "chunk-contents")
     vocabulary = staged(found.where("word").groupBy("bucket").applyInArrow(
