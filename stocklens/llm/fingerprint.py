@@ -7,16 +7,19 @@ without a chosen blank (repeated words) every 32 bytes or so. A piece's digest c
 and the root's cover the digests below, so equal roots mean equal texts, and comparing branches from
 the root down locates the pieces that differ.
 
-A fingerprint is text: the root (32 hex digits), a colon, and the pieces' digests shortened to six
-characters (36 bits), paragraphs parted by commas and sections by semicolons. Likeness of two fingerprints is
+A fingerprint is text: the root (32 hex digits), a colon, and the whole tree with digests shortened to six
+characters (36 bits): sections parted by semicolons, each its digest and then its paragraphs, parted by commas,
+each its digest and then its pieces. Likeness of two fingerprints is
 1 for equal roots, else the pieces they share (with repeats) over the larger number of pieces. Two different
 pieces look equal once in 2**36, so unrelated texts of n pieces each have a likeness near n / 2**36 by chance
-(6e-7 at 1 MB, 6e-5 at 100 MB), and ``edits`` misses a changed one-piece paragraph once in 2**36.
+(6e-7 at 1 MB, 6e-5 at 100 MB), and ``edits`` misses a changed branch once in 2**36.
 
 The comparison with the next document needs neighbours by falling id. Ids alone give quantile bounds
-and each range's first id, one number per range. Texts are then shuffled once by range; a range's
+and each range's first id, one number per range and at most ``RANGES`` in all: beyond that ranges grow, which
+costs no memory, as tasks stream over their sorted rows. Texts are then shuffled once by range, into as many tasks as
+the session has shuffle partitions, or more where these would exceed ``TASK_CHARS`` each; a range's
 first document is also sent to the range before it, so each task meets its rows in order, with
-their successor, and holds two texts at a time.
+their successor, and holds two texts at a time. Rows with equal ids are one range.
 
 Nulls and ties: null and empty texts are equal and have no pieces; a null id comes last; rows with
 equal ids follow their texts; a single row is its own next.
@@ -28,6 +31,7 @@ import base64
 import hashlib
 import math
 from collections import Counter
+from difflib import SequenceMatcher
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +40,7 @@ from pyspark.sql import functions as F
 
 from stocklens.llm.common import table, utf8
 
-RANGE_CHARS, FINE_BYTES = 4_000_000, 64
+RANGE_CHARS, TASK_CHARS, RANGES, FINE_BYTES = 4_000_000, 64_000_000, 20_000, 64
 #: Characters of a shortened digest, of six bits each.
 SHORT = 6
 
@@ -45,8 +49,8 @@ def _digest(data: bytes, size: int = 8) -> bytes:
     return hashlib.blake2b(data, digest_size=size).digest()
 
 
-def tree(text: str | None) -> tuple[bytes, list[list[list[bytes]]]]:
-    """Root digest and the piece digests by section and paragraph."""
+def tree(text: str | None) -> tuple[bytes, list[tuple[bytes, list[tuple[bytes, list[bytes]]]]]]:
+    """Root digest, and by section its digest and its paragraphs, each a digest and those of its pieces."""
     data = (text or "").encode("utf-8", "surrogatepass")
     if not data:
         return _digest(b"r", 16), []
@@ -78,8 +82,11 @@ def tree(text: str | None) -> tuple[bytes, list[list[list[bytes]]]]:
         sections[-1].append(paragraph)
     if not sections[-1]:
         sections.pop()
-    inner = [_digest(b"s" + b"".join(_digest(b"p" + b"".join(p)) for p in s)) for s in sections]
-    return _digest(b"r" + b"".join(inner), 16), sections
+    inner = []
+    for section in sections:
+        paragraphs = [(_digest(b"p" + b"".join(p)), p) for p in section]
+        inner.append((_digest(b"s" + b"".join(d for d, _ in paragraphs)), paragraphs))
+    return _digest(b"r" + b"".join(d for d, _ in inner), 16), inner
 
 
 def _short(piece: bytes) -> str:
@@ -88,11 +95,17 @@ def _short(piece: bytes) -> str:
 
 def fingerprint(text: str | None) -> str:
     root, sections = tree(text)
-    return root.hex() + ":" + ";".join(",".join("".join(map(_short, p)) for p in s) for s in sections)
+    return root.hex() + ":" + ";".join(
+        _short(d) + ",".join(_short(e) + "".join(map(_short, p)) for e, p in paragraphs) for d, paragraphs in sections)
+
+
+def branches(print_: str) -> list[tuple[str, list[str]]]:
+    """By section its digest and its paragraphs, each the digest followed by the pieces."""
+    return [(s[:SHORT], s[SHORT:].split(",")) for s in print_[33:].split(";")] if print_[33:] else []
 
 
 def pieces(print_: str) -> list[str]:
-    body = print_[33:].replace(";", "").replace(",", "")
+    body = "".join(p[SHORT:] for _, paragraphs in branches(print_) for p in paragraphs)
     return [body[i:i + SHORT] for i in range(0, len(body), SHORT)]
 
 
@@ -106,15 +119,26 @@ def likeness(a: str, b: str, of_a: Counter | None = None, of_b: Counter | None =
     return sum(min(n, y.get(p, 0)) for p, n in x.items()) / most if most else 0.0
 
 
+def aligned(a: list[str], b: list[str]) -> list[tuple[int, int, int, int]]:
+    """Stretches (from, to of a, from, to of b) that differ, equal branches being aligned in order."""
+    return [m[1:] for m in SequenceMatcher(None, a, b, autojunk=False).get_opcodes() if m[0] != "equal"]
+
+
 def edits(a: str, b: str) -> list[tuple[int, int]]:
-    """(section, paragraph) of the branches that differ, compared from the root down."""
+    """(section, paragraph) of the branches of ``b`` that ``a`` lacks there; what ``b`` lacks is ``edits(b, a)``.
+
+    Compared from the root down: sections with equal digests are aligned and never opened, and so are
+    paragraphs within the sections that differ, so what was put in or taken out marks no later branch (but for a paragraph that enters or
+    leaves the text's first FINE_BYTES, which are split more finely).
+    """
     if a[:32] == b[:32]:
         return []
-    left, right = ([s.split(",") for s in p[33:].split(";")] if p[33:] else [] for p in (a, b))
-    out = []
-    for i in range(max(len(left), len(right))):
-        x, y = left[i] if i < len(left) else [], right[i] if i < len(right) else []
-        out += [(i, j) for j in range(max(len(x), len(y))) if x[j:j + 1] != y[j:j + 1]]
+    left, right, out = branches(a), branches(b), []
+    for i, j, k, m in aligned([d for d, _ in left], [d for d, _ in right]):
+        old = [p[:SHORT] for _, paragraphs in left[i:j] for p in paragraphs]
+        new = [(s, n, p[:SHORT]) for s in range(k, m) for n, p in enumerate(right[s][1])]
+        for _, _, h, l in aligned(old, [d for _, _, d in new]):
+            out += [q[:2] for q in new[h:l]]
     return out
 
 
@@ -137,7 +161,7 @@ def compare_next(documents: DataFrame, range_chars: int = RANGE_CHARS) -> DataFr
     spark = documents.sparkSession
     docs = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     chars, rows = docs.agg(F.sum(F.length("text")), F.count(F.lit(1))).first()
-    n = max(1, min(rows or 1, math.ceil((chars or 0) / range_chars)))
+    n = max(1, min(rows or 1, RANGES, math.ceil((chars or 0) / range_chars)))
     bounds = sorted(set(docs.approxQuantile("doc_id", [i / n for i in range(1, n)], 0.25 / n))) if n > 1 else []
     sent = spark.sparkContext.broadcast(np.array(bounds, np.int64))
 
@@ -178,7 +202,8 @@ def compare_next(documents: DataFrame, range_chars: int = RANGE_CHARS) -> DataFr
                     names=["r", "head", "doc_id", "text"])
 
     placed = docs.mapInArrow(dealt, "r long, head boolean, doc_id long, text string")
-    width = max(1, min(len(order), int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    by_size = math.ceil((chars or 0) / TASK_CHARS)
+    width = max(1, min(len(order), max(by_size, int(spark.conf.get("spark.sql.shuffle.partitions")))))
     lined = placed.repartition(width, "r").sortWithinPartitions("r", "head", F.col("doc_id").desc_nulls_last(), "text")
 
     def compared(batches):
@@ -211,11 +236,3 @@ def compare_next(documents: DataFrame, range_chars: int = RANGE_CHARS) -> DataFr
 
 def query(spark, sf_dir: str) -> DataFrame:
     return compare_next(table(spark, sf_dir, "documents"))
-
-
-#: What SQL can say of the result: all columns but the fingerprints and their likeness.
-PLAIN_SQL = """
-WITH d AS (SELECT doc_id, coalesce(text, '') AS t, length(coalesce(text, '')) AS n FROM documents),
-x AS (SELECT *, coalesce(lead(t) OVER (ORDER BY doc_id DESC), first_value(t) OVER (ORDER BY doc_id DESC)) AS nx FROM d)
-SELECT doc_id, n AS n_chars, sha256(substr(t, 1, n - n // 2) || substr(nx, 1, n // 2)) AS edited_sha256 FROM x
-"""

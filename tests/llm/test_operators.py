@@ -486,6 +486,38 @@ def test_fingerprints_locate_edits():
     assert 0.9 < fingerprint.likeness(a, b) < 1 and fingerprint.likeness(a, a) == 1
 
 
+def test_edits_align_equal_branches():
+    sections = [[f"section {i} paragraph {j} of {i * j} words" for j in range(6)] for i in range(5)]
+    def printed(parts):
+        return fingerprint.fingerprint("\n\n".join("\n".join(p) for p in parts) + "\n\n")
+    whole = printed(sections)
+    more = [list(p) for p in sections]
+    more[1].insert(2, "a paragraph put in")
+    assert fingerprint.edits(whole, printed(more)) == [(1, 2)] and fingerprint.edits(printed(more), whole) == []
+    more.insert(3, ["a section", "put in"])
+    assert fingerprint.edits(whole, printed(more)) == [(1, 2), (3, 0), (3, 1), (3, 2)]
+    less = [more[0], *more[2:]]
+    assert fingerprint.edits(printed(more), printed(less)) == [] and len(fingerprint.edits(printed(less), printed(more))) == 8
+    _, inner = fingerprint.tree("one\n\ntwo\nthree")
+    assert [len(p) for _, p in inner] == [2, 2] and len({d for d, _ in inner}) == 2
+
+
+def test_likeness_columns_against_piece_counts(spark, docs, monkeypatch):
+    def like(x, y):
+        p, q = fingerprint.pieces(fingerprint.fingerprint(x)), fingerprint.pieces(fingerprint.fingerprint(y))
+        return 1.0 if x == y else sum((Counter(p) & Counter(q)).values()) / max(len(p), len(q), 1)
+    table = sorted(((r["doc_id"], r["text"] or "") for r in docs.collect()), key=lambda r: (-r[0], r[1]))
+    want = []
+    for k, (i, t) in enumerate(table):
+        other, half = table[(k + 1) % len(table)][1], len(t) // 2
+        want.append((i, len(t), like(t, t[:len(t) - half] + other[:half]), like(t, other)))
+    for most in (3, 20_000):  # few ranges allowed, then as many as the size asks for
+        monkeypatch.setattr(fingerprint, "RANGES", most)
+        monkeypatch.setattr(fingerprint, "TASK_CHARS", 500)
+        got = sorted((r["doc_id"], r["n_chars"], r["near_edited"], r["near_next"]) for r in rows(fingerprint.compare_next(docs, 400)))
+        assert all(g[:2] == w[:2] and abs(g[2] - w[2]) + abs(g[3] - w[3]) < 1e-12 for g, w in zip(got, sorted(want), strict=True))
+
+
 def test_fingerprints_of_long_unrelated_texts_are_unlike():
     rnd = random.Random(8)
     a, b = (fingerprint.fingerprint(" ".join(f"{rnd.getrandbits(40):x}" for _ in range(100_000))) for _ in range(2))
