@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stocklens.llm.common import components, mix64, pieces, staged, table, utf8, words
+from stocklens.llm.common import components, mix64, numbered, pieces, staged, table, utf8, words
 
 ROWS, BITS, SEED = 5, 2, 20240607
 PER_LONG = 30
@@ -261,16 +261,26 @@ def near_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle:
 
 
 def without_duplicates(documents: DataFrame, threshold_percent: int = 80, shingle: int = 5) -> DataFrame:
-    """The rows of ``documents`` that are kept: one of each group, and one row of each repeated id."""
-    found = staged(near_duplicates(documents, threshold_percent, shingle), "near-duplicates")
-    gone = found.where("not kept").select(F.col("doc_id").alias("_id")).distinct()
-    rows = documents.join(gone, F.col("doc_id") == F.col("_id"), "left_anti")
-    again = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select(F.col("doc_id").alias("_id"))
-    if again.isEmpty():
-        return rows
-    again = staged(again, "repeated")
-    return rows.join(again, F.col("doc_id") == F.col("_id"), "left_anti").unionByName(
-        rows.join(again, F.col("doc_id") == F.col("_id"), "left_semi").dropDuplicates(["doc_id"]))
+    """The rows of ``documents`` that are kept: one of each group.
+
+    Where ids repeat, a row's identity is its id and text: rows that share an id but no likeness all stay,
+    rows equal in both are one (whichever, should other columns differ), and of a group the first by id and text digest stays.
+    Rows without an id all stay.
+    """
+    known = documents.where("doc_id is not null")
+    if known.groupBy(F.col("doc_id").cast("long")).count().where("count > 1").isEmpty():
+        found = near_duplicates(documents, threshold_percent, shingle)
+        gone = staged(found.where("not kept").select(F.col("doc_id").alias("_gone")), "near-duplicates")
+        return documents.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    identity = [F.col("doc_id").cast("long").alias("_own_id"), F.coalesce(F.md5("text"), F.lit("")).alias("_own_text")]
+    numbers = numbered(known.select(*identity).distinct(), [F.col("_own_id"), F.col("_own_text")], "row-identities").select(
+        F.col("_own_id").alias("_id"), F.col("_own_text").alias("_digest"), F.col("_rank").alias("_identity_row"))
+    named = staged(documents.select("*", *identity).join(numbers, (F.col("_own_id") == F.col("_id")) & (F.col("_own_text") == F.col("_digest")), "left").select(
+        *documents.columns, "_identity_row"), "numbered-rows")
+    found = near_duplicates(named.where("_identity_row is not null").select(F.col("_identity_row").alias("doc_id"), "text"), threshold_percent, shingle)
+    gone = staged(found.where("not kept").select(F.col("doc_id").alias("_gone")).distinct(), "near-duplicates")
+    rows = named.where("_identity_row is not null").join(gone, F.col("_identity_row") == F.col("_gone"), "left_anti").dropDuplicates(["_identity_row"])
+    return rows.unionByName(named.where("_identity_row is null")).select(*documents.columns)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

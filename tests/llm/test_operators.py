@@ -180,6 +180,17 @@ def test_near_duplicates_against_all_pairs(spark, docs, empty, size, percent):
     assert len(kept) == len(set(kept)) and set(kept) - {None} == {i for i, (_, c) in want.items() if i == c}
 
 
+def test_rows_with_equal_ids_are_told_apart_by_text(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    table = [(1, a), (1, b), (1, b), (2, a + " more"), (3, c), (3, None), (3, ""), (None, a), (None, a)]
+    df = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(table)], "doc_id long, text string, _rank int")
+    kept = Counter((r["doc_id"], r["text"]) for r in neardup.without_duplicates(df).collect())
+    # Digests order rows within an id; the empty text and the null one have no shingles and are one identity each.
+    assert kept[1, a] == kept[1, b] == kept[3, c] == 1 and (2, a + " more") not in kept and kept[None, a] == 2
+    assert kept[3, None] == kept[3, ""] == 1 and kept.total() == 7
+    assert neardup.without_duplicates(df).columns == df.columns
+
+
 def test_near_duplicates_lose_no_more_than_stated(spark, monkeypatch):
     from math import comb
 
