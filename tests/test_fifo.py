@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from sample_tables import KEYS, inventory, key, month, sales
@@ -114,3 +115,15 @@ def test_eligibility_needs_twelve_months_without_a_gap(spark):
         return {r["DEAL_ID"] for r in fifo.fifo_eligible(inventory(spark, rows)).collect()}
 
     assert deals({1: range(11), 2: range(12), 3: [m for m in range(14) if m != 6], 4: [0, *range(5, 17)]}) == {2, 4}
+
+
+def test_a_block_gives_rows_for_flows_only():
+    """A thin series of a long calendar costs Python a row per flow, not one per calendar step."""
+    flow = pa.struct([("STEP", pa.int32()), *[(c, pa.float64()) for c in fifo.FLOW_COLUMNS]])
+    rows = pa.RecordBatch.from_arrays(
+        [pa.array([7]), pa.array([list(range(24))], pa.list_(pa.int32())),
+         pa.array([[{"STEP": 20, **dict.fromkeys(fifo.FLOW_COLUMNS, 0.0), "USE_RECEIPTS": 5.0}]], pa.list_(flow))],
+        names=["SKU_SEQ_ID", "_CALENDAR", "_FLOWS"])
+    out = fifo._ledger_block(rows, fifo.FLOW_COLUMNS, ["SKU_SEQ_ID", "STEP", *fifo.FLOW_COLUMNS, "_ASQ", "_UNITS"])
+    assert out.num_rows == 1
+    assert out.column("STEP").to_pylist() == [20] and out.column("_UNITS").to_pylist()[0][:2] == [5.0, 0.0]
