@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stocklens.llm import chat, decontaminate, fingerprint, language_model, mixing, neardup, packing, quality, toxicity, warc
-from stocklens.llm.common import components, new_folder
+from stocklens.llm.common import components, new_folder, staged
 
 BLANK_WORDS = re.compile("[^\x20\x09-\x0D]+")
 
@@ -449,6 +449,19 @@ def test_contamination_against_plain_windows(spark, docs, empty, monkeypatch, fi
     assert decontaminate.contamination(df, benchmark.limit(0)).where("size(spans) > 0").isEmpty()
 
 
+def test_contamination_candidates_are_windows_that_occur(spark, monkeypatch):
+    """Documents that hold every pair of a window's words, but not the window, give no candidate."""
+    kept = {}
+    monkeypatch.setattr(decontaminate, "staged", lambda df, name: kept.setdefault(name, staged(df, name)))
+    words = [f"w{i}" for i in range(14)]
+    pairs = [(i, f"head {words[i % 13]} {words[i % 13 + 1]} tail") for i in range(130)]
+    df = spark.createDataFrame([*pairs, (200, "so " + " ".join(words) + " it is")], "doc_id long, text string")
+    benchmark = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = {r["doc_id"]: r["spans"] for r in rows(decontaminate.contamination(df, benchmark)) if r["spans"]}
+    assert got == {200: [{"start": 1, "end": 15}]}
+    assert kept["candidates"].select("doc_id", F.explode("found")).count() == 2
+
+
 def test_packing_is_lossless_and_best_fit(spark, docs, empty):
     ranks = {bytes([i]): i for i in range(256)}
     packed = packing.pack(docs.dropDuplicates(["doc_id"]), ranks, length=64, run_tokens=5000)
