@@ -45,7 +45,8 @@ LOG10 = math.log(10)
 
 
 def coded(text: bytes | None) -> bytes:
-    return b"".join(w + b" " for w in words(text)) + END
+    found = words(text)
+    return b" ".join(found) + b" " + END if found else END
 
 
 def running(texts: list[bytes | None], size: int = RUN_BYTES, code=coded):
@@ -54,13 +55,16 @@ def running(texts: list[bytes | None], size: int = RUN_BYTES, code=coded):
     The key fills 64 bits: the byte, and above it the ``DEPTH`` bytes before it, the nearest lowest.
     """
     def run() -> tuple[np.ndarray, np.ndarray]:
-        raw = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
-        key = raw.copy()
-        for d in range(1, DEPTH + 1):
-            key[d:] |= raw[:-d] << (8 * d)
+        key = np.frombuffer(b"".join(parts), np.uint8).astype(np.int64)
+        seen = 1  # bytes in each key so far
+        while seen <= DEPTH:
+            more = min(seen, DEPTH + 1 - seen)
+            key[more:] |= key[:-more] << (8 * more)
+            seen += more
         length = np.fromiter(map(len, parts), np.int64, len(parts))
-        inside = np.arange(len(raw)) - np.repeat(np.cumsum(length) - length, length)
-        return np.repeat(np.array(numbers, np.int64), length)[inside >= DEPTH], key[inside >= DEPTH]
+        own = np.ones(len(key), bool)
+        own[((np.cumsum(length) - length)[:, None] + np.arange(DEPTH)).ravel()] = False
+        return np.repeat(np.array(numbers, np.int64), length - DEPTH), key[own]
 
     numbers, parts, held = [], [], 0
     for i, text in enumerate(texts):
@@ -76,13 +80,23 @@ def running(texts: list[bytes | None], size: int = RUN_BYTES, code=coded):
 
 
 def summed(key: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys, sorted, and the sum of n of each."""
-    order = np.argsort(key)
+    """The distinct keys, sorted, and the sum of n of each. Keys come in sorted runs, which a stable sort merges."""
+    order = np.argsort(key, kind="stable")
     key = key[order]
     first = np.flatnonzero(np.append(True, key[1:] != key[:-1])[:len(key)])
     return key[first], np.add.reduceat(n[order], first) if len(first) else n[:0]
 
 
+def ranked(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, sorted, and the place of each given key among them; keys come in sorted runs here too."""
+    order = np.argsort(key, kind="stable")
+    key = key[order]
+    first = np.append(True, key[1:] != key[:-1])[:len(key)]
+    at = np.empty(len(key), np.int32)
+    at[order] = np.cumsum(first, dtype=np.int32) - 1
+    return key[first], at
+
+
 def log_gamma(x: np.ndarray) -> np.ndarray:
     """Stirling series, moved up by eight; for x >= 0.5, and the better the larger."""
     shift = x.copy()
@@ -292,12 +306,13 @@ def buckets_of(keys: np.ndarray, n_buckets: int) -> np.ndarray:
 
 def tokens(texts: list[bytes], n_buckets: int) -> tuple[np.ndarray, np.ndarray, pa.Array, np.ndarray]:
     """Of coded texts: (text of each token, its word's number, the distinct words by bucket and then bytes, their buckets)."""
-    raw = np.frombuffer(b"".join(texts), np.uint8)
+    whole = b"".join(texts)
+    raw = np.frombuffer(whole, np.uint8)
     ends = np.flatnonzero((raw == 32) | (raw == 10))  # a word's blank, or an end mark, which is a token itself
     last = raw[ends] == 10
     size = np.diff(ends, prepend=-1) - 1 + last
     offsets = np.append(0, np.cumsum(size)).astype(np.int32)
-    kept = raw[raw != 32]
+    kept = whole.translate(None, b" ")
     coding = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(kept)]).dictionary_encode()
     names = coding.dictionary
     order = pc.sort_indices(names).to_numpy()
@@ -333,6 +348,14 @@ def sorted_runs(texts: list[bytes]):
         yield key[begin], np.diff(np.append(begin, len(key))).astype(np.int32), text[order].astype(np.int32)
 
 
+def counted_runs(texts: list[bytes]):
+    """Of each run of bytes of coded texts: its distinct keys in tree order, and how often each is there. Sorts the keys alone."""
+    for _, key in running(texts, code=bytes):
+        key = np.sort(in_tree_order(key))
+        begin = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        yield key[begin], np.diff(np.append(begin, len(key)))
+
+
 def stretches(bucket: np.ndarray) -> list[tuple[int, int]]:
     cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket)).tolist()
     return list(zip(cuts[:-1], cuts[1:]))
@@ -352,7 +375,8 @@ def contents(chunk: pa.Table, n_buckets: int) -> pa.Table:
     for i, j in stretches(bucket):
         data, at = bytes_of(names.slice(i, j - i))
         out.append((number, int(bucket[i]), True, zstandard.compress(data.tobytes()), squeezed(np.diff(at).astype(np.int64)), squeezed(n[i:j])))
-    runs = [(key, np.add.reduceat(learn[text], np.cumsum(often) - often)) for key, often, text in sorted_runs(texts)]
+    # Texts that are learned from and others are counted apart, so no sort carries the text of each byte along.
+    runs = [(key, often * kind) for kind in (1, 0) for key, often in counted_runs([t for t, own in zip(texts, learn) if own == kind])]
     keys, counts = (np.concatenate(x) for x in zip(*runs))
     del runs
     keys, counts = summed(keys, counts)
@@ -475,13 +499,13 @@ def score_texts(documents: DataFrame, learn: Column, chunk_chars: int = CHUNK_CH
         n, known, base = (np.bincount(text, x, rows) for x in (None, c > 0, np.log10(c + 1)))
         del text, codes, c
         runs = list(sorted_runs(texts))
-        keys = np.sort(np.concatenate([r[0] for r in runs]))
-        keys = keys[np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))]
+        keys, at = ranked(np.concatenate([r[0] for r in runs]))
+        at = np.split(at, np.cumsum([len(r[0]) for r in runs])[:-1])
         log_of = np.empty(len(keys), np.float32)  # values come in the order that ``contents`` dealt the keys in
         log_of[np.argsort(buckets_of(keys, n_buckets), kind="stable")] = values(False, np.float32)
         score, n_bytes = np.zeros(rows), np.fromiter(map(len, texts), float, rows)
-        for key, often, text in runs:
-            score += np.bincount(text, np.repeat(log_of[np.searchsorted(keys, key)], often), rows)
+        for (_, often, text), own in zip(runs, at):
+            score += np.bincount(text, np.repeat(log_of[own], often), rows)
         return pa.table({"doc_id": docs.column("doc_id"), "n_tokens": pa.array(n.astype(np.int64)),
                          "n_known": pa.array(known.astype(np.int64)),
                          "base_score": pa.array(base - n * whole), "score": pa.array(score),

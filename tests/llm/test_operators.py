@@ -7,6 +7,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -462,6 +463,34 @@ def test_contamination_candidates_are_windows_that_occur(spark, monkeypatch):
     assert kept["candidates"].select("doc_id", F.explode("found")).count() == 2
 
 
+def test_language_model_counts_contexts_without_texts(monkeypatch):
+    """A chunk's contexts against a plain count; sorting them carries no text numbers along."""
+    monkeypatch.setattr(language_model, "sorted_runs", None)
+    rnd = random.Random(11)
+    texts = [" ".join(rnd.choice(["ab", "Abc", "ü", "x"]) for _ in range(rnd.randrange(40))).encode() for _ in range(12)] + [b"", None]
+    learn = [i % 3 != 0 for i in range(len(texts))]
+    docs = pa.table({"doc_id": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts, pa.binary()), "learn": pa.array(learn)})
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, docs.schema) as out:
+        out.write_table(docs)
+    chunk = pa.table({"chunk": pa.array([0], pa.int32()), "blob": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
+    plain = Counter()
+    for text, own in zip(texts, learn):
+        coded = "".join(w + " " for w in plain_words((text or b"").decode())).encode() + b"\n"
+        assert language_model.coded(text) == coded
+        whole = language_model.START + coded
+        for i in range(7, len(whole)):  # the nearest byte on top, the coded one lowest
+            plain[int.from_bytes(whole[i - 7:i][::-1] + whole[i:i + 1])] += own
+    got = {}
+    for r in language_model.contents(chunk, language_model.SALTS).to_pylist():
+        if not r["word"]:
+            got |= zip(language_model.unsqueezed_rising(r["keys"]).tolist(), language_model.unsqueezed(r["counts"], np.int64).tolist())
+    assert got == dict(plain)
+    for keys in ([], [5], [3, 3, 9, 1, 3, 2**64 - 1]):
+        names, at = language_model.ranked(np.array(keys, np.uint64))
+        assert names.tolist() == sorted(set(keys)) and names[at].tolist() == keys
+
+
 def test_packing_is_lossless_and_best_fit(spark, docs, empty):
     ranks = {bytes([i]): i for i in range(256)}
     packed = packing.pack(docs.dropDuplicates(["doc_id"]), ranks, length=64, run_tokens=5000)
