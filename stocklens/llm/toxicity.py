@@ -14,7 +14,7 @@ lengths alone; its texts are then picked from one scan by a broadcast of at most
 are numbered a few texts at a time, so no task or shuffle holds texts and the driver holds the sample only. Embeddings start from each feature's log odds in the sample, and a last logistic fit on
 text logits sets the scale of scores. The model has a fixed size and is broadcast.
 
-Scoring streams texts in runs of a few megabytes: inputs are projected once per distinct word of a run.
+Scoring streams texts in runs of about two megabytes, and their rows are given out run by run: inputs are projected once per distinct word of a run.
 
 Nulls and ties: texts without words (null, empty) have one empty window and get a score too. Labels with a
 null id or label are left out; without both classes every score is 0. Of rows with an equal id the smallest text is learned from. A very long text
@@ -34,7 +34,7 @@ WINDOW, STRIDE = 32, 16
 WORD_BUCKETS, GRAM_BUCKETS, GRAMS = 1 << 18, 1 << 18, (3, 5)
 DIM, HIDDEN, SEED = 6, 4, 7
 SAMPLE, SAMPLE_CHARS = (4500, 1500), 20_000
-RUN_BYTES, THRESHOLD, WORDS_AT_ONCE = 8_000_000, 0.5, 32_768
+RUN_BYTES, THRESHOLD, WORDS_AT_ONCE = 2_000_000, 0.5, 32_768
 
 
 def word_features(names: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -94,11 +94,13 @@ class Run:
             sizes.append(np.diff(f))
         self.own, self.grams, self.first = np.concatenate(own), np.concatenate(grams), np.concatenate(sizes).cumsum()
         self.text, start = windows(self.counts)
-        begin = np.cumsum(self.counts) - self.counts
-        place = start[:, None] + np.arange(WINDOW)
-        self.mask = place < self.counts[self.text][:, None]
-        padded = np.append(codes, len(names)) if len(codes) else np.array([len(names)])
-        self.words = padded[np.where(self.mask, begin[self.text][:, None] + place, len(padded) - 1)].astype(np.int32)  # the last number is no word
+        begin = (np.cumsum(self.counts) - self.counts).astype(np.int32)  # a run has fewer than 2 ** 31 words
+        place = start.astype(np.int32)[:, None] + np.arange(WINDOW, dtype=np.int32)
+        self.mask = place < self.counts[self.text].astype(np.int32)[:, None]
+        padded = np.append(codes, np.int32(len(names)))  # the last number is no word
+        place += begin[self.text][:, None]
+        place[~self.mask] = len(padded) - 1
+        self.words = padded[place]
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
@@ -340,21 +342,19 @@ def score(documents: DataFrame, net: Network | None, threshold: float = THRESHOL
 
 def without_toxic(documents: DataFrame, net: Network | None, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``documents``, whole, whose text scores below the threshold."""
-    sent = documents.sparkSession.sparkContext.broadcast(net)
+    sent, text = documents.sparkSession.sparkContext.broadcast(net), documents.columns.index("text")
 
     def rows(batches):
         model = sent.value
         for batch in batches:
-            text = batch.column(batch.num_columns - 1).cast(pa.binary())
-            whole = pa.RecordBatch.from_arrays(batch.columns[:-1], schema=pa.schema(list(batch.schema)[:-1]))
             if model is None:
-                yield whole
+                yield batch
                 continue
-            plain = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), text], names=["row", "text"])
-            p = np.concatenate([model(texts) for _, texts in pieces(plain, RUN_BYTES)] or [np.zeros(0)])
-            yield whole.filter(pa.array(p < threshold))
+            plain = pa.RecordBatch.from_arrays([pa.array(range(batch.num_rows)), batch.column(text).cast(pa.binary())], names=["row", "text"])
+            for ids, texts in pieces(plain, RUN_BYTES):
+                yield batch.slice(ids[0], len(ids)).filter(pa.array(model(texts) < threshold))
 
-    return documents.select("*", F.col("text").alias("_scored")).mapInArrow(rows, documents.schema)
+    return documents.mapInArrow(rows, documents.schema)
 
 
 def query(spark, sf_dir: str) -> DataFrame:

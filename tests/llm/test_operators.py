@@ -4,6 +4,7 @@ import gzip
 import hashlib
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -491,6 +492,36 @@ def test_language_model_counts_contexts_without_texts(monkeypatch):
         assert names.tolist() == sorted(set(keys)) and names[at].tolist() == keys
 
 
+def test_toxicity_memory_of_a_run():
+    """Windows are built of four-byte numbers (37 bytes a place at most before, 19 now), and scoring holds a run of two megabytes."""
+    texts = [("w" + str(i % 50) + " mm nn oo ") * 40 for i in range(2000)]
+    tracemalloc.start()
+    run = toxicity.Run([t.encode() for t in texts])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert run.words.dtype == np.int32 and (run.words[~run.mask] == len(run.own)).all()
+    assert peak < 24 * run.words.size
+    begin, start = np.cumsum(run.counts) - run.counts, toxicity.windows(run.counts)[1]
+    for i in (0, 1, len(run.text) - 1):
+        first = begin[run.text[i]] + start[i]
+        assert run.words[i][run.mask[i]].tolist() == run.flat[first:first + run.mask[i].sum()].tolist()
+    assert toxicity.RUN_BYTES <= 2_000_000
+
+
+def test_without_toxic_with_text_anywhere(spark, docs, monkeypatch):
+    """The text column in the middle, runs of a row or two, rows with equal ids; texts travel once."""
+    monkeypatch.setattr(toxicity, "RUN_BYTES", 10)
+    rnd = random.Random(5)
+    texts = [" ".join(rnd.choice(["bad", "ugly", "calm", "kind"][:2] if i % 2 else ["calm", "kind"]) for _ in range(30)).encode() for i in range(60)]
+    net = toxicity.train(texts, np.arange(60) % 2)
+    df = spark.createDataFrame([(i // 2, t.decode(), "x") for i, t in enumerate(texts)] + [(None, None, "y")], "doc_id long, text string, _scored string")
+    bad = net([*texts, None]) >= 0.5
+    got = toxicity.without_toxic(df, net)
+    assert got.columns == df.columns and Counter(map(tuple, got.collect())) == Counter(
+        tuple(r) for r, b in zip(df.collect(), bad) if not b)
+    assert 0 < bad.sum() < 61 and toxicity.without_toxic(df, None).count() == 61
+
+
 def test_packing_is_lossless_and_best_fit(spark, docs, empty):
     ranks = {bytes([i]): i for i in range(256)}
     packed = packing.pack(docs.dropDuplicates(["doc_id"]), ranks, length=64, run_tokens=5000)
