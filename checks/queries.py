@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
+from contextlib import nullcontext
 from functools import cached_property, reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ from stocklens.plans import append
 from stocklens.plans.outputs import conform_table
 from stocklens.plans.star import OUTPUT_TABLES, dimensions, run_deals
 from stocklens.sources.readers import read_output
-from stocklens.sources.staging import shared_folder, stage
+from stocklens.sources.staging import shared_folder, small_splits, stage
 from stocklens.sources.writers import write_output
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -59,6 +60,9 @@ def query(name: str, *args):
     return add
 
 
+#: Stored lines take some 16 bytes each, and by part most are a group of their own: half a million of them a task.
+SPLIT_BYTES = 8 << 20
+
 _LINES: dict[tuple[str, str, bool], DataFrame] = {}
 
 
@@ -66,7 +70,7 @@ def stored_lines(spark: SparkSession, d: str, by_part: bool = False) -> DataFram
     """The joined order lines, stored once per session: both sides read them, so neither joins the tables again."""
     key = (spark.sparkContext.applicationId, d, by_part)
     if key not in _LINES:
-        _LINES[key] = stage(fx.lines(spark, d, by_part), "order-lines")
+        _LINES[key] = stage(fx.lines(spark, d, by_part), "order-lines", **({"row_group_bytes": SPLIT_BYTES} if by_part else {}))
     return _LINES[key]
 
 
@@ -81,7 +85,8 @@ def monthly(spark: SparkSession, d: str, by_part: bool = False) -> tuple[DataFra
     key = (spark.sparkContext.applicationId, d, by_part)
     if key not in _STAGED:
         fx_line = stored_lines(spark, d, by_part)
-        _STAGED[key] = (stage(fx.inventory(fx_line), "inventory-months"), stage(fx.sales(fx_line), "sales-months"))
+        with small_splits(spark, SPLIT_BYTES) if by_part else nullcontext():
+            _STAGED[key] = (stage(fx.inventory(fx_line), "inventory-months"), stage(fx.sales(fx_line), "sales-months"))
     return _STAGED[key]
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,18 +48,36 @@ def remove_staged(spark: SparkSession) -> None:
     delete(spark, run_folder(spark))
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+def stage(df: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     Later steps then read only the columns they need, and a lost executor re-reads a file instead
-    of recomputing the whole lineage.
+    of recomputing the whole lineage. ``row_group_bytes`` lets readers split the files that finely.
     """
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    writer = df.write.option("parquet.block.size", row_group_bytes) if row_group_bytes else df.write
+    writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_splits(spark: SparkSession, most: int) -> Iterator[None]:
+    """Jobs run within read files in splits of at most ``most`` bytes; the session's own bound holds where it is lower.
+
+    A split of compact rows whose groups are nearly all distinct fills a map-side combine's table with
+    as many rows, which spills once that is beyond the task's memory, however many tasks there are.
+    """
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    own = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    spark.conf.set(key, str(min(own, most)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def small_side(df: DataFrame, name: str, max_bytes: int | None = None) -> DataFrame:
     """Store a per-deal or per-deal-and-month table, and broadcast it if its size allows.
 

@@ -1,8 +1,11 @@
 """What queries stage before they run: each table when it is read, and once."""
 
+from pyspark.sql import functions as F
+
 from checks import queries
 from sample_tables import inventory, key, sales
 from stocklens.operators import dims
+from stocklens.sources import staging
 
 
 def _inputs(spark):
@@ -37,3 +40,25 @@ def test_a_dimension_without_attributes_joins_nothing(spark):
     inv, sale = _inputs(spark)
     skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
     assert "Join" not in skus._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_months_by_part_are_combined_in_small_splits(spark, monkeypatch):
+    """The map-side combine of nearly distinct groups reads bounded splits, whatever the size of the lines; the session's bound comes back."""
+    bound, seen = "spark.sql.files.maxPartitionBytes", {}
+    before = spark.conf.get(bound)
+    monkeypatch.setattr(queries, "_LINES", {})
+    monkeypatch.setattr(queries, "_STAGED", {})
+    monkeypatch.setattr(queries, "stage", lambda df, name, **more: seen.update({name: spark.conf.get(bound)}) or df)
+    for name in ("lines", "inventory", "sales"):
+        monkeypatch.setattr(queries.fx, name, lambda *a: spark.range(1))
+    queries.monthly(spark, "nowhere", True)
+    assert seen == {"order-lines": before, "inventory-months": str(queries.SPLIT_BYTES), "sales-months": str(queries.SPLIT_BYTES)}
+    assert spark.conf.get(bound) == before
+
+
+def test_staged_files_split_at_their_row_groups(spark):
+    wide = spark.range(0, 1 << 20, 1, 1).selectExpr("id", "uuid() as text")
+    stored = staging.stage(wide, "test-splits", row_group_bytes=4 << 20)
+    with staging.small_splits(spark, 4 << 20):
+        sizes = stored.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(r["count"] for r in sizes) == 1 << 20 and max(r["count"] for r in sizes) < 1 << 19
