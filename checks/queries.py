@@ -25,7 +25,7 @@ from stocklens.plans import append
 from stocklens.plans.outputs import conform_table
 from stocklens.plans.star import OUTPUT_TABLES, dimensions, run_deals
 from stocklens.sources.readers import read_output
-from stocklens.sources.staging import shared_folder, small_splits, stage
+from stocklens.sources.staging import bucket_count, shared_folder, shuffled_into, small_splits, stage
 from stocklens.sources.writers import write_output
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,17 +60,33 @@ def query(name: str, *args):
     return add
 
 
-#: Stored lines take some 16 bytes each, and by part most are a group of their own: half a million of them a task.
+#: Stored lines take some 16 bytes each, and by part most are a group of their own: half a million of them a task, where they are
+#: not read by bucket.
 SPLIT_BYTES = 8 << 20
+#: By part, lines and what is made of them are stored by series, in buckets of the lines of this much input: some 200,000 each.
+BUCKET_BYTES = 4 << 20
 
 _LINES: dict[tuple[str, str, bool], DataFrame] = {}
+_BUCKETS: dict[tuple[str, str, bool], int] = {}
+
+
+def by_series(spark: SparkSession, d: str, by_part: bool) -> dict:
+    """How a folder's tables are staged: by part nearly every line is a series of its own, so lines are spread by series once
+    and no table made of them is shuffled again."""
+    key = (spark.sparkContext.applicationId, d, by_part)
+    return {"by": KEYS, "buckets": _BUCKETS[key]} if key in _BUCKETS else {}
 
 
 def stored_lines(spark: SparkSession, d: str, by_part: bool = False) -> DataFrame:
     """The joined order lines, stored once per session: both sides read them, so neither joins the tables again."""
     key = (spark.sparkContext.applicationId, d, by_part)
     if key not in _LINES:
-        _LINES[key] = stage(fx.lines(spark, d, by_part), "order-lines", **({"row_group_bytes": SPLIT_BYTES} if by_part else {}))
+        joined = fx.lines(spark, d, by_part)
+        if by_part:
+            _BUCKETS[key] = bucket_count(joined, BUCKET_BYTES)
+        spread = by_series(spark, d, by_part)
+        with shuffled_into(spark, spread["buckets"]) if spread else nullcontext():
+            _LINES[key] = stage(joined, "order-lines", **spread)
     return _LINES[key]
 
 
@@ -85,8 +101,9 @@ def monthly(spark: SparkSession, d: str, by_part: bool = False) -> tuple[DataFra
     key = (spark.sparkContext.applicationId, d, by_part)
     if key not in _STAGED:
         fx_line = stored_lines(spark, d, by_part)
+        spread = by_series(spark, d, by_part)
         with small_splits(spark, SPLIT_BYTES) if by_part else nullcontext():
-            _STAGED[key] = (stage(fx.inventory(fx_line), "inventory-months"), stage(fx.sales(fx_line), "sales-months"))
+            _STAGED[key] = (stage(fx.inventory(fx_line), "inventory-months", **spread), stage(fx.sales(fx_line), "sales-months", **spread))
     return _STAGED[key]
 
 
@@ -101,20 +118,23 @@ class Base:
     def __init__(self, spark: SparkSession, d: str, by_part: bool):
         self.inv, self.sale = monthly(spark, d, by_part)
         self.inv_m, self.sale_m = self.inv.dropna(subset=KEYS), self.sale.dropna(subset=KEYS)
+        self.spread = by_series(spark, d, by_part)
 
     @cached_property
     def skus(self) -> DataFrame:
-        return stage(dims.dim_sku(dims.dim_category(self.sale, self.inv), self.sale, self.inv), "dim-sku")
+        made = dims.dim_sku(dims.dim_category(self.sale, self.inv), self.sale, self.inv)
+        with shuffled_into(made.sparkSession, self.spread["buckets"]) if self.spread else nullcontext():
+            return stage(made, "dim-sku", **self.spread)
 
     @cached_property
     def fact_inv(self) -> DataFrame:
         inv_dates = dates.bucket_staging(self.sale, self.inv, RANGES)[1]
-        return stage(facts.fact_inventory(self.inv, inv_dates, self.skus, RANGES), "fact-inventory")
+        return stage(facts.fact_inventory(self.inv, inv_dates, self.skus, RANGES), "fact-inventory", **self.spread)
 
     @cached_property
     def fact_sale(self) -> DataFrame:
         sale_dates = dates.bucket_staging(self.sale, self.inv, RANGES)[0]
-        return stage(facts.fact_sales(self.sale, sale_dates, self.skus, RANGES), "fact-sales")
+        return stage(facts.fact_sales(self.sale, sale_dates, self.skus, RANGES), "fact-sales", **self.spread)
 
 
 _BASES: dict[tuple[str, str, bool], Base] = {}

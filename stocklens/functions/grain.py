@@ -9,6 +9,7 @@ over a key are bounded by the calendar, not by the data.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -77,6 +78,19 @@ def first_rows(df: DataFrame, keys: Sequence[str], columns: Sequence[str],
     return picked.select(*keys, *[F.col("_FIRST").getField(c).alias(c) for c in columns])
 
 
+def by_known_keys(df: DataFrame, keys: Sequence[str], name: str, *unknown: str) -> tuple[DataFrame, DataFrame]:
+    """Rows whose ``keys`` are all known, and the others with ``name`` for each key that is missing or in ``unknown``.
+
+    The two share no key, since a known one that reads ``name`` is with the others. So what groups by keys may run on either
+    part: the first keeps its columns as they are and with them the layout it is stored in, where naming them
+    would make new columns and shuffle all rows for the few that need a name.
+    """
+    named = {k: F.col(k).cast("string") for k in keys}
+    known = reduce(Column.__and__, [F.coalesce(~x.isin(name, *unknown), F.lit(False)) for x in named.values()], F.lit(True))
+    filled = {k: F.coalesce(F.when(x.isin(*unknown), None).otherwise(x) if unknown else x, F.lit(name)) for k, x in named.items()}
+    return df.where(known).withColumns(named), df.where(~known).withColumns(filled)
+
+
 def stack(keys: Sequence[str], **sides: tuple[DataFrame, str]) -> DataFrame:
     """Union monthly tables, each tagged with its side and month number.
 

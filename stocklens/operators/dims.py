@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stocklens.functions.census import ABSENT, ELSEWHERE, unmarked
-from stocklens.functions.grain import first_rows
+from stocklens.functions.grain import by_known_keys, first_rows
 from stocklens.functions.schema import align_columns
-from stocklens.functions.semantics import DEAL, NEED_CAT, NOT_AVAILABLE, present
+from stocklens.functions.semantics import DEAL, NEED_CAT, NOT_AVAILABLE, present, series_keys
 from stocklens.sources.staging import stage
 
 # The dimension columns.
@@ -84,9 +85,10 @@ def dim_category(sale: DataFrame, inv: DataFrame, existing: DataFrame | None = N
     attributes = [c for c in inv_part.columns if c not in keys]
     both = (inv_part.withColumn("_SOURCE", F.lit(0))
             .unionByName(sale_part.withColumn("_SOURCE", F.lit(1))))
-    text = [c for c in inv_part.columns if c != DEAL]
-    both = both.withColumns({c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit(ELSEWHERE)), F.lit(NEED_CAT)) for c in text})
-    dim = first_rows(both, keys, attributes, F.col("_SOURCE"))
+    both = both.withColumns({c: F.coalesce(F.nullif(F.col(c).cast("string"), F.lit(ELSEWHERE)), F.lit(NEED_CAT)) for c in attributes})
+    order = series_keys(inv)  # as series are stored
+    known, others = by_known_keys(both, [c for c in keys if c != DEAL], NEED_CAT, ELSEWHERE)
+    dim = reduce(DataFrame.unionByName, [first_rows(rows, order, attributes, F.col("_SOURCE")) for rows in (known, others)])
 
     defaults = dict.fromkeys(CATEGORIES, NEED_CAT) | dict.fromkeys(CATEGORY_CODES, NOT_AVAILABLE)
     dim = dim.withColumns({c: unmarked(c, x) if c in dim.columns else F.lit(x) for c, x in defaults.items()})

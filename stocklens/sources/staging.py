@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Iterator, Sequence
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +26,7 @@ def run_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/stocklens/{spark.sparkContext.applicationId}"
 
 
-def _hadoop_path(spark: SparkSession, path: str):
+def _hadoop_path(spark: SparkSession, path):
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
@@ -43,41 +44,80 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().toString() for s in store.listStatus(hadoop) if s.isDirectory())
 
 
+def _table_prefix(spark: SparkSession) -> str:
+    """How this application's bucketed tables begin in the session's catalog."""
+    return f"stocklens_{re.sub(r'[^0-9a-z]', '_', spark.sparkContext.applicationId.lower())}_"
+
+
 def remove_staged(spark: SparkSession) -> None:
     """Delete what this application has staged; call it when its outputs are written."""
+    for table in spark.catalog.listTables(pattern=f"{_table_prefix(spark)}*"):
+        spark.sql(f"DROP TABLE IF EXISTS `{table.name}`")
     delete(spark, run_folder(spark))
 
 
-def stage(df: DataFrame, name: str, row_group_bytes: int | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, row_group_bytes: int | None = None, by: Sequence[str] = (), buckets: int = 0) -> DataFrame:
     """Write ``df`` as Parquet and read it back.
 
     Later steps then read only the columns they need, and a lost executor re-reads a file instead
     of recomputing the whole lineage. ``row_group_bytes`` lets readers split the files that finely.
+    With ``by``, rows are stored in ``buckets`` buckets by these columns; what groups, joins or stacks tables by them then moves no rows.
     """
     spark = df.sparkSession
     path = f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if by:
+        return _in_buckets(df, path, by, buckets)
     writer = df.write.option("parquet.block.size", row_group_bytes) if row_group_bytes else df.write
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def small_splits(spark: SparkSession, most: int) -> Iterator[None]:
-    """Jobs run within read files in splits of at most ``most`` bytes; the session's own bound holds where it is lower.
+def _in_buckets(df: DataFrame, path: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """``df`` as a bucketed table of the session, its files in ``path``.
 
-    A split of compact rows whose groups are nearly all distinct fills a map-side combine's table with
-    as many rows, which spills once that is beyond the task's memory, however many tasks there are.
+    The key columns are stored under other names. Renamed on reading they are new columns, in which a union of two such tables
+    recognises that both are spread alike; under their own names it doesn't, and its rows would be shuffled again.
     """
-    key = "spark.sql.files.maxPartitionBytes"
+    spark, stored = df.sparkSession, {c: f"by_{c}" for c in by}
+    table = f"{_table_prefix(spark)}{uuid.uuid4().hex}"
+    rows = df.withColumnsRenamed(stored).repartition(buckets, *stored.values())
+    rows.write.format("parquet").option("path", path).bucketBy(buckets, *stored.values()).sortBy(*stored.values()).saveAsTable(table)
+    return spark.table(table).select(*[F.col(f"`{stored.get(c, c)}`").alias(c) for c in df.columns])
+
+
+def bucket_count(df: DataFrame, bytes_each: int) -> int:
+    """Buckets for rows made from the files that ``df`` reads, of ``bytes_each`` of these each; one per core at least."""
+    spark = df.sparkSession
+    uri = spark.sparkContext._jvm.java.net.URI  # files are listed with their paths encoded
+    size = sum(store.getFileStatus(path).getLen() for path, store in (_hadoop_path(spark, uri(f)) for f in df.inputFiles()))
+    return max(-(-size // bytes_each), spark.sparkContext.defaultParallelism)
+
+
+@contextmanager
+def _setting(spark: SparkSession, key: str, value: int) -> Iterator[None]:
     before = spark.conf.get(key)
-    own = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
-    spark.conf.set(key, str(min(own, most)))
+    spark.conf.set(key, str(value))
     try:
         yield
     finally:
         spark.conf.set(key, before)
 
 
+def small_splits(spark: SparkSession, most: int) -> AbstractContextManager[None]:
+    """Jobs run within read files in splits of at most ``most`` bytes; the session's own bound holds where it is lower.
+
+    A split of compact rows whose groups are nearly all distinct fills a map-side combine's table with
+    as many rows, which spills once that is beyond the task's memory, however many tasks there are.
+    """
+    own = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return _setting(spark, "spark.sql.files.maxPartitionBytes", min(own, most))
+
+
+def shuffled_into(spark: SparkSession, partitions: int) -> AbstractContextManager[None]:
+    """Jobs run within shuffle into as many partitions as stored buckets, so that what moves joins them without moving those."""
+    return _setting(spark, "spark.sql.shuffle.partitions", partitions)
+
+
 def small_side(df: DataFrame, name: str, max_bytes: int | None = None) -> DataFrame:
     """Store a per-deal or per-deal-and-month table, and broadcast it if its size allows.
 
