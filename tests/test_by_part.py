@@ -72,3 +72,8 @@ def test_bucket_count_follows_the_input(spark, orders):
 def test_sell_thru_by_part(spark, orders):
     _series_stay_where_they_are(spark, orders, "fact_sell_thru_by_part")
     _matches_sql(spark, orders, "fact_sell_thru_by_part")
+
+
+def test_six_month_inventory_by_part(spark, orders):
+    _series_stay_where_they_are(spark, orders, "fact_six_month_inventory_by_part")
+    _matches_sql(spark, orders, "fact_six_month_inventory_by_part")
