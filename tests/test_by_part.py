@@ -10,6 +10,7 @@ from checks.oracle import ORACLE
 from order_tables import write_orders
 from sample_tables import KEYS, inventory, key, sales
 from stocklens.functions.grain import by_known_keys, lifetime, stack
+from stocklens.operators import cycles, dates, dims, facts
 from stocklens.sources import staging
 
 
@@ -77,3 +78,30 @@ def test_sell_thru_by_part(spark, orders):
 def test_six_month_inventory_by_part(spark, orders):
     _series_stay_where_they_are(spark, orders, "fact_six_month_inventory_by_part")
     _matches_sql(spark, orders, "fact_six_month_inventory_by_part")
+
+
+def _first_of_union(plan):
+    """The text of the first branch of a plan's topmost union."""
+    lines = plan.splitlines()
+    top = next(i for i, x in enumerate(lines) if x.lstrip(" :+-").startswith("Union"))
+    at = lines[top].index("Union")
+    end = next(i for i in range(top + 1, len(lines)) if lines[i][at:at + 2] == "+-")
+    return "\n".join(lines[top + 1:end])
+
+
+def test_sales_cycle_by_part(spark, orders):
+    """Only series with a missing key, which reads 'NA', move."""
+    with staging._setting(spark, "spark.sql.autoBroadcastJoinThreshold", -1):
+        plan = _first_of_union(_plan(queries.QUERIES["fact_sales_cycle_by_part"](spark, orders)))
+    assert "Window" in plan and "SortMergeJoin" in plan and "Exchange hashpartitioning(" not in plan
+    _matches_sql(spark, orders, "fact_sales_cycle_by_part")
+
+
+def test_a_cycle_takes_missing_and_written_na_for_one(spark):
+    sale = sales(spark, [(key(division=d), m, 1.0, 10.0, 5.0) for d, m in ((None, 1), ("NA", 2), ("D", 3))])
+    inv = inventory(spark, [(key(division="NA"), 0, 1.0, 1.0)])
+    staged = dates.bucket_staging(sale, inv, [])[0]
+    skus = dims.dim_sku(dims.dim_category(sale, inv), sale, inv)
+    fact = facts.fact_sales(sale, staged, skus, [])
+    got = sorted((r["DIVISION"], r["BEG_MO"].month, r["SALES_CYCLE_01"], r["SALES_CYCLE_02"]) for r in cycles.sales_cycle(sale, inv, fact, []).collect())
+    assert got == [("D", 4, 10.0, 0.0), ("NA", 2, 10.0, 10.0), ("NA", 3, 10.0, 10.0)]
