@@ -105,3 +105,8 @@ def test_a_cycle_takes_missing_and_written_na_for_one(spark):
     fact = facts.fact_sales(sale, staged, skus, [])
     got = sorted((r["DIVISION"], r["BEG_MO"].month, r["SALES_CYCLE_01"], r["SALES_CYCLE_02"]) for r in cycles.sales_cycle(sale, inv, fact, []).collect())
     assert got == [("D", 4, 10.0, 0.0), ("NA", 2, 10.0, 10.0), ("NA", 3, 10.0, 10.0)]
+
+
+def test_inv_mvmt_by_part(spark, orders):
+    _series_stay_where_they_are(spark, orders, "fact_inv_mvmt_by_part")
+    _matches_sql(spark, orders, "fact_inv_mvmt_by_part")
