@@ -110,3 +110,8 @@ def test_a_cycle_takes_missing_and_written_na_for_one(spark):
 def test_inv_mvmt_by_part(spark, orders):
     _series_stay_where_they_are(spark, orders, "fact_inv_mvmt_by_part")
     _matches_sql(spark, orders, "fact_inv_mvmt_by_part")
+
+
+def test_twelve_month_annualized_by_part(spark, orders):
+    _series_stay_where_they_are(spark, orders, "fact_twelve_month_annualized_by_part")
+    _matches_sql(spark, orders, "fact_twelve_month_annualized_by_part")
