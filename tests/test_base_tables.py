@@ -62,3 +62,11 @@ def test_staged_files_split_at_their_row_groups(spark):
     with staging.small_splits(spark, 4 << 20):
         sizes = stored.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r["count"] for r in sizes) == 1 << 20 and max(r["count"] for r in sizes) < 1 << 19
+
+
+def test_jobs_that_fill_buckets_shuffle_into_as_many(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(n) for n in names]
+    with staging.shuffled_into(spark, 7):
+        assert [spark.conf.get(n) for n in names] == ["7", str(staging.SHUFFLED_BYTES)]
+    assert [spark.conf.get(n) for n in names] == before
